@@ -39,13 +39,22 @@ def to_records(df: DataFrame) -> DataFrame:
     return df.select(json_value(df).alias("value"))
 
 
+def fields_of(data: Column) -> Column:
+    """The fields of a parsed struct as columns.
+
+    ``inline`` keeps later filters above the parsing. With ``data.*`` they would
+    be pushed below it, and every message would be parsed a second time there.
+    """
+    return F.inline(F.array(data))
+
+
 def from_records(records: DataFrame, schema: T.StructType, keep: Iterable[str] = ()) -> DataFrame:
     """Parse message values; a malformed message gives NULL fields, not an error.
 
     ``keep`` names message columns (such as ``offset``) to carry along.
     """
-    data = F.from_json(F.col("value").cast("string"), schema, JSON_FORMATS).alias("data")
-    return records.select(data, *keep).select("data.*", *keep)
+    data = F.from_json(F.col("value").cast("string"), schema, JSON_FORMATS)
+    return records.select(fields_of(data), *keep)
 
 
 def envelope_schema(schema: T.StructType) -> str:
@@ -77,4 +86,4 @@ def from_envelopes(
     """Read the payload of enveloped messages."""
     wrapper = T.StructType([T.StructField("payload", schema)])
     parsed = F.from_json(F.col("value").cast("string"), wrapper, JSON_FORMATS)
-    return records.select(parsed["payload"].alias("data"), *keep).select("data.*", *keep)
+    return records.select(fields_of(parsed["payload"]), *keep)

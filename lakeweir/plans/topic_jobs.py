@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,10 +34,18 @@ def mirror_topics(
     alias: str,
     checkpoint: str,
     pattern: str = ".*",
+    target_alias: str | None = None,
     **run: object,
 ) -> StreamRun:
-    """Copy topics matching ``pattern`` to ``<alias>.<topic>``, key and value unchanged."""
+    """Copy topics matching ``pattern`` to ``<alias>.<topic>``, key and value unchanged.
+
+    When mirrors run in both directions, ``target_alias`` keeps topics that
+    came from the target from going back to it.
+    """
     messages = source.read_stream(spark, pattern=pattern)
+    if target_alias:
+        returned = rf"^(?:[^.]+\.)*{re.escape(target_alias)}\."
+        messages = messages.filter(~F.col("topic").rlike(returned))
     renamed = messages.select("key", "value", F.concat(F.lit(f"{alias}."), "topic").alias("topic"))
 
     def send(batch: DataFrame, batch_id: int) -> None:

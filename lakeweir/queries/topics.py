@@ -82,17 +82,18 @@ def json_envelope_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def topic_bounded_read(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """From the first offset of some partitions and a later one of others, up to an end."""
+    """Every partition without its first and last messages, more of them from later partitions."""
     topics = ParquetTopics(scratch_path(spark, "topics"))
     events = table(spark, sf_dir, "events")
     stored = numbered(events, F.lit("events"), "event_id")
     stored.drop("topic").write.parquet(f"{topics.root}/topic=events/write=0")
+    known = topic_offsets(topics.read(spark, "events")).collect()  # one row per partition
     messages = bounded_read(
         spark,
         topics,
         "events",
-        start={p: 10 * p for p in range(PARTITIONS)},
-        end={p: 100 + 10 * p for p in range(PARTITIONS)},
+        start={r["partition"]: r["start_offset"] + r["partition"] for r in known},
+        end={r["partition"]: r["end_offset"] - r["partition"] for r in known},
     )
     return from_records(messages, events.schema, keep=["partition", "offset"])
 
@@ -144,9 +145,11 @@ QUERIES = [
         "topic_bounded_read",
         topic_bounded_read,
         f"""WITH m AS (SELECT *, (event_id % {PARTITIONS})::int AS "partition",
-                              event_id // {PARTITIONS} AS "offset" FROM events)
-            SELECT event_id, ts, user_id, event_type, value, props, "partition", "offset" FROM m
-            WHERE "offset" >= 10 * "partition" AND "offset" < 100 + 10 * "partition" """,
+                              event_id // {PARTITIONS} AS "offset" FROM events),
+            b AS (SELECT "partition" AS p, min("offset") + "partition" AS low,
+                         max("offset") + 1 - "partition" AS high FROM m GROUP BY "partition")
+            SELECT event_id, ts, user_id, event_type, value, props, "partition", "offset"
+            FROM m JOIN b ON "partition" = p WHERE "offset" >= low AND "offset" < high""",
     ),
     Query(
         "topic_offsets",

@@ -118,13 +118,22 @@ class KafkaTopics:
 
 
 def within(start: Offsets | None, end: Offsets | None) -> Column:
-    """Start offsets are included, end offsets are not; absent partitions are not read."""
+    """Start offsets are included, end offsets are not; absent partitions are not read.
+
+    The widest bounds are compared with plain literals, which the scan can use
+    to skip row groups; the map then applies each partition's own bound.
+    """
+    offset = F.col("offset")
+
+    def own(bounds: Offsets) -> Column:
+        limits = F.create_map(*[F.lit(x) for pair in bounds.items() for x in pair])
+        return F.try_element_at(limits, F.col("partition")).cast("bigint")
+
     test = F.lit(True)
-    for bounds, lower in ((start, True), (end, False)):
-        if bounds is not None:
-            limit = F.create_map(*[F.lit(x) for pair in bounds.items() for x in pair])
-            bound = F.try_element_at(limit, F.col("partition")).cast("bigint")
-            test &= F.col("offset") >= bound if lower else F.col("offset") < bound
+    if start:
+        test &= (offset >= min(start.values())) & (offset >= own(start))
+    if end:
+        test &= (offset < max(end.values())) & (offset < own(end))
     return test
 
 
