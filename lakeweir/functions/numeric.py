@@ -46,11 +46,15 @@ def round_half_up(column: Column | str, places: int = PLACES) -> Column:
 
 
 def measure_units(column: Column, scale: int | None) -> Column:
-    """The value that averages add up: whole units of ``10 ** -scale``, or the double itself."""
+    """The value that averages add up: whole units of ``10 ** -scale``, or the double itself.
+
+    A measure of at most ``scale`` decimals is a whole number of units but for
+    the error of the product, so the nearest integer is exact.
+    """
     number = column.try_cast("double")
     if scale is None:
         return number
-    return F.round(number * F.lit(float(10**scale))).cast("bigint")
+    return F.rint(number * F.lit(float(10**scale))).cast("bigint")
 
 
 def rounded_ratio(total: Column, count: Column, scale: int | None, places: int = PLACES) -> Column:

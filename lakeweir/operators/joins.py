@@ -30,7 +30,7 @@ def measured_bytes(df: DataFrame) -> int | None:
             return None
         fixed += 16
     width = reduce(Column.__add__, texts, F.lit(fixed)).cast("bigint")
-    return df.agg(F.coalesce(F.sum(width), F.lit(0)).alias("bytes")).first()["bytes"]
+    return df.agg(F.coalesce(F.sum(width), F.lit(0)).alias("bytes")).collect()[0]["bytes"]
 
 
 def fits_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
