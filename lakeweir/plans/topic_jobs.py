@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from lakeweir.functions.records import to_records
 from lakeweir.sources.files import read_line_stream
 from lakeweir.sources.topics import KafkaTopics, Offsets, ParquetTopics
-from lakeweir.streaming.run import StreamRun, run_stream
+from lakeweir.streaming.run import TIMEOUT_SECONDS, StreamRun, run_stream
 
 Topics = KafkaTopics | ParquetTopics
 
@@ -35,6 +35,7 @@ def mirror_topics(
     checkpoint: str,
     pattern: str = ".*",
     target_alias: str | None = None,
+    max_per_trigger: int | None = None,
     **run: object,
 ) -> StreamRun:
     """Copy topics matching ``pattern`` to ``<alias>.<topic>``, key and value unchanged.
@@ -42,7 +43,7 @@ def mirror_topics(
     When mirrors run in both directions, ``target_alias`` keeps topics that
     came from the target from going back to it.
     """
-    messages = source.read_stream(spark, pattern=pattern)
+    messages = source.read_stream(spark, pattern=pattern, max_per_trigger=max_per_trigger)
     if target_alias:
         returned = rf"^(?:[^.]+\.)*{re.escape(target_alias)}\."
         messages = messages.filter(~F.col("topic").rlike(returned))
@@ -55,16 +56,21 @@ def mirror_topics(
 
 
 def lines_to_topic(
-    spark: SparkSession, path: str, topics: Topics, topic: str, checkpoint: str, **run: object
+    spark: SparkSession,
+    path: str,
+    topics: Topics,
+    topic: str,
+    checkpoint: str,
+    max_files_per_trigger: int | None = None,
+    **run: object,
 ) -> StreamRun:
     """Every line of the text files below ``path`` becomes a message."""
 
     def send(batch: DataFrame, batch_id: int) -> None:
         topics.write(batch, topic, batch_id)
 
-    return run_stream(
-        read_line_stream(spark, path), send, checkpoint, output_mode="append", **run
-    )
+    lines = read_line_stream(spark, path, max_files_per_trigger)
+    return run_stream(lines, send, checkpoint, output_mode="append", **run)
 
 
 def topic_to_lines(
@@ -74,10 +80,12 @@ def topic_to_lines(
     path: str,
     checkpoint: str,
     trigger: str | None = None,
-    timeout: float = 600,
+    timeout: float = TIMEOUT_SECONDS,
+    max_per_trigger: int | None = None,
 ) -> bool:
     """Every message becomes a line below ``path``; the file sink writes each exactly once."""
-    lines = topics.read_stream(spark, topic).select(F.col("value").cast("string").alias("value"))
+    messages = topics.read_stream(spark, topic, max_per_trigger=max_per_trigger)
+    lines = messages.select(F.col("value").cast("string").alias("value"))
     writer = lines.writeStream.format("text").option("checkpointLocation", checkpoint)
     if trigger is None:
         query = writer.trigger(availableNow=True).start(path)

@@ -17,7 +17,7 @@ from lakeweir.streaming.enriched import build_enriched_stream
 from lakeweir.streaming.run import Sink, fan_out, run_stream
 
 TOPIC = "events"
-FILES = 3
+BATCHES = 3
 KEYS = ("event_type", "c_mktsegment", "c_nationkey")
 MEASURES = {"avg_balance": "c_acctbal"}
 
@@ -29,12 +29,24 @@ def state_partitions(spark: SparkSession) -> int:
     )
 
 
+def message_files(events: DataFrame) -> int:
+    """One file of messages per file of the table, and enough for a few micro-batches."""
+    return max(BATCHES, len(events.inputFiles()))
+
+
 def published(spark: SparkSession, sf_dir: str) -> ParquetTopics:
     topics = ParquetTopics(scratch_path(spark, "topics"))
-    publish_table(table(spark, sf_dir, "events"), topics, TOPIC, partitions=FILES)
+    events = table(spark, sf_dir, "events")
+    publish_table(events, topics, TOPIC, partitions=message_files(events))
     return topics
 
 
+def in_batches(spark: SparkSession, sf_dir: str, topics: ParquetTopics) -> DataFrame:
+    """The topic as a stream of ``BATCHES`` micro-batches."""
+    files = message_files(table(spark, sf_dir, "events"))
+    return topics.read_stream(spark, TOPIC, max_per_trigger=-(-files // BATCHES))
+
+
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "customer").select(
         "c_custkey", "c_mktsegment", "c_nationkey", "c_acctbal"
@@ -76,7 +88,7 @@ def topic_stream_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     topics = published(spark, sf_dir)
     path = scratch_path(spark, "scanned")
     events = from_records(
-        topics.read_stream(spark, TOPIC, max_per_trigger=1), table(spark, sf_dir, "events").schema
+        in_batches(spark, sf_dir, topics), table(spark, sf_dir, "events").schema
     )
     run_stream(
         events, to_folder(path), scratch_path(spark, "checkpoint"), None, output_mode="append"
@@ -88,7 +100,7 @@ def stream_static_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     topics = published(spark, sf_dir)
     path = scratch_path(spark, "joined")
     events = from_records(
-        topics.read_stream(spark, TOPIC, max_per_trigger=1),
+        in_batches(spark, sf_dir, topics),
         table(spark, sf_dir, "events").schema,
         keep=["offset"],
     )
@@ -105,7 +117,7 @@ def stream_static_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def averaged(spark: SparkSession, sf_dir: str, **options: int) -> DataFrame:
     topics = published(spark, sf_dir)
     path = scratch_path(spark, "averages")
-    records = topics.read_stream(spark, TOPIC, max_per_trigger=1)
+    records = in_batches(spark, sf_dir, topics)
     run_stream(
         running_averages(spark, sf_dir, records, **options),
         to_folder(path),
@@ -129,9 +141,7 @@ def stream_fanout_sinks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every micro-batch to a topic and to a table; both hold the same answer."""
     topics = published(spark, sf_dir)
     path = scratch_path(spark, "table")
-    averages = running_averages(
-        spark, sf_dir, topics.read_stream(spark, TOPIC, max_per_trigger=1)
-    )
+    averages = running_averages(spark, sf_dir, in_batches(spark, sf_dir, topics))
 
     def to_topic(batch: DataFrame, batch_id: int) -> None:
         topics.write(to_records(batch), "averages", batch_id)

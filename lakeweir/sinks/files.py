@@ -16,6 +16,12 @@ def write_parquet(df: DataFrame, path: str, name: str | None = None) -> int:
     return rows
 
 
+def snapshot(df: DataFrame, path: str) -> DataFrame:
+    """``df`` stored at ``path`` and read from there: its source is asked only once."""
+    write_parquet(df, path, "snapshot")
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
     """Store one micro-batch under its number, replacing an earlier attempt of it."""
     kept = df.drop("batch_id")
