@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from lakeweir.functions.numeric import PLACES, measure_units, rounded_average, rounded_ratio
 from lakeweir.operators.joins import BROADCAST_BYTES, SALT, STREAM_SALTS, fits_broadcast, spread
+from lakeweir.sinks.files import snapshot
 
 KEY = "__key"
 ROWS = "__rows"
@@ -56,6 +57,7 @@ def average_joined(
     salt: Column | None = None,
     salts: int = STREAM_SALTS,
     broadcast_limit: int = BROADCAST_BYTES,
+    dim_copy: str | None = None,
 ) -> DataFrame:
     """Averages of ``dim`` measures over ``fact JOIN dim``, grouped by keys of both sides.
 
@@ -66,16 +68,23 @@ def average_joined(
     one counted row per join key and group: a key that holds a third of all
     rows shrinks inside the map tasks, before the shuffle. A streaming fact
     cannot be aggregated twice and is salted instead, by ``salt``.
+
+    With ``dim_copy`` the collapsed dimension is stored at that path now and read
+    from there, so the micro-batches of a stream do not each read and collapse
+    the dimension again.
     """
     fact_keys, dim_keys = list(fact_keys), list(dim_keys)
     columns = dict.fromkeys([*dim_keys, *measures.values()])
     dim = dim.filter(F.col(dim_on).isNotNull()).select(F.col(dim_on).alias(KEY), *columns)
     parts = collapse(dim, [KEY, *dim_keys], measures, scale)
+    if dim_copy:
+        parts = snapshot(parts, dim_copy)
+    small = fits_broadcast(parts if dim_copy else dim, broadcast_limit)
     carried = [F.col(on).alias(KEY), *fact_keys]
     rows = fact.filter(F.col(on).isNotNull())
 
     join_keys = [KEY]
-    if fits_broadcast(dim, broadcast_limit):
+    if small:
         rows = rows.select(*carried, F.lit(1).cast("bigint").alias(ROWS))
         parts = F.broadcast(parts)
     elif fact.isStreaming:
@@ -87,6 +96,8 @@ def average_joined(
     else:
         rows = rows.select(*carried).groupBy(KEY, *fact_keys).agg(F.count("*").alias(ROWS))
 
+    if not small:
+        parts = parts.hint("merge")  # compressed files can look small enough to broadcast
     weight = F.col(ROWS)
     averages = [
         rounded_ratio(

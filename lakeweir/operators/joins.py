@@ -75,9 +75,11 @@ def enrich(
     salted = False
     if fits_broadcast(dim, broadcast_limit):
         dim = F.broadcast(dim)
-    elif salt is not None and salts > 1:
-        fact, dim = spread(fact, dim, salt, salts)
-        salted = True
+    else:
+        if salt is not None and salts > 1:
+            fact, dim = spread(fact, dim, salt, salts)
+            salted = True
+        dim = dim.hint("merge")  # compressed files can look small enough to broadcast
     left, right = fact.alias("fact"), dim.alias("dim")
     if dim_on is None:
         return left.join(right, on=[on, SALT] if salted else [on], how="inner").drop(SALT)

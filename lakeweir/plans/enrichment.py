@@ -5,15 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from lakeweir.config import JdbcConfig
-from lakeweir.functions.numeric import valid_measures
 from lakeweir.functions.records import to_records
 from lakeweir.plans.topic_jobs import Topics, publish_table
 from lakeweir.schemas import AVERAGES_DDL
 from lakeweir.session import scratch_path
-from lakeweir.sinks.files import snapshot
 from lakeweir.sinks.jdbc import write_jdbc
 from lakeweir.sources.jdbc import Split, read_jdbc
-from lakeweir.streaming.enriched import MEASURES, build_enriched_stream
+from lakeweir.streaming.enriched import build_enriched_stream
 from lakeweir.streaming.run import Sink, StreamRun, fan_out, run_stream
 
 RESULTS = "athlete_event_results"
@@ -61,10 +59,11 @@ def run_enrichment(
 ) -> StreamRun:
     """Messages joined with ``bio``, averaged, and sent to every sink.
 
-    The usable rows of ``bio`` are stored once in the shared scratch folder;
+    What the join needs of ``bio`` is stored once in the shared scratch folder;
     otherwise each micro-batch would read the database table anew.
     """
-    usable = snapshot(valid_measures(bio, MEASURES.values()), scratch_path(spark, "bio"))
     records = topics.read_stream(spark, topic, max_per_trigger=max_per_trigger)
-    stream = build_enriched_stream(records, usable, scale=scale)
+    stream = build_enriched_stream(
+        records, bio, scale=scale, bio_copy=scratch_path(spark, "bio")
+    )
     return run_stream(stream, fan_out(*sinks), checkpoint, **run)

@@ -23,10 +23,9 @@ MEASURES = {"avg_balance": "c_acctbal"}
 
 
 def state_partitions(spark: SparkSession) -> int:
-    """Few groups need few state partitions: the cores of the cluster, at most the session's."""
-    return min(
-        spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))
-    )
+    """The groups are few, so a quarter of the cores is enough; at most the session's width."""
+    cores = spark.sparkContext.defaultParallelism
+    return max(1, min(cores // 4, int(spark.conf.get("spark.sql.shuffle.partitions"))))
 
 
 def message_files(events: DataFrame) -> int:
@@ -67,6 +66,7 @@ def running_averages(
         output_keys=KEYS,
         measures=MEASURES,
         scale=2,
+        bio_copy=scratch_path(spark, "dim"),
         **options,
     )
 

@@ -31,11 +31,13 @@ def build_enriched_stream(
     scale: int | None = None,
     salts: int = STREAM_SALTS,
     broadcast_limit: int = BROADCAST_BYTES,
+    bio_copy: str | None = None,
 ) -> DataFrame:
     """Messages to stamped running averages; the same plan serves a batch of messages.
 
     The country is that of the event. Rows of ``bio`` without valid measures
-    are dropped before the join.
+    are dropped before the join. With ``bio_copy`` what the join needs of
+    ``bio`` is stored at that path once, instead of being read for every batch.
     """
     averages = average_joined(
         from_records(records, schema, keep=["offset"]),
@@ -49,5 +51,6 @@ def build_enriched_stream(
         salt=F.col("offset"),
         salts=salts,
         broadcast_limit=broadcast_limit,
+        dim_copy=bio_copy,
     )
     return stamp(averages.select(*output_keys, *measures))

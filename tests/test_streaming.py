@@ -52,15 +52,16 @@ def table_sink(path):
     return fan_out(lambda batch, batch_id: write_batch(batch, path, batch_id))
 
 
-@pytest.mark.parametrize("limit", [0, 64 << 20])
-def test_three_batches_equal_one(spark, bio, results, limit):
+@pytest.mark.parametrize("limit,copied", [(0, True), (64 << 20, False)])
+def test_three_batches_equal_one(spark, bio, results, limit, copied):
     topics = ParquetTopics(scratch_path(spark, "t"))
     publish_split(topics, results, 3)
     path = scratch_path(spark, "out")
     records = topics.read_stream(spark, "results", max_per_trigger=1)
+    copy = scratch_path(spark, "dim") if copied else None
     run = run_stream(
-        build_enriched_stream(records, bio, broadcast_limit=limit),
-        table_sink(path), scratch_path(spark, "cp"), trigger=None, state_partitions=3,
+        build_enriched_stream(records, bio, broadcast_limit=limit, bio_copy=copy),
+        table_sink(path), scratch_path(spark, "cp"), trigger=None, state_partitions=2,
     )
     assert run.finished and run.last_batch == 2
     changes = spark.read.parquet(path)
@@ -74,7 +75,7 @@ def test_three_batches_equal_one(spark, bio, results, limit):
     assert batch.columns == [*GROUP_KEYS, "avg_height", "avg_weight", "timestamp"]
 
 
-@settings(max_examples=3, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=2, deadline=None, suppress_health_check=list(HealthCheck))
 @given(cuts=st.integers(1, 4), per_batch=st.integers(1, 3))
 def test_any_split_gives_the_same(spark, bio, results, cuts, per_batch):
     topics = ParquetTopics(scratch_path(spark, "t"))
@@ -162,7 +163,7 @@ def test_a_run_is_bounded_in_time(spark, bio, results):
     run = run_stream(
         build_enriched_stream(topics.read_stream(spark, "results"), bio),
         table_sink(path), scratch_path(spark, "cp"),
-        trigger="1 second", timeout=12, state_partitions=2,
+        trigger="1 second", timeout=8, state_partitions=2,
     )
     assert not run.finished and not spark.streams.active
     found = latest_by_key(spark.read.parquet(path), GROUP_KEYS)
