@@ -1,9 +1,13 @@
 """Dimension joins.
 
 A dimension is broadcast only after its size has been measured. Beyond the
-limit both sides are shuffled on the key, and hot keys are split: adaptive
-execution does it for batch joins, a salt does it for streams, where adaptive
-execution cannot re-plan a stateful query.
+limit both sides are shuffled on the key, but for hot keys. Batch joins find
+those by counting and join them without a shuffle. Streams, whose keys cannot
+be counted beforehand, spread every key over salts.
+
+Adaptive skew splitting stays on as well, but is not relied on: it compares
+bytes, and a partition of equal keys compresses so well that it can hold a third
+of all rows and pass for a small one.
 """
 
 from __future__ import annotations
@@ -17,6 +21,11 @@ from pyspark.sql import types as T
 BROADCAST_BYTES = 64 << 20
 STREAM_SALTS = 8
 SALT = "__salt"
+# A key is hot from this share of a table's rows on, so a table has at most
+# ``HOT_KEYS`` of them and the list stays short.
+HOT_SHARE = 0.001
+HOT_KEYS = int(1 / HOT_SHARE)
+HOT_TRACKED = 10 * HOT_KEYS
 
 
 def measured_bytes(df: DataFrame) -> int | None:
@@ -56,6 +65,46 @@ def spread(
     )
 
 
+def hot_keys(df: DataFrame, on: str) -> list:
+    """The keys that hold at least ``HOT_SHARE`` of the rows, found in one aggregate.
+
+    The sketch behind it may overstate a count, which is harmless here: any
+    choice of keys gives the same join.
+    """
+    key = F.col(on)
+    top = F.call_function("approx_top_k", key, F.lit(HOT_KEYS), F.lit(HOT_TRACKED))
+    keyed = df.filter(key.isNotNull())
+    found = keyed.agg(top.alias("top"), F.count(key).alias("rows")).collect()[0]
+    return [t["item"] for t in found["top"] if t["count"] >= HOT_SHARE * found["rows"]]
+
+
+def split_hot_keys(
+    fact: DataFrame, dim: DataFrame, on: str, dim_on: str, limit: int
+) -> list[tuple[DataFrame, DataFrame]]:
+    """Pairs of parts whose joins, put together, are the join of ``fact`` and ``dim``.
+
+    The rows of keys that are hot on one side stay where they are if the other
+    side's rows of these keys are few enough to broadcast. The first pair is
+    the rest, which is shuffled.
+    """
+    pairs, taken = [], []
+    hot = hot_keys(fact, on)
+    if hot:
+        few = dim.filter(F.col(dim_on).isin(hot))
+        if fits_broadcast(few, limit):
+            pairs.append((fact.filter(F.col(on).isin(hot)), F.broadcast(few)))
+            taken += hot
+    hot = [key for key in hot_keys(dim, dim_on) if key not in taken]
+    if hot:
+        few = fact.filter(F.col(on).isin(hot))
+        if fits_broadcast(few, limit):
+            pairs.append((F.broadcast(few), dim.filter(F.col(dim_on).isin(hot))))
+            taken += hot
+    if taken:
+        fact, dim = fact.filter(~F.col(on).isin(taken)), dim.filter(~F.col(dim_on).isin(taken))
+    return [(fact, dim.hint("merge")), *pairs]
+
+
 def enrich(
     fact: DataFrame,
     dim: DataFrame,
@@ -64,6 +113,7 @@ def enrich(
     salt: Column | None = None,
     salts: int = STREAM_SALTS,
     broadcast_limit: int = BROADCAST_BYTES,
+    hot_limit: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Inner join of ``fact`` with a static ``dim``.
 
@@ -74,17 +124,27 @@ def enrich(
     """
     salted = False
     if fits_broadcast(dim, broadcast_limit):
-        dim = F.broadcast(dim)
+        pairs = [(fact, F.broadcast(dim))]
+    elif salt is not None and salts > 1:
+        fact, dim = spread(fact, dim, salt, salts)
+        pairs = [(fact, dim.hint("merge"))]
+        salted = True
+    elif fact.isStreaming:
+        pairs = [(fact, dim.hint("merge"))]
     else:
-        if salt is not None and salts > 1:
-            fact, dim = spread(fact, dim, salt, salts)
-            salted = True
-        dim = dim.hint("merge")  # compressed files can look small enough to broadcast
+        pairs = split_hot_keys(fact, dim, on, dim_on or on, hot_limit)
+    return reduce(DataFrame.union, [_join(f, d, on, dim_on, salted) for f, d in pairs])
+
+
+def _join(
+    fact: DataFrame, dim: DataFrame, on: str, dim_on: str | None, salted: bool
+) -> DataFrame:
     left, right = fact.alias("fact"), dim.alias("dim")
     if dim_on is None:
         return left.join(right, on=[on, SALT] if salted else [on], how="inner").drop(SALT)
     condition = F.col(f"fact.{on}") == F.col(f"dim.{dim_on}")
-    if salted:
-        condition &= F.col(f"fact.{SALT}") == F.col(f"dim.{SALT}")
+    if not salted:
+        return left.join(right, condition, "inner")
+    condition &= F.col(f"fact.{SALT}") == F.col(f"dim.{SALT}")
     joined = left.join(right, condition, "inner")
-    return joined.drop(F.col(f"fact.{SALT}"), F.col(f"dim.{SALT}")) if salted else joined
+    return joined.drop(F.col(f"fact.{SALT}"), F.col(f"dim.{SALT}"))

@@ -62,12 +62,12 @@ def group_averages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def enrich_join_inner(spark: SparkSession, sf_dir: str) -> DataFrame:
+def enriched_events(spark: SparkSession, sf_dir: str, **limits: int) -> DataFrame:
     events = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value")
     people = table(spark, sf_dir, "customer").select(
         "c_custkey", "c_mktsegment", "c_nationkey", "c_acctbal"
     )
-    return enrich(events, people, "user_id", "c_custkey").select(
+    return enrich(events, people, "user_id", "c_custkey", **limits).select(
         "fact.event_id",
         "fact.event_type",
         "fact.value",
@@ -78,6 +78,15 @@ def enrich_join_inner(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def enrich_join_inner(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return enriched_events(spark, sf_dir)
+
+
+def enrich_join_inner_wide_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same join planned as for a dimension too large to broadcast."""
+    return enriched_events(spark, sf_dir, broadcast_limit=0)
+
+
 def enrich_join_dim_country(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both sides have ``nationkey``; the output takes that of the dimension."""
     fact = table(spark, sf_dir, "supplier").select(
@@ -98,6 +107,11 @@ GOLD_SQL = f"""
     GROUP BY ALL
 """
 
+ENRICHED_SQL = """
+    SELECT event_id, event_type, value, c_custkey, c_mktsegment, c_nationkey, c_acctbal
+    FROM events JOIN customer ON user_id = c_custkey
+"""
+
 QUERIES = [
     Query("gold_avg_stats", gold_avg_stats, GOLD_SQL),
     Query("gold_avg_stats_wide_dim", gold_avg_stats_wide_dim, GOLD_SQL),
@@ -108,12 +122,8 @@ QUERIES = [
                    {sql_average("l_extendedprice")} AS avg_price
             FROM lineitem GROUP BY l_returnflag, l_linestatus""",
     ),
-    Query(
-        "enrich_join_inner",
-        enrich_join_inner,
-        """SELECT event_id, event_type, value, c_custkey, c_mktsegment, c_nationkey, c_acctbal
-           FROM events JOIN customer ON user_id = c_custkey""",
-    ),
+    Query("enrich_join_inner", enrich_join_inner, ENRICHED_SQL),
+    Query("enrich_join_inner_wide_dim", enrich_join_inner_wide_dim, ENRICHED_SQL),
     Query(
         "enrich_join_dim_country",
         enrich_join_dim_country,

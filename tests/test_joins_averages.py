@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lakeweir.operators.averages import average_by, average_joined
-from lakeweir.operators.joins import SALT, enrich, fits_broadcast, measured_bytes
+from lakeweir.operators.joins import SALT, enrich, fits_broadcast, hot_keys, measured_bytes
 from tests.athletes import averages
 from tests.helpers import plan_of
 
@@ -88,6 +88,44 @@ def test_enrich_gives_every_pair_once(sides, limit, salted):
     assert used.groupBy("row").count().count() == joined.select("row").distinct().count()
 
 
+def skewed(spark):
+    """Key 7 is hot in the fact, key -1 in the dimension, and 5,000 keys are cold."""
+    fact = spark.range(15000).selectExpr(
+        "if(id % 3 = 0, 7L, if(id = 1, -1L, id % 5000)) AS k", "id AS row", "'f' AS c")
+    dim = spark.range(9000).selectExpr(
+        "if(id >= 6000, -1L, id) AS k", "id AS dim_row", "'d' AS c")
+    return fact, dim
+
+
+def test_hot_keys(spark):
+    fact, dim = skewed(spark)
+    assert hot_keys(fact, "k") == [7] and hot_keys(dim, "k") == [-1]
+    assert hot_keys(fact.filter("k is null"), "k") == []
+
+
+def test_hot_keys_are_not_shuffled(spark):
+    fact, dim = skewed(spark)
+    joined = enrich(fact, dim, "k", "k", broadcast_limit=0)
+    plan = plan_of(joined, "simple")
+    assert plan.count("BroadcastHashJoin") == 2 and plan.count("SortMergeJoin") == 1
+    expected = fact.alias("a").join(dim.alias("b"), F.col("a.k") == F.col("b.k"))
+    columns = ["row", "dim_row"]
+    found, wanted = joined.select(*columns), expected.select(*columns)
+    assert found.count() == wanted.count() > 15000
+    assert found.exceptAll(wanted).count() == 0
+    assert joined.select("fact.c", "dim.c").distinct().collect() == [("f", "d")]
+    used = enrich(fact, dim, "k", broadcast_limit=0)
+    assert used.columns == ["k", "row", "c", "dim_row", "c"]
+    assert used.select("k", "fact.c", "dim.c").count() == wanted.count()
+
+
+def test_hot_rows_too_many_to_broadcast_are_still_whole(spark):
+    fact, dim = skewed(spark)
+    joined = enrich(fact, dim, "k", "k", broadcast_limit=0, hot_limit=0)
+    assert "BroadcastHashJoin" not in plan_of(joined)
+    assert joined.count() == fact.join(dim, "k").count()
+
+
 def test_shared_names_stay_selectable(spark):
     a = spark.createDataFrame([(1, "left")], "id int, c string")
     b = spark.createDataFrame([(1, "right")], "id int, c string")
