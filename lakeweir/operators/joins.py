@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 BROADCAST_BYTES = 64 << 20
 STREAM_SALTS = 8
 SALT = "__salt"
+HOT = "__hot"
 # A key is hot from this share of a table's rows on, so a table has at most
 # ``HOT_KEYS`` of them and the list stays short.
 HOT_SHARE = 0.001
@@ -78,6 +79,14 @@ def hot_keys(df: DataFrame, on: str) -> list:
     return [t["item"] for t in found["top"] if t["count"] >= HOT_SHARE * found["rows"]]
 
 
+def with_keys(df: DataFrame, on: str, keys: list, present: bool = True) -> DataFrame:
+    """Rows whose key is, or is not, among a short list of keys."""
+    schema = T.StructType([T.StructField(HOT, df.schema[on].dataType)])
+    listed = df.sparkSession.createDataFrame([(key,) for key in keys], schema)
+    how = "left_semi" if present else "left_anti"
+    return df.join(F.broadcast(listed), F.col(on) == F.col(HOT), how)
+
+
 def split_hot_keys(
     fact: DataFrame, dim: DataFrame, on: str, dim_on: str, limit: int
 ) -> list[tuple[DataFrame, DataFrame]]:
@@ -90,18 +99,19 @@ def split_hot_keys(
     pairs, taken = [], []
     hot = hot_keys(fact, on)
     if hot:
-        few = dim.filter(F.col(dim_on).isin(hot))
+        few = with_keys(dim, dim_on, hot)
         if fits_broadcast(few, limit):
-            pairs.append((fact.filter(F.col(on).isin(hot)), F.broadcast(few)))
+            pairs.append((with_keys(fact, on, hot), F.broadcast(few)))
             taken += hot
     hot = [key for key in hot_keys(dim, dim_on) if key not in taken]
     if hot:
-        few = fact.filter(F.col(on).isin(hot))
+        few = with_keys(fact, on, hot)
         if fits_broadcast(few, limit):
-            pairs.append((F.broadcast(few), dim.filter(F.col(dim_on).isin(hot))))
+            pairs.append((F.broadcast(few), with_keys(dim, dim_on, hot)))
             taken += hot
     if taken:
-        fact, dim = fact.filter(~F.col(on).isin(taken)), dim.filter(~F.col(dim_on).isin(taken))
+        fact = with_keys(fact, on, taken, present=False)
+        dim = with_keys(dim, dim_on, taken, present=False)
     return [(fact, dim.hint("merge")), *pairs]
 
 

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -107,7 +108,8 @@ def test_hot_keys_are_not_shuffled(spark):
     fact, dim = skewed(spark)
     joined = enrich(fact, dim, "k", "k", broadcast_limit=0)
     plan = plan_of(joined, "simple")
-    assert plan.count("BroadcastHashJoin") == 2 and plan.count("SortMergeJoin") == 1
+    assert plan.count("SortMergeJoin") == 1
+    assert len(re.findall(r"BroadcastHashJoin.*Inner", plan)) == 2
     expected = fact.alias("a").join(dim.alias("b"), F.col("a.k") == F.col("b.k"))
     columns = ["row", "dim_row"]
     found, wanted = joined.select(*columns), expected.select(*columns)
@@ -122,7 +124,7 @@ def test_hot_keys_are_not_shuffled(spark):
 def test_hot_rows_too_many_to_broadcast_are_still_whole(spark):
     fact, dim = skewed(spark)
     joined = enrich(fact, dim, "k", "k", broadcast_limit=0, hot_limit=0)
-    assert "BroadcastHashJoin" not in plan_of(joined)
+    assert not re.findall(r"BroadcastHashJoin.*Inner", plan_of(joined, "simple"))
     assert joined.count() == fact.join(dim, "k").count()
 
 
