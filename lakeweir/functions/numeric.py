@@ -70,7 +70,9 @@ def rounded_average(
 
     Sums of doubles depend on the order of the rows. When the measure has at
     most ``scale`` decimals (and no NaN), giving ``scale`` sums whole units
-    instead, so the result is the same however the data is partitioned.
+    instead, so the result is the same however the data is partitioned. A sum
+    beyond the range of ``bigint`` (9.2e18 units) is an error in ANSI mode, the
+    default, and never a wrong number.
     """
     column = F.col(column) if isinstance(column, str) else column
     units = measure_units(column, scale)

@@ -94,7 +94,8 @@ def split_hot_keys(
 
     The rows of keys that are hot on one side stay where they are if the other
     side's rows of these keys are few enough to broadcast. The first pair is
-    the rest, which is shuffled.
+    the rest, which is shuffled. Each side is read once per part, so it has to
+    give the same rows every time; store it first if it does not.
     """
     pairs, taken = [], []
     hot = hot_keys(fact, on)

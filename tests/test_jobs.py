@@ -91,6 +91,37 @@ def test_streaming_commands_need_settings(monkeypatch):
         cli.main(["publish", "results"])
 
 
+def test_publish_and_enrich_commands(spark, monkeypatch):
+    """Everything but the connectors: tables come from memory, topics are folders."""
+    for name, value in {
+        "MYSQL_HOST": "h", "MYSQL_DB": "d", "MYSQL_USER": "u", "MYSQL_PASSWORD": "p",
+        "KAFKA_BOOTSTRAP_SERVERS": "b:1", "KAFKA_USERNAME": "u", "KAFKA_PASSWORD": "p",
+    }.items():
+        monkeypatch.setenv(name, value)
+    topics, path = ParquetTopics(scratch_path(spark, "t")), scratch_path(spark, "out")
+    tables = {"results": results_table, "bio": bio_table}
+
+    def read(session, db, table, split=None):
+        return tables[table](session)
+
+    def append(df, db, table, column_types, connections=None):
+        assert table == "averages" and "batch_id" in df.columns
+        df.write.mode("append").parquet(path)
+
+    monkeypatch.setattr(cli, "build_session", lambda *args, **kwargs: spark)
+    monkeypatch.setattr(cli, "KafkaTopics", lambda conn: topics)
+    monkeypatch.setattr(cli, "read_jdbc", read)
+    monkeypatch.setattr(enrichment, "read_jdbc", read)
+    monkeypatch.setattr(enrichment, "write_jdbc", append)
+
+    assert cli.main(["publish", "results", "--partitions", "2"]) == 0
+    assert topics.read(spark, enrichment.RESULTS).count() == len(events())
+    arguments = ["--trigger", "1 second", "--timeout", "12", "--state-partitions", "2"]
+    assert cli.main(["enrich", "bio", "averages", scratch_path(spark, "cp"), *arguments]) == 0
+    changes = spark.read.parquet(path)
+    assert answer_of(latest_by_key(changes, GROUP_KEYS)) == stream_answer(bios(), events())
+
+
 def test_commands_parse():
     args = cli.parser().parse_args(["publish", "t", "--split", "id:1:9:4"])
     assert args.split == Split("id", "1", "9", 4) and args.partitions == 20

@@ -12,6 +12,7 @@ from lakeweir.functions.numeric import (
     valid_measures,
 )
 from lakeweir.functions.text import clean_text
+from tests.helpers import plan_of
 
 NAN = float("nan")
 
@@ -77,3 +78,10 @@ def test_valid_measures_of_whole_and_decimal_numbers(spark):
     df = df.withColumn("d", F.col("h").cast("decimal(9,2)"))
     assert [r["id"] for r in valid_measures(df, ["h", "d"]).collect()] == [2]
     assert valid_measures(df, []).count() == 2
+
+
+def test_null_tests_reach_the_scan(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.createDataFrame([(1.0, "2")], "h double, w string").write.parquet(path)
+    plan = plan_of(valid_measures(spark.read.parquet(path), ["h", "w"]))
+    assert "IsNotNull(h)" in plan and "IsNotNull(w)" in plan
