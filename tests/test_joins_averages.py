@@ -56,6 +56,26 @@ def test_average_joined_equals_average_over_the_join(sides):
     assert {(r["f"], r["d"]): (r["mh"], r["mw"]) for r in found.collect()} == averages(pairs)
 
 
+@pytest.mark.parametrize("limit", [0, 64 << 20])
+def test_two_hot_keys_do_not_multiply(spark, limit):
+    """Key 7 has 100,000 rows on both sides: ten billion pairs, never spelled out."""
+    rows = 300_000
+    facts = spark.range(rows).selectExpr("if(id % 3 = 0, 7L, id) AS k", "id % 2 AS f")
+    dims = spark.range(rows).selectExpr("if(id % 3 = 0, 7L, id) AS id", "(id % 1000) / 100 AS h")
+    found = average_joined(
+        facts, dims, "k", "id", ["f"], [], {"m": "h"}, scale=2, broadcast_limit=limit
+    )
+    hot = [i for i in range(rows) if i % 3 == 0 or i == 7]
+    hot_sum = sum(i % 1000 for i in hot)
+    cents, pairs = [0, 0], [0, 0]
+    for i in range(rows):
+        is_hot = i % 3 == 0 or i == 7
+        cents[i % 2] += hot_sum if is_hot else i % 1000
+        pairs[i % 2] += len(hot) if is_hot else 1
+    expected = {f: round(cents[f] / pairs[f] / 100, 2) for f in (0, 1)}
+    assert {r["f"]: r["m"] for r in found.collect()} == expected
+
+
 def test_nan_reaches_the_average(spark):
     facts = spark.createDataFrame([(1, "a"), (2, "a"), (3, "b")], "k int, f string")
     dims = spark.createDataFrame([(1, NAN), (2, 1.0), (3, None)], "id int, h double")
