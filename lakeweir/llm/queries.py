@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeweir.llm.decontamination import find_benchmark
+from lakeweir.llm.substring_dedup import remove_repeats
 from lakeweir.queries.base import Query
 
 
@@ -13,6 +14,15 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(read(spark, sf_dir, "documents")).select(
+        F.col("id").alias("doc_id"),
+        "n_words",
+        "n_removed",
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_benchmark(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
     items = F.array_sort(F.transform("items", lambda i: i.cast("string")))
@@ -26,6 +36,30 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+SQL6 = r"""
+with doc as (
+    select doc_id, list_filter(regexp_split_to_array(coalesce(text, ''),
+        '[\x{20}\x{9}-\x{D}]+'), lambda x: x <> '') as words
+    from documents
+), run as (
+    select doc_id, pos, array_to_string(list_slice(words, pos, pos + 19), ' ') as run
+    from doc, unnest(range(1, len(words) - 18)) as t(pos)
+), again as (
+    select doc_id, pos from run
+    qualify row_number() over (partition by run order by doc_id, pos) > 1
+), covered as (
+    select distinct doc_id, pos + k as pos from again, unnest(range(0, 20)) as t(k)
+), word as (
+    select doc_id, pos, words[pos] as word from doc, unnest(range(1, len(words) + 1)) as t(pos)
+), kept as (
+    select doc_id, string_agg(word, ' ' order by pos) as text, count(*) as n
+    from word anti join covered using (doc_id, pos) group by doc_id
+)
+select doc_id, cast(len(words) as bigint) as n_words, len(words) - coalesce(n, 0) as n_removed,
+       sha256(coalesce(kept.text, '')) as kept_sha256
+from doc left join kept using (doc_id)
+"""
+
 SQL9 = r"""
 with doc as (
     select doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
@@ -63,4 +97,7 @@ select doc_id, cast(len(words) as bigint) as n_words, coalesce(n_hit, 0) as n_hi
 from doc left join covered using (doc_id) left join items using (doc_id)
 """
 
-QUERIES = (Query("op9_decontamination", op9_decontamination, SQL9),)
+QUERIES = (
+    Query("op6_substring_dedup", op6_substring_dedup, SQL6),
+    Query("op9_decontamination", op9_decontamination, SQL9),
+)
