@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeweir.llm.decontamination import find_benchmark
+from lakeweir.llm.packing import pack
 from lakeweir.llm.substring_dedup import remove_repeats
 from lakeweir.queries.base import Query
 
@@ -14,6 +16,19 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokenizer = public_tokenizers.path("word_bpe_49k.json")
+    return pack(read(spark, sf_dir, "documents"), tokenizer, end_id=2).select(
+        F.col("id").alias("doc_id"),
+        "start",
+        "length",
+        F.crc32("ids").alias("ids_crc32"),
+        "doc_tokens",
+        "sequence_id",
+        "offset",
+    )
+
+
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(read(spark, sf_dir, "documents")).select(
         F.col("id").alias("doc_id"),
@@ -98,6 +113,7 @@ from doc left join covered using (doc_id) left join items using (doc_id)
 """
 
 QUERIES = (
+    Query("op2_packing", op2_packing),
     Query("op6_substring_dedup", op6_substring_dedup, SQL6),
     Query("op9_decontamination", op9_decontamination, SQL9),
 )

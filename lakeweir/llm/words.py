@@ -80,10 +80,12 @@ def chunks(offsets: np.ndarray, limit: int = CHUNK_BYTES) -> Iterator[tuple[int,
         lo = hi
 
 
-def split(texts: pa.Array, word: np.ndarray, lower: bool = False) -> Iterator[Words]:
+def split(
+    texts: pa.Array, word: np.ndarray, lower: bool = False, limit: int = CHUNK_BYTES
+) -> Iterator[Words]:
     """Words of a string array, a chunk at a time."""
     data, offsets = text_buffers(texts)
-    for lo, hi in chunks(offsets):
+    for lo, hi in chunks(offsets, limit):
         raw = data[offsets[lo] : offsets[hi]]
         buf = np.zeros(len(raw) + 8, np.uint8)
         buf[:-8] = LOWER[raw] if lower else raw
