@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from lakeweir.llm.decontamination import find_benchmark
 from lakeweir.llm.packing import pack
 from lakeweir.llm.substring_dedup import remove_repeats
+from lakeweir.llm.warc import id_of, read_archive, write_archive
 from lakeweir.queries.base import Query
 
 
@@ -38,6 +39,17 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = read_archive(write_archive(read(spark, sf_dir, "pages")))
+    return records.select(
+        F.col("id").alias("page_id"),
+        F.octet_length("payload").cast("bigint").alias("payload_bytes"),
+        F.sha1("payload").alias("payload_digest"),
+        "record_type",
+        id_of(F.col("refers_to"), "bigint").alias("refers_to"),
+    )
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_benchmark(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
     items = F.array_sort(F.transform("items", lambda i: i.cast("string")))
@@ -75,6 +87,21 @@ select doc_id, cast(len(words) as bigint) as n_words, len(words) - coalesce(n, 0
 from doc left join kept using (doc_id)
 """
 
+SQL8 = """
+with page as (
+    select page_id, strlen(coalesce(html, '')) as payload_bytes,
+           sha1(coalesce(html, '')) as payload_digest
+    from pages
+), owned as (
+    select *, max(page_id) over (partition by payload_digest) as owner from page
+)
+select page_id, payload_bytes, payload_digest,
+       case when payload_bytes >= 1000 and page_id <> owner then 'revisit' else 'response' end
+           as record_type,
+       case when payload_bytes >= 1000 and page_id <> owner then owner end as refers_to
+from owned
+"""
+
 SQL9 = r"""
 with doc as (
     select doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
@@ -115,5 +142,6 @@ from doc left join covered using (doc_id) left join items using (doc_id)
 QUERIES = (
     Query("op2_packing", op2_packing),
     Query("op6_substring_dedup", op6_substring_dedup, SQL6),
+    Query("op8_warc", op8_warc, SQL8),
     Query("op9_decontamination", op9_decontamination, SQL9),
 )
