@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 from lakeweir.llm.decontamination import find_benchmark
 from lakeweir.llm.packing import pack
+from lakeweir.llm.quality import score_quality, train
+from lakeweir.llm.samples import held_out
 from lakeweir.llm.substring_dedup import remove_repeats
 from lakeweir.llm.warc import id_of, read_archive, write_archive
 from lakeweir.queries.base import Query
@@ -30,6 +32,17 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
+    model = train(documents, labels.filter(~held_out(F.col("doc_id"), 5, 0)))
+    return score_quality(documents, model).select(
+        F.col("id").alias("doc_id"),
+        held_out(F.col("id"), 5, 0).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+    )
+
+
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(read(spark, sf_dir, "documents")).select(
         F.col("id").alias("doc_id"),
@@ -141,6 +154,7 @@ from doc left join covered using (doc_id) left join items using (doc_id)
 
 QUERIES = (
     Query("op2_packing", op2_packing),
+    Query("op5_quality", op5_quality),
     Query("op6_substring_dedup", op6_substring_dedup, SQL6),
     Query("op8_warc", op8_warc, SQL8),
     Query("op9_decontamination", op9_decontamination, SQL9),

@@ -45,6 +45,7 @@ class Words:
     start: np.ndarray
     end: np.ndarray
     first: np.ndarray
+    bounds: np.ndarray  # where each text lies in the buffer
 
     @property
     def texts(self) -> int:
@@ -103,7 +104,7 @@ def split(
         ends[edges] = inside[edges]
         start = np.flatnonzero(begins)
         yield Words(
-            lo, buf, raw, start, np.flatnonzero(ends) + 1, np.searchsorted(start, bounds)
+            lo, buf, raw, start, np.flatnonzero(ends) + 1, np.searchsorted(start, bounds), bounds
         )
 
 
