@@ -6,9 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakeweir.llm import quality, toxicity
 from lakeweir.llm.decontamination import find_benchmark
 from lakeweir.llm.packing import pack
-from lakeweir.llm.quality import score_quality, train
 from lakeweir.llm.samples import held_out
 from lakeweir.llm.substring_dedup import remove_repeats
 from lakeweir.llm.warc import id_of, read_archive, write_archive
@@ -19,6 +19,21 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
+    models = toxicity.train(
+        documents,
+        labels.filter(~held_out(F.col("doc_id"), 3, 1)),
+        documents.filter(~held_out(F.col("doc_id"), 3, 1)),
+    )
+    return toxicity.score_toxicity(documents, models).select(
+        F.col("id").alias("doc_id"),
+        held_out(F.col("id"), 3, 1).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+    )
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokenizer = public_tokenizers.path("word_bpe_49k.json")
     return pack(read(spark, sf_dir, "documents"), tokenizer, end_id=2).select(
@@ -34,8 +49,8 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
-    model = train(documents, labels.filter(~held_out(F.col("doc_id"), 5, 0)))
-    return score_quality(documents, model).select(
+    model = quality.train(documents, labels.filter(~held_out(F.col("doc_id"), 5, 0)))
+    return quality.score_quality(documents, model).select(
         F.col("id").alias("doc_id"),
         held_out(F.col("id"), 5, 0).alias("held_out"),
         "score",
@@ -153,6 +168,7 @@ from doc left join covered using (doc_id) left join items using (doc_id)
 """
 
 QUERIES = (
+    Query("op1_toxicity", op1_toxicity),
     Query("op2_packing", op2_packing),
     Query("op5_quality", op5_quality),
     Query("op6_substring_dedup", op6_substring_dedup, SQL6),
