@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from lakeweir.llm import quality, toxicity
 from lakeweir.llm.decontamination import find_benchmark
+from lakeweir.llm.ngram_join import near_duplicates
 from lakeweir.llm.packing import pack
 from lakeweir.llm.samples import held_out
 from lakeweir.llm.substring_dedup import remove_repeats
@@ -47,6 +48,12 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(read(spark, sf_dir, "documents")).select(
+        F.col("id").alias("doc_id"), "n_shingles", "component_id"
+    )
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
     model = quality.train(documents, labels.filter(~held_out(F.col("doc_id"), 5, 0)))
@@ -91,6 +98,34 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+SQL4 = r"""
+with recursive doc as (
+    select doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[\x{20}\x{9}-\x{D}]+'), lambda x: x <> '') as words
+    from documents
+), shingle as (
+    select distinct doc_id, array_to_string(list_slice(words, pos, pos + 4), ' ') as s
+    from doc, unnest(range(1, greatest(len(words) - 4, 1) + 1)) as t(pos)
+    where len(words) > 0
+), size as (
+    select doc_id, count(*) as n from shingle group by doc_id
+), overlap as (
+    select x.doc_id as a, y.doc_id as b, count(*) as common
+    from shingle x join shingle y on x.s = y.s and x.doc_id <> y.doc_id group by all
+), link as (
+    select a, b from overlap join size p on p.doc_id = a join size q on q.doc_id = b
+    where 100 * common >= 80 * (p.n + q.n - common)
+), reach(doc_id, other) as (
+    select a, b from link
+    union
+    select reach.doc_id, link.b from reach join link on reach.other = link.a
+)
+select doc_id, coalesce(any_value(n), 0) as n_shingles,
+       least(doc_id, min(other)) as component_id
+from doc left join size using (doc_id) left join reach using (doc_id) group by doc_id
+"""
+
 SQL6 = r"""
 with doc as (
     select doc_id, list_filter(regexp_split_to_array(coalesce(text, ''),
@@ -170,6 +205,7 @@ from doc left join covered using (doc_id) left join items using (doc_id)
 QUERIES = (
     Query("op1_toxicity", op1_toxicity),
     Query("op2_packing", op2_packing),
+    Query("op4_ngram_join", op4_ngram_join, SQL4),
     Query("op5_quality", op5_quality),
     Query("op6_substring_dedup", op6_substring_dedup, SQL6),
     Query("op8_warc", op8_warc, SQL8),
