@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from lakeweir.llm import quality, toxicity
 from lakeweir.llm.decontamination import find_benchmark
+from lakeweir.llm.embedding_dedup import near_vectors
 from lakeweir.llm.ngram_join import near_duplicates
 from lakeweir.llm.packing import pack
 from lakeweir.llm.samples import held_out
@@ -48,6 +49,15 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(read(spark, sf_dir, "embeddings")).select(
+        F.col("id").alias("vec_id"),
+        "n_links",
+        "component_id",
+        F.col("id").eqNullSafe(F.col("component_id")).alias("kept"),
+    )
+
+
 def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read(spark, sf_dir, "documents")).select(
         F.col("id").alias("doc_id"), "n_shingles", "component_id"
@@ -98,6 +108,33 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+SQL3 = """
+with recursive part as (
+    select vec_id, unnest(embedding)::double as x, generate_subscripts(embedding, 1) as k
+    from embeddings
+), bad as (
+    select vec_id from part group by vec_id
+    having count(*) <> count(x) or not bool_and(isfinite(x)) or sum(x * x) = 0
+), vec as (
+    select vec_id, embedding::double[] as e,
+           sqrt(list_inner_product(embedding::double[], embedding::double[])) as size
+    from embeddings where embedding is not null and vec_id not in (select vec_id from bad)
+), link as (
+    select a.vec_id as a, b.vec_id as b from vec a join vec b on a.vec_id <> b.vec_id
+    where list_inner_product(a.e, b.e) / (a.size * b.size) >= 0.95
+), reach(vec_id, other) as (
+    select a, b from link
+    union
+    select reach.vec_id, link.b from reach join link on reach.other = link.a
+), counted as (
+    select a as vec_id, count(*) as n_links from link group by a
+)
+select vec_id, coalesce(any_value(n_links), 0) as n_links,
+       least(vec_id, min(other)) as component_id,
+       least(vec_id, min(other)) = vec_id as kept
+from embeddings left join counted using (vec_id) left join reach using (vec_id) group by vec_id
+"""
+
 SQL4 = r"""
 with recursive doc as (
     select doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
@@ -205,6 +242,7 @@ from doc left join covered using (doc_id) left join items using (doc_id)
 QUERIES = (
     Query("op1_toxicity", op1_toxicity),
     Query("op2_packing", op2_packing),
+    Query("op3_embedding_dedup", op3_embedding_dedup, SQL3),
     Query("op4_ngram_join", op4_ngram_join, SQL4),
     Query("op5_quality", op5_quality),
     Query("op6_substring_dedup", op6_substring_dedup, SQL6),
