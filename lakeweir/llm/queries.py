@@ -12,12 +12,14 @@ from lakeweir.llm.embedding_dedup import near_vectors
 from lakeweir.llm.ngram_join import near_duplicates
 from lakeweir.llm.packing import pack
 from lakeweir.llm.samples import held_out
+from lakeweir.llm.shipping import ship_package
 from lakeweir.llm.substring_dedup import remove_repeats
 from lakeweir.llm.warc import id_of, read_archive, write_archive
 from lakeweir.queries.base import Query
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
