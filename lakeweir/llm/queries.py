@@ -14,6 +14,8 @@ from lakeweir.llm.packing import pack
 from lakeweir.llm.samples import held_out
 from lakeweir.llm.shipping import ship_package
 from lakeweir.llm.substring_dedup import remove_repeats
+from lakeweir.llm.storage import Workspace
+from lakeweir.llm.token_counts import apply_edits, count_tokens
 from lakeweir.llm.warc import id_of, read_archive, write_archive
 from lakeweir.queries.base import Query
 
@@ -110,6 +112,34 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def derived_edits(documents: DataFrame) -> DataFrame:
+    """A deletion, an insertion and a replacement per document, at places taken from its id."""
+    size = F.coalesce(F.length("text"), F.lit(0))
+
+    def place(salt: int) -> F.Column:
+        return F.pmod(F.xxhash64("doc_id", F.lit(salt)), F.greatest(size, F.lit(1)).cast("bigint"))
+
+    def edit(salt: int, length: int, value: str) -> F.Column:
+        start = place(salt)
+        return F.struct(
+            start.alias("start"), (start + length).alias("stop"), F.lit(value).alias("value")
+        )
+
+    edits = F.array(edit(1, 12, ""), edit(2, 0, " added words"), edit(3, 5, "other"))
+    return documents.select("doc_id", F.inline(edits))
+
+
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read(spark, sf_dir, "documents")
+    tokenizer = public_tokenizers.path("word_bpe_49k.json")
+    work = Workspace(spark, "token-counts")
+    state = work.store(count_tokens(documents, tokenizer), "state")
+    counted = apply_edits(documents, state, derived_edits(documents), tokenizer)
+    return counted.select(
+        F.col("id").alias("doc_id"), "n_before", "n_tokens", "n_encoded", "n_ignored"
+    )
+
+
 SQL3 = """
 with recursive part as (
     select vec_id, unnest(embedding)::double as x, generate_subscripts(embedding, 1) as k
@@ -250,4 +280,5 @@ QUERIES = (
     Query("op6_substring_dedup", op6_substring_dedup, SQL6),
     Query("op8_warc", op8_warc, SQL8),
     Query("op9_decontamination", op9_decontamination, SQL9),
+    Query("op10_token_counts", op10_token_counts),
 )

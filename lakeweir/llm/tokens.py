@@ -103,7 +103,8 @@ class WordEncoder:
                 ids.append(self.end_id)
             yield lo, np.array(ids, self.dtype), np.array([0, len(ids)])
 
-    def _words(self, w: Words) -> tuple[np.ndarray, np.ndarray]:
+    def distinct(self, w: Words) -> tuple[np.ndarray, list[bytes]]:
+        """Which of the distinct words each word is, and their packed ids."""
         h1, h2 = hash_words(w)
         codes, distinct = pd.factorize(h1)
         first = np.zeros(len(distinct), np.int64)
@@ -121,6 +122,16 @@ class WordEncoder:
                         known.clear()
                     known[raw] = got
             ids.append(got)
+        return codes, ids
+
+    def word_sizes(self, w: Words) -> np.ndarray:
+        """Number of ids of each word."""
+        codes, ids = self.distinct(w)
+        size = np.array([len(i) for i in ids], np.int64) // self.dtype.itemsize
+        return size[codes]
+
+    def _words(self, w: Words) -> tuple[np.ndarray, np.ndarray]:
+        codes, ids = self.distinct(w)
         bounds = w.first
         if self.end_id is not None:
             ids.append(self.packed([self.end_id]))
