@@ -295,6 +295,14 @@ def train(
     return fit(lines, np.array([r["label"] for r in rows], np.int64))
 
 
+def text_scores(model: Crf, lines: Lines) -> tuple[np.ndarray, np.ndarray]:
+    """Score of each text, and probability of being good of each line."""
+    good, weight = marginals(model, lines), lines.size + 1.0
+    score = np.add.reduceat(good * weight, lines.first[:-1])
+    score /= np.add.reduceat(weight, lines.first[:-1])
+    return np.clip(score, 0.0, 1.0), good
+
+
 def score_rows(model: Crf) -> Callable:
     """From (id, text): score and number of lines."""
 
@@ -302,14 +310,12 @@ def score_rows(model: Crf) -> Callable:
         for batch in batches:
             for lo, lines in text_lines(batch.column(1)):
                 n = len(lines.first) - 1
-                good, weight = marginals(model, lines), lines.size + 1.0
-                score = np.add.reduceat(good * weight, lines.first[:-1])
-                score /= np.add.reduceat(weight, lines.first[:-1])
+                score, good = text_scores(model, lines)
                 bad = np.add.reduceat((good < 0.5).astype(np.int64), lines.first[:-1])
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(lo, n),
-                        pa.array(np.clip(score, 0.0, 1.0)),
+                        pa.array(score),
                         pa.array(np.diff(lines.first)),
                         pa.array(bad),
                     ],
@@ -328,3 +334,24 @@ def score_quality(
         score_rows(model), f"id {kind}, score double, n_lines bigint, n_bad_lines bigint"
     )
 
+
+def filter_rows(model: Crf, text_at: int, least: float) -> Callable:
+    """Whole rows whose text scores ``least`` or more."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for _, lines in text_lines(batch.column(text_at)):
+                score, _ = text_scores(model, lines)
+                keep.append(score >= least)
+            yield batch.filter(pa.array(np.concatenate([*keep, np.zeros(0, bool)])))
+
+    return run
+
+
+def keep_good(
+    documents: DataFrame, model: Crf, least: float, text_col: str = "text"
+) -> DataFrame:
+    """The rows of ``documents``, all columns as they are, whose text scores ``least`` or more."""
+    text_at = documents.columns.index(text_col)
+    return documents.mapInArrow(filter_rows(model, text_at, least), documents.schema)

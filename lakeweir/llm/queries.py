@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -281,4 +282,5 @@ QUERIES = (
     Query("op8_warc", op8_warc, SQL8),
     Query("op9_decontamination", op9_decontamination, SQL9),
     Query("op10_token_counts", op10_token_counts),
+    Query("pipeline", corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
 )

@@ -168,35 +168,56 @@ def merged(text: np.ndarray, start: np.ndarray, count: np.ndarray) -> tuple:
     return text[first], start[first], (reach - lift)[last] - start[first]
 
 
-def cut_rows(window: int, id_type: pa.DataType) -> Callable:
-    """Texts without the covered words, from (id, text, starts, counts)."""
+def cut(texts: pa.Array, spans: pa.RecordBatch, window: int) -> Iterator[tuple]:
+    """Per chunk: first text, words, removed words and kept text of each text.
+
+    ``spans`` has the first words and the numbers of repeated windows as lists.
+    """
+    for w in split(texts, NOT_SPACE):
+        part = spans.slice(w.lo, w.texts)
+        starts, counts = part.column(0), part.column(1)
+        text = pc.list_parent_indices(starts).to_numpy()
+        begin = w.first[text] + starts.flatten().to_numpy()
+        stop = begin + counts.flatten().to_numpy() + window - 1
+        cover = np.zeros(len(w.start) + 1, np.int64)
+        np.add.at(cover, begin, 1)
+        np.add.at(cover, stop, -1)
+        gone = np.cumsum(cover)[:-1] > 0
+        removed = np.concatenate([[0], np.cumsum(gone)])[w.first]
+        yield w.lo, np.diff(w.first), np.diff(removed), joined_words(w, ~gone)
+
+
+def cut_rows(window: int) -> Callable:
+    """From (starts, counts, id, text): words, removed words and kept text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for w in split(batch.column(1), NOT_SPACE):
-                part = batch.slice(w.lo, w.texts)
-                starts, counts = part.column(2), part.column(3)
-                text = pc.list_parent_indices(starts).to_numpy()
-                begin = w.first[text] + starts.flatten().to_numpy()
-                stop = begin + counts.flatten().to_numpy() + window - 1
-                cover = np.zeros(len(w.start) + 1, np.int64)
-                np.add.at(cover, begin, 1)
-                np.add.at(cover, stop, -1)
-                gone = np.cumsum(cover)[:-1] > 0
-                removed = np.concatenate([[0], np.cumsum(gone)])[w.first]
+            for lo, words, removed, kept in cut(batch.column(3), batch.select([0, 1]), window):
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column(0).cast(id_type),
-                        pa.array(np.diff(w.first)),
-                        pa.array(np.diff(removed)),
-                        joined_words(w, ~gone),
-                    ],
+                    [batch.column(2).slice(lo, len(words)), pa.array(words), pa.array(removed), kept],
                     names=["id", "n_words", "n_removed", "kept"],
                 )
 
     return run
 
 
+def replace_rows(window: int, text_at: int) -> Callable:
+    """From (starts, counts, *columns): the columns, with the text cut where it repeats."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = batch.columns[2:]
+            texts = columns[text_at]
+            parts = [(n, k) for _, _, n, k in cut(texts, batch.select([0, 1]), window)]
+            if parts:
+                changed = pa.array(np.concatenate([n for n, _ in parts]) > 0)
+                kept = pa.concat_arrays([k for _, k in parts])
+                columns[text_at] = pc.if_else(changed, kept.cast(texts.type), texts)
+            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names[2:])
+
+    return run
+
+
 def joined_words(w: Words, keep: np.ndarray) -> pa.Array:
     """The kept words of each text, joined by one space."""
     n = len(w.buf) - 8
@@ -221,20 +242,10 @@ def joined_words(w: Words, keep: np.ndarray) -> pa.Array:
     return kept.cast(pa.string())
 
 
-def remove_repeats(
-    documents: DataFrame,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    window: int = WINDOW,
-    gram: int = GRAM,
-) -> DataFrame:
-    """Per document: ``id``, ``n_words``, ``n_removed`` and the ``kept`` words as a text."""
-    texts = documents.select(
-        F.col(id_col).cast("bigint").alias("id"),
-        F.xxhash64(F.col(text_col)).alias("row"),
-        F.col(text_col).alias("text"),
-    )
-    work = Workspace(documents.sparkSession, "substring-dedup")
+def repeated_spans(texts: DataFrame, window: int, gram: int) -> DataFrame:
+    """``span_id``, ``span_row``, ``starts`` and ``counts`` of repeated windows of ``texts``
+    (id, row, text), for the texts that have any."""
+    work = Workspace(texts.sparkSession, "substring-dedup")
     repeated = (
         texts.select("text")
         .mapInArrow(seed_rows(window, gram), "seed bigint, content bigint")
@@ -254,10 +265,8 @@ def remove_repeats(
         "id bigint, row bigint, start bigint, count bigint, "
         "key1 bigint, key2 bigint, settled boolean",
     )
-    rank = F.rank().over(
-        Window.partitionBy("key1", "key2").orderBy("id", "start", "row")
-    )
-    spans = (
+    rank = F.rank().over(Window.partitionBy("key1", "key2").orderBy("id", "start", "row"))
+    return (
         places.withColumn("rank", rank)
         .filter("settled or rank > 1")
         .groupBy("id", "row")
@@ -269,21 +278,49 @@ def remove_repeats(
             F.col("spans.count").alias("counts"),
         )
     )
-    first_id = F.coalesce("id", F.lit(int(FIRST_ID)))
+
+
+def with_spans(
+    documents: DataFrame, id_col: str, text_col: str, window: int, gram: int, columns: list[str]
+) -> DataFrame:
+    """``columns`` of ``documents`` behind the spans to remove from each."""
+    id_, row = F.col(id_col).cast("bigint"), F.xxhash64(F.col(text_col))
+    texts = documents.select(id_.alias("id"), row.alias("row"), F.col(text_col).alias("text"))
+    spans = repeated_spans(texts, window, gram)
+    id_, row = documents[id_col].cast("bigint"), F.xxhash64(documents[text_col])
+    here = (F.coalesce(id_, F.lit(int(FIRST_ID))) == spans["span_id"]) & (row == spans["span_row"])
     none = F.array().cast("array<bigint>")
-    return (
-        texts.join(
-            spans,
-            (first_id == F.col("span_id")) & (F.col("row") == F.col("span_row")),
-            "left",
-        )
-        .select(
-            "id",
-            "text",
-            F.coalesce("starts", none).alias("starts"),
-            F.coalesce("counts", none).alias("counts"),
-        )
-        .mapInArrow(
-            cut_rows(window, pa.int64()), "id bigint, n_words bigint, n_removed bigint, kept string"
-        )
+    return documents.join(spans, here, "left").select(
+        F.coalesce(spans["starts"], none),
+        F.coalesce(spans["counts"], none),
+        *(documents[c] for c in columns),
     )
+
+
+def remove_repeats(
+    documents: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    window: int = WINDOW,
+    gram: int = GRAM,
+) -> DataFrame:
+    """Per document: ``id``, ``n_words``, ``n_removed`` and the ``kept`` words as a text."""
+    kind = documents.schema[id_col].dataType.simpleString()
+    rows = with_spans(documents, id_col, text_col, window, gram, [id_col, text_col])
+    return rows.mapInArrow(
+        cut_rows(window), f"id {kind}, n_words bigint, n_removed bigint, kept string"
+    )
+
+
+def cut_documents(
+    documents: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    window: int = WINDOW,
+    gram: int = GRAM,
+) -> DataFrame:
+    """``documents`` with all columns; texts that lose words become their kept words, joined by a
+    space, all others stay as they are."""
+    rows = with_spans(documents, id_col, text_col, window, gram, documents.columns)
+    text_at = documents.columns.index(text_col)
+    return rows.mapInArrow(replace_rows(window, text_at), documents.schema)
