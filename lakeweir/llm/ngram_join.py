@@ -6,16 +6,19 @@ of ``percent`` hundredths or more. The join is exact.
 1. Each set is put into one order for all documents: shingles of crowded buckets of a count
    table of fixed size last, the rest by hash. Sets that share that much share a
    shingle among the first ``n - ceil(t * n) + 1``, the prefix.
-2. Equal sets are one class. Classes with equal prefix and size are one group, and only
-   groups are joined. Shingles that lie in prefixes of several groups are found
-   by an aggregate and sent on as a bitmap; all others leave the prefixes.
+2. Shingles that lie in one prefix only are found by an aggregate and leave the prefixes; the
+   others are sent on as a bitmap. Equal sets are one class. Classes with equal prefix and
+   size are one group, and only groups are joined.
 3. The groups of a shingle, sorted by size, are first paired each with the next one
    only. Verified pairs make components. Large families of near copies mostly
    become one component here, by as many pairs as they have members.
-4. What remains are pairs of groups of one shingle in different components. One side of
-   such a pair is outside of the shingle's largest component, so only these are joined
-   with all, and verified. Pairs inside one component are never spelled out.
-5. Groups are expanded to their classes for verification, which counts common shingles of
+4. ``HUB_ROUNDS`` times, one class of each component of a shingle is paired with one of the
+   largest, which unites what the chains left apart.
+5. What remains are classes that may link across components. Such classes make clusters, and
+   whole sets are compared within a cluster, all outside of its largest component with
+   all others, in tasks of two blocks. Tasks return a component for each class they link, so
+   pairs are never spelled out.
+6. Groups are expanded to their classes for verification, which counts common shingles of
    whole sets. Classes are expanded to documents at the end.
 
 Sizes and the place of a shingle in the prefix rule out pairs early.
@@ -41,10 +44,24 @@ from pyspark.sql import functions as F
 from lakeweir.llm.bitmaps import build_bitmap, perhaps_in
 from lakeweir.llm.components import connected_components
 from lakeweir.llm.storage import Workspace
-from lakeweir.llm.words import M1, M2, NOT_SPACE, Words, hash_words, mix, ngrams, signed, split
+from lakeweir.llm.words import (
+    M1,
+    M2,
+    NOT_SPACE,
+    Words,
+    chunks,
+    hash_words,
+    mix,
+    ngrams,
+    signed,
+    split,
+)
 
 SHINGLE = 5
 PERCENT = 80
+HUB_ROUNDS = 2
+BLOCK_CLASSES = 1024
+BLOCK_SHINGLES = 500_000
 CROWD_BITS = 22
 CROWD_BUCKETS = 1 << CROWD_BITS
 FIRST_ID = int(np.iinfo(np.int64).min)
@@ -174,24 +191,42 @@ def shared_rows(known: Broadcast) -> Callable:
     return run
 
 
-def set_rows(words: int, wanted: Broadcast) -> Callable:
-    """From (id, hash of id, text): sets of the documents whose hash the bitmap lets through."""
+def wanted_rows(wanted: Broadcast) -> Callable:
+    """From (id, hash of id, hash of text, text): the rows whose id the bitmap lets through."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            key = batch.column(1).to_numpy()
+            keep = np.flatnonzero(perhaps_in(wanted.value, key.view(np.uint64)))
+            rows = np.stack([key[keep], batch.column(2).to_numpy()[keep]], axis=1)
+            _, first = np.unique(rows, axis=0, return_index=True)
+            yield batch.take(pa.array(keep[np.sort(first)])).select([0, 3])
+
+    return run
+
+
+def similar_rows(words: int, percent: int) -> Callable:
+    """From (a, b, text of a, text of b): the pairs whose whole sets are similar enough."""
     none = np.zeros(CROWD_BUCKETS, np.uint8)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = pa.array(perhaps_in(wanted.value, batch.column(1).to_numpy().view(np.uint64)))
-            ids, texts = batch.column(0).filter(keep), batch.column(2).filter(keep)
-            for w in split(texts, NOT_SPACE, lower=True):
-                _, h, bounds = ordered_sets(w, words, none)
-                s1, s2 = signatures(h, bounds)
-                sets = pa.ListArray.from_arrays(
-                    pa.array(bounds.astype(np.int32)), pa.array(signed(h))
-                )
-                yield pa.RecordBatch.from_arrays(
-                    [ids.slice(w.lo, w.texts), pa.array(signed(s1)), pa.array(signed(s2)), sets],
-                    names=["id", "s1", "s2", "shingles"],
-                )
+            size = pc.add(pc.binary_length(batch.column(2)), pc.binary_length(batch.column(3)))
+            ends = np.concatenate([[0], np.cumsum(pc.fill_null(size, 0).to_numpy())])
+            for lo, hi in chunks(ends):
+                part = batch.slice(lo, hi - lo)
+                texts = pa.concat_arrays([part.column(2), part.column(3)])
+                turn = np.arange(2 * (hi - lo)).reshape(2, -1).T.ravel()
+                for w in split(texts.take(pa.array(turn)), NOT_SPACE, lower=True, limit=1 << 60):
+                    text, h, bounds = ordered_sets(w, words, none)
+                    pair = text // 2
+                    order = np.lexsort((h, pair))
+                    pair, h = pair[order], h[order]
+                    both = (pair[1:] == pair[:-1]) & (h[1:] == h[:-1])
+                    common = np.bincount(pair[1:][both], minlength=hi - lo)
+                    union = np.diff(bounds[::2]) - common
+                    keep = (common > 0) & (common * 100 >= union * percent)
+                    yield part.select([0, 1]).filter(pa.array(keep))
 
     return run
 
@@ -217,37 +252,45 @@ def near_duplicates(
         "id bigint, n bigint, s1 bigint, s2 bigint, prefix_key bigint, prefix array<bigint>",
     )
     rows = work.store(rows, "prefixes")
+    shared = (
+        rows.select(F.explode("prefix").alias("token")).groupBy("token").count().filter("count > 1")
+    )
+    known = build_bitmap(shared, "token")
+    docs = rows.mapInArrow(
+        shared_rows(known),
+        "id bigint, n bigint, s1 bigint, s2 bigint, prefix_key bigint, "
+        "tokens array<struct<token:bigint,place:bigint>>",
+    )
+    docs = work.store(docs, "documents")
+    work.drop(rows)
     # Equal sets, by their smallest id.
     classes = (
-        rows.filter("n > 0")
+        docs.filter("n > 0")
         .groupBy("n", "s1", "s2")
         .agg(
             F.min("id").alias("rep"),
             F.count("*").alias("copies"),
             F.first("prefix_key").alias("prefix_key"),
-            F.first("prefix").alias("prefix"),
+            F.first("tokens").alias("tokens"),
         )
     )
     classes = work.store(classes, "classes")
-    shared = (
-        classes.select(F.explode("prefix").alias("token"), "s1")
-        .groupBy("token")
-        .agg(F.min("s1").alias("low"), F.max("s1").alias("high"))
-        .filter("low <> high")
-    )
-    known = build_bitmap(shared, "token")
-    listed = classes.select("rep", "n", "prefix_key", "prefix").mapInArrow(
-        shared_rows(known),
-        "rep bigint, n bigint, prefix_key bigint, tokens array<struct<token:bigint,place:bigint>>",
-    )
-    listed = work.store(listed.filter("size(tokens) > 0"), "listed")
+    listed = classes.filter("size(tokens) > 0").select("rep", "n", "prefix_key", "tokens")
 
     pairs = work.store(neighbour_pairs(listed, percent), "neighbours")
-    links = work.store(verified(texts, classes, pairs, words, percent, work), "links")
+    links = verified(texts, pairs, words, percent, work)
     parts = connected_components(links, work)
-    rest = work.store(crossing_pairs(listed, parts, pairs, percent), "crossing")
-    more = work.store(verified(texts, classes, rest, words, percent, work), "more")
-    parts = connected_components(links.union(more), work)
+    for _ in range(HUB_ROUNDS):
+        hubs = work.store(hub_pairs(listed, parts, pairs, percent), "hubs")
+        if hubs.isEmpty():
+            break
+        links = links.union(verified(texts, hubs, words, percent, work))
+        pairs = pairs.union(hubs)
+        parts = connected_components(links, work)
+    rest = work.store(open_clusters(listed, parts, pairs, percent, work), "clusters")
+    if not rest.isEmpty():
+        links = links.union(linked_in_blocks(texts, rest, words, percent, work))
+        parts = connected_components(links, work)
 
     component = F.coalesce("component", "rep")
     moved = (
@@ -258,7 +301,7 @@ def near_duplicates(
     same_class = [F.col(c) == F.col(f"class_{c}") for c in ("n", "s1", "s2")]
     none = F.lit(None).cast("bigint")
     return (
-        rows.select("id", "n", "s1", "s2")
+        docs.select("id", "n", "s1", "s2")
         .join(moved, same_class, "left")
         .select(
             F.when(F.col("id") != first_id, F.col("id")).alias("id"),
@@ -310,73 +353,235 @@ def neighbour_pairs(listed: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def crossing_pairs(
-    listed: DataFrame, parts: DataFrame, done: DataFrame, percent: int
-) -> DataFrame:
-    """Pairs of classes with a common shingle that lie in different components."""
-    postings = (
+def postings_of(listed: DataFrame, parts: DataFrame) -> DataFrame:
+    """Classes by shingle, with the component each is in so far."""
+    return (
         listed.join(parts, F.col("rep") == F.col("node"), "left")
         .withColumn("component", F.coalesce("component", "rep"))
         .select("rep", "n", "component", F.inline("tokens"))
     )
-    main = (
-        postings.groupBy("token", "component")
-        .agg(F.count("*").alias("members"))
-        .groupBy(F.col("token").alias("main_token"))
-        .agg(F.max_by("component", F.struct("members", "component")).alias("main"), F.count("*").alias("parts"))
-        .filter("parts > 1")
-        .drop("parts")
-    )
-    mixed = postings.join(main, F.col("token") == F.col("main_token")).drop("main_token")
-    out = mixed.filter("component <> main").select(
-        *[F.col(c).alias(f"o_{c}") for c in ("rep", "n", "component", "token", "place")]
+
+
+def hub_pairs(listed: DataFrame, parts: DataFrame, done: DataFrame, percent: int) -> DataFrame:
+    """For each shingle, one class of each component, paired with one of the largest component.
+
+    So components of one family are united by a few pairs instead of all pairs between them.
+    """
+    member = F.struct("rep", "n", "place")
+    hubs = (
+        postings_of(listed, parts)
+        .groupBy("token", "component")
+        .agg(
+            F.count("*").alias("members"),
+            F.min_by(member, F.xxhash64("token", "rep", "component")).alias("hub"),
+        )
     )
-    crossing = (
-        (F.col("token") == F.col("o_token"))
-        & (F.col("component") != F.col("o_component"))
-        & ((F.col("component") == F.col("main")) | (F.col("rep") > F.col("o_rep")))
-        & may_link(F.col("n"), F.col("o_n"), F.col("place"), F.col("o_place"), percent)
+    largest = Window.partitionBy("token").orderBy(F.desc("members"), "component")
+    main = F.first("hub").over(largest.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    near = may_link(
+        F.col("hub.n"), F.col("main.n"), F.col("hub.place"), F.col("main.place"), percent
     )
     return (
-        out.join(mixed, crossing)
-        .select(F.least("rep", "o_rep").alias("a"), F.greatest("rep", "o_rep").alias("b"))
+        hubs.withColumn("main", main)
+        .filter(near)
+        .select(
+            F.least("hub.rep", "main.rep").alias("a"), F.greatest("hub.rep", "main.rep").alias("b")
+        )
         .filter("a <> b")
         .distinct()
         .join(done, ["a", "b"], "left_anti")
     )
 
 
-def verified(
-    texts: DataFrame,
-    classes: DataFrame,
-    pairs: DataFrame,
-    words: int,
-    percent: int,
-    work: Workspace,
+def open_clusters(
+    listed: DataFrame, parts: DataFrame, done: DataFrame, percent: int, work: Workspace
 ) -> DataFrame:
-    """The pairs whose whole sets are similar enough. Sets are made again from the texts, for
-    the documents of pairs only."""
-    reps = pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).distinct()
-    reps = work.store(reps, "wanted")
-    wanted = build_bitmap(reps.select(F.xxhash64("rep").alias("key")), "key")
-    signed_reps = classes.select("rep", F.col("s1").alias("c1"), F.col("s2").alias("c2")).join(
-        reps, "rep"
+    """Classes that may still link across components: ``rep``, ``n``, ``component``, ``cluster``
+    and whether it is ``outside`` of its cluster's largest component.
+
+    By size and place a class of a shingle may link with classes of a range of sizes. Where
+    ranges overlap, neighbours in order of size are joined, so that any two classes that
+    may link are in one cluster, by no more edges than there are classes.
+    """
+    postings = postings_of(listed, parts)
+    mixed = (
+        postings.groupBy(F.col("token").alias("mixed_token"))
+        .agg(F.min("component").alias("low"), F.max("component").alias("high"))
+        .filter("low <> high")
+        .select("mixed_token")
+    )
+    largest = F.floor((F.col("n") - F.col("place")) * (100 + percent) / percent) - F.col("n")
+    order = Window.partitionBy("token").orderBy("low", "rep")
+    reach = F.max("high").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    edges = (
+        postings.join(mixed, F.col("token") == F.col("mixed_token"))
+        .withColumn("low", F.least("n", largest))
+        .withColumn("high", F.greatest("n", largest))
+        .withColumn("reach", reach)
+        .withColumn("before", F.lag("component").over(order))
+        .filter("low <= reach and component <> before")
+        .select(F.col("component").alias("a"), F.col("before").alias("b"))
+    )
+    clusters = connected_components(edges, work).select(
+        F.col("node").alias("part"), F.col("component").alias("cluster")
+    )
+    members = (
+        listed.select("rep", "n")
+        .join(parts, F.col("rep") == F.col("node"), "left")
+        .select("rep", "n", F.coalesce("component", "rep").alias("component"))
+        .join(clusters, F.col("component") == F.col("part"))
+        .drop("part")
+    )
+    sizes = members.groupBy("cluster", "component").agg(F.count("*").alias("size"))
+    main = sizes.groupBy(F.col("cluster").alias("main_cluster")).agg(
+        F.max_by("component", F.struct("size", "component")).alias("main"),
+        F.sum("size").alias("classes"),
     )
-    sets = (
-        texts.select("id", F.xxhash64("id").alias("key"), "text")
-        .mapInArrow(
-            set_rows(words, wanted), "id bigint, s1 bigint, s2 bigint, shingles array<bigint>"
+    rows = (
+        members.join(main, F.col("cluster") == F.col("main_cluster"))
+        .withColumn("outside", F.col("component") != F.col("main"))
+        .select("rep", "n", "component", "cluster", "outside", "classes")
+    )
+    # Two classes whose pair is verified already need nothing more.
+    two = rows.filter("classes = 2").groupBy("cluster").agg(
+        F.min("rep").alias("a"), F.max("rep").alias("b")
+    )
+    closed = two.join(done, ["a", "b"], "left_semi").select("cluster")
+    return rows.join(closed, "cluster", "left_anti").drop("classes")
+
+
+def block_rows(words: int, percent: int) -> Callable:
+    """Links between two blocks of a cluster, as a local component for each linked class."""
+    none = np.zeros(CROWD_BUCKETS, np.uint8)
+
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        _, low, high = (k.as_py() for k in key)
+        ids, part, block, outside = (
+            table.column(c).to_numpy() for c in ("rep", "component", "block", "outside")
         )
-        .join(signed_reps, F.col("id") == F.col("rep"))
-        .filter("s1 = c1 and s2 = c2")
-        .groupBy("id")
-        .agg(F.first("shingles").alias("shingles"))
+        texts = table.column("text")
+        found = list(split(texts, NOT_SPACE, lower=True, limit=1 << 60))
+        label = ids.copy()
+        seen = np.zeros(len(ids), bool)
+        for w in found:
+            text, h, _ = ordered_sets(w, words, none)
+            left, right = np.flatnonzero(block == low), np.flatnonzero(block == high)
+            common = common_counts(text, h, left, right, len(ids))
+            size = np.bincount(text, minlength=len(ids))
+            union = size[left][:, None] + size[right][None, :] - common
+            good = (common > 0) & (common * 100 >= union * percent)
+            good &= part[left][:, None] != part[right][None, :]
+            good &= outside[left][:, None] | outside[right][None, :]
+            x, y = np.nonzero(good)
+            x, y = left[x], right[y]
+            seen[x] = seen[y] = True
+            while True:
+                lower = label.copy()
+                np.minimum.at(lower, x, label[y])
+                np.minimum.at(lower, y, label[x])
+                if np.array_equal(lower, label):
+                    break
+                label = lower
+        return pa.table({"a": ids[seen], "b": label[seen]})
+
+    return run
+
+
+def common_counts(
+    text: np.ndarray, h: np.ndarray, left: np.ndarray, right: np.ndarray, texts: int
+) -> np.ndarray:
+    """Common shingles of each text of ``left`` and each of ``right``, from (text, shingle) rows."""
+    at_left, at_right = np.full(texts, -1), np.full(texts, -1)
+    at_left[left], at_right[right] = np.arange(len(left)), np.arange(len(right))
+    own, other = at_left[text] >= 0, at_right[text] >= 0
+    a, ha = at_left[text[own]], h[own]
+    b, hb = at_right[text[other]], h[other]
+    order = np.argsort(hb, kind="stable")
+    b, hb = b[order], hb[order]
+    begin = np.searchsorted(hb, ha, side="left")
+    count = np.searchsorted(hb, ha, side="right") - begin
+    total = np.zeros(len(left) * len(right), np.int64)
+    ends = np.concatenate([[0], np.cumsum(count)])
+    for lo, hi in chunks(ends):
+        n = count[lo:hi]
+        row = np.repeat(a[lo:hi], n)
+        where = np.repeat(begin[lo:hi] - ends[lo:hi] + ends[lo], n) + np.arange(n.sum())
+        total += np.bincount(row * len(right) + b[where], minlength=len(total))
+    return total.reshape(len(left), len(right))
+
+
+def linked_in_blocks(
+    texts: DataFrame, members: DataFrame, words: int, percent: int, work: Workspace
+) -> DataFrame:
+    """Links across components within each cluster, enough of them to unite what is linked.
+
+    A cluster is dealt into blocks of bounded size; tasks compare pairs of blocks. Classes of
+    the largest component are only compared with those outside of it.
+    """
+    blocks = F.greatest(
+        F.ceil(F.count("*") / BLOCK_CLASSES), F.ceil(F.sum("n") / BLOCK_SHINGLES)
     )
-    sets = work.store(sets, "sets")
-    left = sets.select(F.col("id").alias("a"), F.col("shingles").alias("of_a"))
-    right = sets.select(F.col("id").alias("b"), F.col("shingles").alias("of_b"))
-    common = F.size(F.array_intersect("of_a", "of_b"))
-    union = F.size("of_a") + F.size("of_b") - common
-    return (
-        pairs.join(left, "a").join(right, "b").filter(common * 100 >= union * percent).select("a", "b")
+    sizes = members.groupBy(F.col("cluster").alias("c"), F.col("outside").alias("o")).agg(
+        blocks.alias("blocks")
+    )
+    per_cluster = sizes.groupBy("c").agg(
+        F.coalesce(F.max(F.when(F.col("o"), F.col("blocks"))), F.lit(0)).alias("out"),
+        F.coalesce(F.max(F.when(~F.col("o"), F.col("blocks"))), F.lit(0)).alias("main"),
+    )
+    # Blocks of classes outside come first, so a pair of blocks has one of them.
+    dealt = (
+        members.join(per_cluster, F.col("cluster") == F.col("c"))
+        .withColumn(
+            "block",
+            F.when(F.col("outside"), F.pmod(F.xxhash64("rep"), F.col("out"))).otherwise(
+                F.col("out") + F.pmod(F.xxhash64("rep"), F.col("main"))
+            ),
+        )
+        .withColumn(
+            "partners",
+            F.when(
+                F.col("outside"), F.sequence(F.lit(0).cast("bigint"), F.col("out") + F.col("main") - 1)
+            ).otherwise(F.sequence(F.lit(0).cast("bigint"), F.col("out") - 1)),
+        )
+        .select("rep", "component", "cluster", "outside", "block", "partners")
+    )
+    chosen = chosen_texts(texts, members.select("rep"), work)
+    links = (
+        chosen.join(dealt, F.col("id") == F.col("rep"))
+        .withColumn("partner", F.explode("partners"))
+        .withColumn("low", F.least("block", "partner"))
+        .withColumn("high", F.greatest("block", "partner"))
+        .select("cluster", "low", "high", "rep", "component", "outside", "block", "text")
+        .groupBy("cluster", "low", "high")
+        .applyInArrow(block_rows(words, percent), "a bigint, b bigint")
+        .filter("a <> b")
+        .distinct()
+    )
+    links = work.store(links, "links")
+    work.drop(chosen)
+    return links
+
+
+def chosen_texts(texts: DataFrame, reps: DataFrame, work: Workspace) -> DataFrame:
+    """Texts of about the documents ``reps``, by a bitmap that the reading tasks hold."""
+    wanted = build_bitmap(reps.select(F.xxhash64("rep").alias("key")), "key")
+    chosen = texts.select(
+        "id", F.xxhash64("id").alias("key"), F.xxhash64("text").alias("row"), "text"
+    ).mapInArrow(wanted_rows(wanted), "id bigint, text string")
+    return work.store(chosen, "texts")
+
+
+def verified(
+    texts: DataFrame, pairs: DataFrame, words: int, percent: int, work: Workspace
+) -> DataFrame:
+    """The pairs whose whole sets are similar enough, from the texts of their documents."""
+    reps = pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).distinct()
+    chosen = chosen_texts(texts, reps, work)
+    left = chosen.select(F.col("id").alias("a"), F.col("text").alias("of_a"))
+    right = chosen.select(F.col("id").alias("b"), F.col("text").alias("of_b"))
+    both = pairs.join(left, "a").join(right, "b").select("a", "b", "of_a", "of_b")
+    links = work.store(
+        both.mapInArrow(similar_rows(words, percent), "a bigint, b bigint").distinct(), "links"
     )
+    work.drop(chosen)
+    return links

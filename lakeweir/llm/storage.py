@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import DataFrame, SparkSession
 
 from lakeweir.session import scratch_path
@@ -33,3 +35,6 @@ class Workspace:
         for df in stored:
             path = jvm.org.apache.hadoop.fs.Path(df.workspace_path)
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        # Spark's cleaner removes shuffle files of finished steps when their plans are collected.
+        gc.collect()
+        jvm.System.gc()
