@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeweir.llm.bitmaps import build_bitmap, perhaps_in
+from lakeweir.llm.memory import freeing
 from lakeweir.llm.storage import Workspace
 from lakeweir.llm.words import ALNUM_LOWER, hash_words, mix, ngrams, signed, split, window_minima
 from lakeweir.operators.joins import fits_broadcast
@@ -125,7 +126,7 @@ def window_rows(
                     yield pa.RecordBatch.from_arrays(arrays, names=["id", *WINDOWS.names])
             row += batch.num_rows
 
-    return run
+    return freeing(run)
 
 
 def find_benchmark(

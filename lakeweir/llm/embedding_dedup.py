@@ -33,6 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeweir.llm.components import connected_components
+from lakeweir.llm.memory import freeing
 from lakeweir.llm.samples import hash_sample
 from lakeweir.llm.storage import Workspace
 
@@ -141,7 +142,7 @@ def leaf_rows(forest: Forest) -> Callable:
                     names=["dim", "id", "copies", "vector", "leaf", "leaves"],
                 )
 
-    return run
+    return freeing(run)
 
 
 def first_meeting(

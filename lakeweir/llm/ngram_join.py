@@ -43,6 +43,7 @@ from pyspark.sql import functions as F
 
 from lakeweir.llm.bitmaps import build_bitmap, perhaps_in
 from lakeweir.llm.components import connected_components
+from lakeweir.llm.memory import freeing
 from lakeweir.llm.storage import Workspace
 from lakeweir.llm.words import (
     M1,
@@ -97,7 +98,7 @@ def crowd_rows(words: int) -> Callable:
             [pa.array(bucket), pa.array(counts[bucket].astype(np.int64))], names=["bucket", "n"]
         )
 
-    return run
+    return freeing(run)
 
 
 def crowding(texts: DataFrame, words: int) -> np.ndarray:
@@ -165,7 +166,7 @@ def prefix_rows(words: int, percent: int, crowds: Broadcast) -> Callable:
                     names=["id", "n", "s1", "s2", "prefix_key", "prefix"],
                 )
 
-    return run
+    return freeing(run)
 
 
 def shared_rows(known: Broadcast) -> Callable:
@@ -188,7 +189,7 @@ def shared_rows(known: Broadcast) -> Callable:
                 [*batch.columns[:-1], tokens], names=[*batch.schema.names[:-1], "tokens"]
             )
 
-    return run
+    return freeing(run)
 
 
 def wanted_rows(wanted: Broadcast) -> Callable:
@@ -202,7 +203,7 @@ def wanted_rows(wanted: Broadcast) -> Callable:
             _, first = np.unique(rows, axis=0, return_index=True)
             yield batch.take(pa.array(keep[np.sort(first)])).select([0, 3])
 
-    return run
+    return freeing(run)
 
 
 def similar_rows(words: int, percent: int) -> Callable:
@@ -228,7 +229,7 @@ def similar_rows(words: int, percent: int) -> Callable:
                     keep = (common > 0) & (common * 100 >= union * percent)
                     yield part.select([0, 1]).filter(pa.array(keep))
 
-    return run
+    return freeing(run)
 
 
 def near_duplicates(

@@ -21,6 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from lakeweir.llm.memory import freeing
 from lakeweir.llm.storage import Workspace
 from lakeweir.llm.tokens import encoder
 from lakeweir.llm.words import chunks
@@ -56,7 +57,7 @@ def encode_rows(path: str, end_id: int) -> Callable:
                 )
                 before += len(flat)
 
-    return run
+    return freeing(run)
 
 
 def piece_rows(length: int, dtype: str) -> Callable:
@@ -92,7 +93,7 @@ def piece_rows(length: int, dtype: str) -> Callable:
                     names=["id", "start", "length", "doc_tokens", "sequence_id", "offset", "ids"],
                 )
 
-    return run
+    return freeing(run)
 
 
 def pack(

@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lakeweir.llm.memory import freeing
 from lakeweir.llm.samples import hash_sample
 from lakeweir.llm.words import NOT_SPACE, M1, Words, hash_words, mix, split
 
@@ -322,7 +323,7 @@ def score_rows(model: Crf) -> Callable:
                     names=["id", "score", "n_lines", "n_bad_lines"],
                 )
 
-    return run
+    return freeing(run)
 
 
 def score_quality(
@@ -346,7 +347,7 @@ def filter_rows(model: Crf, text_at: int, least: float) -> Callable:
                 keep.append(score >= least)
             yield batch.filter(pa.array(np.concatenate([*keep, np.zeros(0, bool)])))
 
-    return run
+    return freeing(run)
 
 
 def keep_good(

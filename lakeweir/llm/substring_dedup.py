@@ -38,6 +38,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakeweir.llm.bitmaps import build_bitmap, perhaps_in
+from lakeweir.llm.memory import freeing
 from lakeweir.llm.storage import Workspace
 from lakeweir.llm.words import (
     M1,
@@ -91,7 +92,7 @@ def seed_rows(window: int, gram: int) -> Callable:
                     names=["seed", "content"],
                 )
 
-    return run
+    return freeing(run)
 
 
 def place_rows(window: int, gram: int, plain: Broadcast, branching: Broadcast) -> Callable:
@@ -149,7 +150,7 @@ def place_rows(window: int, gram: int, plain: Broadcast, branching: Broadcast) -
                     names=["id", "row", "start", "count", "key1", "key2", "settled"],
                 )
 
-    return run
+    return freeing(run)
 
 
 def merged(text: np.ndarray, start: np.ndarray, count: np.ndarray) -> tuple:
@@ -198,7 +199,7 @@ def cut_rows(window: int) -> Callable:
                     names=["id", "n_words", "n_removed", "kept"],
                 )
 
-    return run
+    return freeing(run)
 
 
 def replace_rows(window: int, text_at: int) -> Callable:
@@ -215,7 +216,7 @@ def replace_rows(window: int, text_at: int) -> Callable:
                 columns[text_at] = pc.if_else(changed, kept.cast(texts.type), texts)
             yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names[2:])
 
-    return run
+    return freeing(run)
 
 
 def joined_words(w: Words, keep: np.ndarray) -> pa.Array:

@@ -28,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lakeweir.llm.memory import freeing
 from lakeweir.llm.tokens import encoder
 from lakeweir.llm.words import NOT_SPACE, split
 
@@ -81,7 +82,7 @@ def count_rows(path: str, leaf_words: int) -> Callable:
                     names=["id", "row", "leaf_chars", "tree"],
                 )
 
-    return run
+    return freeing(run)
 
 
 class Edited:
@@ -210,7 +211,7 @@ def edit_rows(path: str, keep_text: bool) -> Callable:
                 names.append("text")
             yield pa.RecordBatch.from_arrays(arrays, names=names)
 
-    return run
+    return freeing(run)
 
 
 def count_tokens(

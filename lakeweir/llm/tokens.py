@@ -19,9 +19,9 @@ from tokenizers import Tokenizer
 
 from lakeweir.llm.words import NOT_SPACE, Words, hash_words, split, text_buffers
 
-KNOWN_WORDS = 400_000
-KNOWN_PIECES = 600_000
-CHUNK_BYTES = 12 << 20
+KNOWN_WORDS = 200_000
+KNOWN_PIECES = 300_000
+CHUNK_BYTES = 8 << 20
 
 # Fixed values of the public vocabulary file whose words can be encoded one by one.
 NORMALIZERS = [

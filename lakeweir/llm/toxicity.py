@@ -30,6 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lakeweir.llm.memory import freeing
 from lakeweir.llm.samples import hash_sample
 from lakeweir.llm.words import ALNUM_LOWER, Words, hash_words, split
 
@@ -186,7 +187,7 @@ def score_rows(models: list[tuple[np.ndarray, np.ndarray, float]]) -> Callable:
                     names=["id", "score"],
                 )
 
-    return run
+    return freeing(run)
 
 
 def score_toxicity(
