@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeweir.llm import quality, toxicity
+from lakeweir.llm import chat, quality, toxicity
 from lakeweir.llm.decontamination import find_benchmark
 from lakeweir.llm.embedding_dedup import near_vectors
 from lakeweir.llm.ngram_join import near_duplicates
@@ -89,6 +89,48 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def raw_turns(conversations: DataFrame) -> DataFrame:
+    """The turns as a transcript would show them: ``conv_id``, ``turn``, ``role``, ``before``, ``text``.
+
+    The way to mark speakers depends on the conversation; an eighth of the turns are not marked.
+    """
+    style = F.pmod(F.xxhash64("conv_id"), F.lit(5))
+    lost = F.pmod(F.xxhash64("conv_id", "turn"), F.lit(8)) == 0
+    other = F.when(F.col("role") == "user", "Human").otherwise(F.initcap("role"))
+    letter = F.element_at(
+        F.create_map(*map(F.lit, ["user", "Q", "assistant", "A", "system", "Context"])),
+        F.coalesce("role", F.lit("")),
+    )
+    marker = (
+        F.when(style == 0, F.concat(F.initcap("role"), F.lit(": ")))
+        .when(style == 1, F.concat(F.lit("### "), other, F.lit(":\n")))
+        .when(style == 2, F.concat(F.lit("["), F.upper("role"), F.lit("] ")))
+        .when(style == 3, F.concat(letter, F.lit(": ")))
+        .otherwise(F.concat(F.lit("<|"), F.col("role"), F.lit("|>\n")))
+    )
+    text = F.concat(
+        F.lit("\n"), F.when(lost, "").otherwise(F.coalesce(marker, F.lit(""))), F.coalesce("text", F.lit(""))
+    )
+    # Turns are numbered, so the role before is found by number, not by sorting conversations.
+    before = conversations.select(
+        F.col("conv_id").alias("b_conv"), (F.col("turn") + 1).alias("b_turn"), F.col("role").alias("before")
+    ).groupBy("b_conv", "b_turn").agg(F.min("before").alias("before"))
+    same = (F.col("conv_id") == F.col("b_conv")) & (F.col("turn") == F.col("b_turn"))
+    return conversations.join(before, same, "left").select(
+        "conv_id", "turn", "role", "before", text.alias("text")
+    )
+
+
+def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = raw_turns(read(spark, sf_dir, "conversations"))
+    # Half of the conversations teach the model.
+    model = chat.train(turns.filter(F.crc32(F.col("conv_id").cast("string")) % 2 == 0))
+    parsed = chat.parse_transcripts(turns, model, "conv_id", "turn")
+    return parsed.select(
+        F.col("id").alias("conv_id"), F.col("seq").alias("turn"), "roles", "rendered"
+    )
+
+
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = read_archive(write_archive(read(spark, sf_dir, "pages")))
     return records.select(
@@ -279,6 +321,7 @@ QUERIES = (
     Query("op4_ngram_join", op4_ngram_join, SQL4),
     Query("op5_quality", op5_quality),
     Query("op6_substring_dedup", op6_substring_dedup, SQL6),
+    Query("op7_chat", op7_chat),
     Query("op8_warc", op8_warc, SQL8),
     Query("op9_decontamination", op9_decontamination, SQL9),
     Query("op10_token_counts", op10_token_counts),
