@@ -30,7 +30,6 @@ def connected_components(links: DataFrame, work: Workspace) -> DataFrame:
             .select(F.col("v").alias("u"), F.least("m", F.col("u")).alias("v"))
             .distinct()
         )
-        large = work.store(large, "large")
         nearest = large.groupBy(F.col("u").alias("w")).agg(F.min("v").alias("m"))
         pair = F.struct(F.col("v").alias("u"), F.col("m").alias("v"))
         own = F.struct(F.col("u").alias("u"), F.col("m").alias("v"))
@@ -42,7 +41,7 @@ def connected_components(links: DataFrame, work: Workspace) -> DataFrame:
             .distinct()
         )
         small = work.store(small, "edges")
-        work.drop(edges, large)
+        work.drop(edges)
         edges, before, mark = small, mark, fingerprint(small)
         if mark == before:
             break

@@ -4,7 +4,7 @@ Two documents link when their sets of ``words``-word shingles have a Jaccard sim
 of ``percent`` hundredths or more. The join is exact.
 
 1. Each set is put into one order for all documents: shingles of crowded buckets of a count
-   table of fixed size last, the rest by hash. Sets that share that much share a
+   table of fixed size last, the fuller the later, and the rest by hash. Sets that share that much share a
    shingle among the first ``n - ceil(t * n) + 1``, the prefix.
 2. Shingles that lie in one prefix only are found by an aggregate and leave the prefixes; the
    others are sent on as a bitmap. Equal sets are one class. Classes with equal prefix and
@@ -14,7 +14,8 @@ of ``percent`` hundredths or more. The join is exact.
    become one component here, by as many pairs as they have members.
 4. ``HUB_ROUNDS`` times, one class of each component of a shingle is paired with one of the
    largest, which unites what the chains left apart.
-5. What remains are classes that may link across components. Such classes make clusters, and
+5. What remains are classes that may link across components. For shingles of up to
+   ``LONG_LIST`` classes these are joined in pairs. For longer lists they make clusters, and
    whole sets are compared within a cluster, all outside of its largest component with
    all others, in tasks of two blocks. Tasks return a component for each class they link, so
    pairs are never spelled out.
@@ -60,10 +61,12 @@ from lakeweir.llm.words import (
 
 SHINGLE = 5
 PERCENT = 80
+CROWD = 8  # shingles of a bucket that count as crowded
+LONG_LIST = 256  # classes of a shingle from which on blocks are compared instead of pairs
 HUB_ROUNDS = 2
 BLOCK_CLASSES = 1024
 BLOCK_SHINGLES = 500_000
-CROWD_BITS = 22
+CROWD_BITS = 24
 CROWD_BUCKETS = 1 << CROWD_BITS
 FIRST_ID = int(np.iinfo(np.int64).min)
 
@@ -84,16 +87,16 @@ def shingles(w: Words, words: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def crowd_rows(words: int) -> Callable:
-    """Buckets that hold far more shingles than the mean bucket of the task, with counts."""
+    """Buckets that hold clearly more shingles than the mean bucket of the task, with counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(CROWD_BUCKETS, np.uint32)
+        counts = np.zeros(CROWD_BUCKETS, np.uint16)
         for batch in batches:
             for w in split(batch.column(0), NOT_SPACE, lower=True):
                 _, h = shingles(w, words)
                 np.add.at(counts, (h & np.uint64(CROWD_BUCKETS - 1)).astype(np.int64), 1)
         mean = counts.mean()
-        bucket = np.flatnonzero(counts >= mean + 6 * np.sqrt(mean) + 3)
+        bucket = np.flatnonzero(counts >= mean + 3 * np.sqrt(mean) + 2)
         yield pa.RecordBatch.from_arrays(
             [pa.array(bucket), pa.array(counts[bucket].astype(np.int64))], names=["bucket", "n"]
         )
@@ -106,8 +109,9 @@ def crowding(texts: DataFrame, words: int) -> np.ndarray:
     rows = texts.mapInArrow(crowd_rows(words), "bucket bigint, n bigint")
     level = F.floor(F.log2(F.sum("n"))).cast("int")
     table = np.zeros(CROWD_BUCKETS, np.uint8)
-    for row in rows.groupBy("bucket").agg(level.alias("level")).toLocalIterator():
-        table[row["bucket"]] = max(row["level"], 1)
+    crowded = rows.groupBy("bucket").agg(level.cast("byte").alias("level"), F.sum("n").alias("n"))
+    for batch in crowded.filter(F.col("n") >= CROWD).select("bucket", "level").toArrow().to_batches():
+        table[batch.column(0).to_numpy()] = batch.column(1).to_numpy()
     return table
 
 
@@ -281,17 +285,19 @@ def near_duplicates(
     pairs = work.store(neighbour_pairs(listed, percent), "neighbours")
     links = verified(texts, pairs, words, percent, work)
     parts = connected_components(links, work)
-    for _ in range(HUB_ROUNDS):
-        hubs = work.store(hub_pairs(listed, parts, pairs, percent), "hubs")
-        if hubs.isEmpty():
-            break
-        links = links.union(verified(texts, hubs, words, percent, work))
-        pairs = pairs.union(hubs)
-        parts = connected_components(links, work)
+
+    def united(new: DataFrame) -> DataFrame:
+        known = parts.select(F.col("node").alias("a"), F.col("component").alias("b"))
+        return connected_components(known.union(new), work)
+
+    for find in (hub_pairs,) * HUB_ROUNDS + (short_list_pairs,):
+        found = work.store(find(listed, parts, pairs, percent), "pairs")
+        if not found.isEmpty():
+            parts = united(verified(texts, found, words, percent, work))
+            pairs = pairs.union(found)
     rest = work.store(open_clusters(listed, parts, pairs, percent, work), "clusters")
     if not rest.isEmpty():
-        links = links.union(linked_in_blocks(texts, rest, words, percent, work))
-        parts = connected_components(links, work)
+        parts = united(linked_in_blocks(texts, rest, words, percent, work))
 
     component = F.coalesce("component", "rep")
     moved = (
@@ -394,6 +400,50 @@ def hub_pairs(listed: DataFrame, parts: DataFrame, done: DataFrame, percent: int
     )
 
 
+def mixed_lists(postings: DataFrame) -> DataFrame:
+    """Shingles of several components: ``mixed_token``, ``main`` component and ``size``."""
+    return (
+        postings.groupBy("token", "component")
+        .agg(F.count("*").alias("members"))
+        .groupBy(F.col("token").alias("mixed_token"))
+        .agg(
+            F.max_by("component", F.struct("members", "component")).alias("main"),
+            F.count("*").alias("parts"),
+            F.sum("members").alias("size"),
+        )
+        .filter("parts > 1")
+        .drop("parts")
+    )
+
+
+def short_list_pairs(
+    listed: DataFrame, parts: DataFrame, done: DataFrame, percent: int
+) -> DataFrame:
+    """Pairs that may link across components, of shingles of fewer than ``LONG_LIST`` classes.
+
+    One side of a pair is outside of the shingle's largest component.
+    """
+    postings = postings_of(listed, parts)
+    lists = mixed_lists(postings).filter(F.col("size") < LONG_LIST)
+    mixed = postings.join(lists, F.col("token") == F.col("mixed_token")).drop("mixed_token")
+    out = mixed.filter("component <> main").select(
+        *[F.col(c).alias(f"o_{c}") for c in ("rep", "n", "component", "token", "place")]
+    )
+    crossing = (
+        (F.col("token") == F.col("o_token"))
+        & (F.col("component") != F.col("o_component"))
+        & ((F.col("component") == F.col("main")) | (F.col("rep") > F.col("o_rep")))
+        & may_link(F.col("n"), F.col("o_n"), F.col("place"), F.col("o_place"), percent)
+    )
+    return (
+        out.join(mixed, crossing)
+        .select(F.least("rep", "o_rep").alias("a"), F.greatest("rep", "o_rep").alias("b"))
+        .filter("a <> b")
+        .distinct()
+        .join(done, ["a", "b"], "left_anti")
+    )
+
+
 def open_clusters(
     listed: DataFrame, parts: DataFrame, done: DataFrame, percent: int, work: Workspace
 ) -> DataFrame:
@@ -405,12 +455,7 @@ def open_clusters(
     may link are in one cluster, by no more edges than there are classes.
     """
     postings = postings_of(listed, parts)
-    mixed = (
-        postings.groupBy(F.col("token").alias("mixed_token"))
-        .agg(F.min("component").alias("low"), F.max("component").alias("high"))
-        .filter("low <> high")
-        .select("mixed_token")
-    )
+    mixed = mixed_lists(postings).filter(F.col("size") >= LONG_LIST).select("mixed_token")
     largest = F.floor((F.col("n") - F.col("place")) * (100 + percent) / percent) - F.col("n")
     order = Window.partitionBy("token").orderBy("low", "rep")
     reach = F.max("high").over(order.rowsBetween(Window.unboundedPreceding, -1))
