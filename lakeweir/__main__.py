@@ -14,7 +14,9 @@ from lakeweir.plans.lake import Lake, run_lake
 from lakeweir.session import build_session
 from lakeweir.sources.jdbc import Split, read_jdbc
 from lakeweir.sources.topics import KafkaTopics
-from lakeweir.streaming.run import ROCKSDB, TIMEOUT_SECONDS, TRIGGER
+from lakeweir.streaming.run import ROCKSDB, TRIGGER
+
+INPUT_LEFT = 3  # exit code of a stream that its time limit stopped
 
 # Public Maven coordinates of the connectors.
 KAFKA_PACKAGE = "org.apache.spark:spark-sql-kafka-0-10_2.13:4.1.2"
@@ -49,9 +51,9 @@ def parser() -> argparse.ArgumentParser:
     enrich.add_argument("checkpoint")
     enrich.add_argument("--topic", default=enrichment.RESULTS)
     enrich.add_argument("--out-topic", default=enrichment.AVERAGES)
-    enrich.add_argument("--max-per-trigger", type=int, default=1000)
+    enrich.add_argument("--max-per-trigger", type=int)
     enrich.add_argument("--trigger", default=TRIGGER)
-    enrich.add_argument("--timeout", type=float, default=TIMEOUT_SECONDS)
+    enrich.add_argument("--timeout", type=float, help="seconds; none by default")
     enrich.add_argument("--restarts", type=int, default=0)
     enrich.add_argument("--state-partitions", type=int)
     enrich.add_argument("--rocksdb", action="store_true")
@@ -93,8 +95,10 @@ def main(argv: list[str] | None = None) -> int:
         state_partitions=args.state_partitions,
         state_store=ROCKSDB if args.rocksdb else None,
     )
-    logging.info("stream %s", "ended" if run.finished else "stopped at its time limit")
-    return 0
+    if run.finished:
+        return 0
+    logging.warning("stream stopped at its time limit; messages may be left")
+    return INPUT_LEFT
 
 
 if __name__ == "__main__":

@@ -45,37 +45,64 @@ def round_half_up(column: Column | str, places: int = PLACES) -> Column:
     return F.round(column, places)
 
 
-def measure_units(column: Column, scale: int | None) -> Column:
-    """The value that averages add up: whole units of ``10 ** -scale``, or the double itself.
-
-    A measure of at most ``scale`` decimals is a whole number of units but for
-    the error of the product, so the nearest integer is exact.
-    """
-    number = column.try_cast("double")
-    if scale is None:
-        return number
-    return F.rint(number * F.lit(float(10**scale))).cast("bigint")
+# A measure is added as whole number, four and five further decimals.
+MID, LOW = 10**4, 10**5
+LARGEST = 9e18
+PARTS = ("whole", "mid", "low", "odd", "n")
 
 
-def rounded_ratio(total: Column, count: Column, scale: int | None, places: int = PLACES) -> Column:
-    """``total / count`` rounded half up, with ``total`` counted in ``measure_units``."""
-    divisor = count if scale is None else F.lit(float(10**scale)) * count
-    return F.round(F.try_divide(total, divisor), places)
+def exact_sums(column: Column | str) -> dict[str, Column]:
+    """Aggregates that add up a measure by integers, so the order of rows cannot show.
 
-
-def rounded_average(
-    column: Column | str, scale: int | None = None, places: int = PLACES
-) -> Column:
-    """Average that skips NULL, propagates NaN and rounds half up.
-
-    Sums of doubles depend on the order of the rows. When the measure has at
-    most ``scale`` decimals (and no NaN), giving ``scale`` sums whole units
-    instead, so the result is the same however the data is partitioned. A sum
-    beyond the range of ``bigint`` (9.2e18 units) is an error in ANSI mode, the
-    default, and never a wrong number.
+    A measure counts to nine decimals. ``odd`` adds NaN and infinities, ``n`` counts what is a
+    number. A measure of 9e18 or more, or a sum beyond ``bigint``, is an error in ANSI mode,
+    the default, and never a wrong number.
     """
     column = F.col(column) if isinstance(column, str) else column
-    units = measure_units(column, scale)
-    if scale is None:
-        return F.round(F.avg(units), places)
-    return rounded_ratio(F.sum(units), F.count(units), scale, places)
+    number = column.try_cast("double")
+    finite = ~F.isnan(number) & (F.abs(number) < F.lit(float("inf")))
+    checked = F.when(F.abs(number) < LARGEST, number).otherwise(
+        F.raise_error(F.concat(F.lit("measure out of range: "), number.cast("string")))
+    )
+    whole = F.when(finite, F.floor(checked))
+    rest = F.when(finite, F.rint((number - F.floor(number)) * float(MID * LOW))).cast("bigint")
+    return {
+        "whole": F.sum(whole),
+        "mid": F.sum(F.call_function("div", rest, F.lit(LOW))),
+        "low": F.sum(rest % LOW),
+        "odd": F.sum(F.when(~finite, number)),
+        "n": F.count(number),
+    }
+
+
+def carried(sums: dict[str, Column]) -> dict[str, Column]:
+    """The same sums with ``low`` and ``mid`` below their limits, fit to be added up again."""
+    mid = sums["mid"] + F.call_function("div", sums["low"], F.lit(LOW))
+    return {
+        **sums,
+        "whole": sums["whole"] + F.call_function("div", mid, F.lit(MID)),
+        "mid": mid % MID,
+        "low": sums["low"] % LOW,
+    }
+
+
+def rounded_ratio(sums: dict[str, Column], places: int = PLACES) -> Column:
+    """Average from the sums of ``exact_sums``, rounded half up; NULL without numbers."""
+
+    def decimal(part: Column, unit: str) -> Column:
+        return part.cast("decimal(20,0)") * F.lit(unit).cast("decimal(10,9)")
+
+    total = (
+        sums["whole"].cast("decimal(20,0)")
+        + decimal(sums["mid"], "0.0001")
+        + decimal(sums["low"], "0.000000001")
+    )
+    average = F.try_divide(total, sums["n"].cast("decimal(20,0)"))
+    return F.when(sums["odd"].isNotNull(), sums["odd"]).otherwise(
+        F.round(average, places).cast("double")
+    )
+
+
+def rounded_average(column: Column | str, places: int = PLACES) -> Column:
+    """Average that skips NULL, propagates NaN and rounds half up, whatever the partitioning."""
+    return rounded_ratio(exact_sums(column), places)

@@ -7,7 +7,14 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeweir.functions.numeric import PLACES, measure_units, rounded_average, rounded_ratio
+from lakeweir.functions.numeric import (
+    PARTS,
+    PLACES,
+    carried,
+    exact_sums,
+    rounded_average,
+    rounded_ratio,
+)
 from lakeweir.operators.joins import BROADCAST_BYTES, SALT, STREAM_SALTS, fits_broadcast, spread
 from lakeweir.sinks.files import snapshot
 
@@ -19,7 +26,6 @@ def average_by(
     df: DataFrame,
     keys: Iterable[str],
     measures: Mapping[str, str],
-    scale: int | None = None,
     places: int = PLACES,
 ) -> DataFrame:
     """Rounded averages per group; ``measures`` maps output name to column.
@@ -28,19 +34,17 @@ def average_by(
     like any other.
     """
     aggregates = [
-        rounded_average(column, scale, places).alias(name) for name, column in measures.items()
+        rounded_average(column, places).alias(name) for name, column in measures.items()
     ]
     return df.groupBy(*keys).agg(*aggregates)
 
 
-def collapse(
-    dim: DataFrame, keys: Iterable[str], measures: Mapping[str, str], scale: int | None
-) -> DataFrame:
-    """One row per key with the sum and the count of every measure."""
+def collapse(dim: DataFrame, keys: Iterable[str], measures: Mapping[str, str]) -> DataFrame:
+    """One row per key with the exact sums of every measure."""
     parts = []
     for name, column in measures.items():
-        units = measure_units(F.col(column), scale)
-        parts += [F.sum(units).alias(f"__sum_{name}"), F.count(units).alias(f"__n_{name}")]
+        sums = carried(exact_sums(column))
+        parts += [sums[part].alias(f"__{part}_{name}") for part in PARTS]
     return dim.groupBy(*keys).agg(*parts)
 
 
@@ -52,7 +56,6 @@ def average_joined(
     fact_keys: Iterable[str],
     dim_keys: Iterable[str],
     measures: Mapping[str, str],
-    scale: int | None = None,
     places: int = PLACES,
     salt: Column | None = None,
     salts: int = STREAM_SALTS,
@@ -76,10 +79,10 @@ def average_joined(
     fact_keys, dim_keys = list(fact_keys), list(dim_keys)
     columns = dict.fromkeys([*dim_keys, *measures.values()])
     dim = dim.filter(F.col(dim_on).isNotNull()).select(F.col(dim_on).alias(KEY), *columns)
-    parts = collapse(dim, [KEY, *dim_keys], measures, scale)
+    parts = collapse(dim, [KEY, *dim_keys], measures)
     if dim_copy:
         parts = snapshot(parts, dim_copy)
-    small = fits_broadcast(parts if dim_copy else dim, broadcast_limit)
+    small = fits_broadcast(parts, broadcast_limit)
     carried = [F.col(on).alias(KEY), *fact_keys]
     rows = fact.filter(F.col(on).isNotNull())
 
@@ -101,10 +104,7 @@ def average_joined(
     weight = F.col(ROWS)
     averages = [
         rounded_ratio(
-            F.sum(F.col(f"__sum_{name}") * weight),
-            F.sum(F.col(f"__n_{name}") * weight),
-            scale,
-            places,
+            {part: F.sum(F.col(f"__{part}_{name}") * weight) for part in PARTS}, places
         ).alias(name)
         for name in measures
     ]

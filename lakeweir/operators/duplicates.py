@@ -18,15 +18,20 @@ def drop_duplicate_rows(df: DataFrame) -> DataFrame:
 
 
 def latest_by_key(
-    changes: DataFrame, keys: Iterable[str], version: str = "batch_id"
+    changes: DataFrame,
+    keys: Iterable[str],
+    version: str | Iterable[str] = ("batch_id", "timestamp"),
 ) -> DataFrame:
     """The newest row per key of a change log, exactly one.
 
     ``max`` of a struct combines inside the map tasks, so a key with many
-    versions is never collected in one place as a window would do. Replayed
-    batches repeat a version; one of the equal candidates is taken whole.
+    versions is never collected in one place as a window would do. ``version`` may be several
+    columns; those the table lacks are left out. A replayed batch repeats its number but
+    has a later ``timestamp``. Of rows equal in all of them one is taken whole.
     """
     keys = list(keys)
-    rest = [c for c in changes.columns if c not in (*keys, version)]
-    newest = F.max(F.struct(version, *rest)).alias("newest")
+    version = [version] if isinstance(version, str) else list(version)
+    version = [c for c in version if c in changes.columns]
+    rest = [c for c in changes.columns if c not in (*keys, *version)]
+    newest = F.max(F.struct(*version, *rest)).alias("newest")
     return changes.groupBy(*keys).agg(newest).select(*keys, "newest.*")

@@ -8,7 +8,6 @@ from lakeweir.config import JdbcConfig
 from lakeweir.functions.records import to_records
 from lakeweir.plans.topic_jobs import Topics, publish_table
 from lakeweir.schemas import AVERAGES_DDL
-from lakeweir.session import scratch_path
 from lakeweir.sinks.jdbc import write_jdbc
 from lakeweir.sources.jdbc import Split, read_jdbc
 from lakeweir.streaming.enriched import build_enriched_stream
@@ -53,17 +52,19 @@ def run_enrichment(
     sinks: list[Sink],
     checkpoint: str,
     topic: str = RESULTS,
-    max_per_trigger: int | None = 1000,
-    scale: int | None = None,
+    max_per_trigger: int | None = None,
+    bio_copy: str | None = None,
     **run: object,
 ) -> StreamRun:
     """Messages joined with ``bio``, averaged, and sent to every sink.
 
-    What the join needs of ``bio`` is stored once in the shared scratch folder;
-    otherwise each micro-batch would read the database table anew.
+    What the join needs of ``bio`` is stored once;
+    otherwise each micro-batch would read the database table anew. A run that goes on from a
+    checkpoint has averages of that copy in its state, so the copy lies beside the checkpoint
+    (``bio_copy``) and is used again. To refresh it, remove both.
     """
     records = topics.read_stream(spark, topic, max_per_trigger=max_per_trigger)
     stream = build_enriched_stream(
-        records, bio, scale=scale, bio_copy=scratch_path(spark, "bio")
+        records, bio, bio_copy=bio_copy or f"{checkpoint.rstrip('/')}-bio"
     )
     return run_stream(stream, fan_out(*sinks), checkpoint, **run)

@@ -48,7 +48,6 @@ class GoldTable:
     measures: Mapping[str, str] = field(
         default_factory=lambda: {"avg_weight": "weight", "avg_height": "height"}
     )
-    scale: int | None = None
     nan_as_null: bool = False
 
 
@@ -117,7 +116,6 @@ def gold_averages(
         fact_keys=gold.fact_keys,
         dim_keys=gold.dim_keys,
         measures=gold.measures,
-        scale=gold.scale,
         broadcast_limit=broadcast_limit,
     )
     return averages.select(*gold.output_keys, *gold.measures)

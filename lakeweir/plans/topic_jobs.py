@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from lakeweir.functions.records import to_records
 from lakeweir.sources.files import read_line_stream
 from lakeweir.sources.topics import KafkaTopics, Offsets, ParquetTopics
-from lakeweir.streaming.run import TIMEOUT_SECONDS, StreamRun, run_stream
+from lakeweir.streaming.run import StreamRun, run_stream, wait_for
 
 Topics = KafkaTopics | ParquetTopics
 
@@ -80,7 +80,7 @@ def topic_to_lines(
     path: str,
     checkpoint: str,
     trigger: str | None = None,
-    timeout: float = TIMEOUT_SECONDS,
+    timeout: float | None = None,
     max_per_trigger: int | None = None,
 ) -> bool:
     """Every message becomes a line below ``path``; the file sink writes each exactly once."""
@@ -92,7 +92,7 @@ def topic_to_lines(
     else:
         query = writer.trigger(processingTime=trigger).start(path)
     try:
-        return bool(query.awaitTermination(timeout))
+        return wait_for(query, trigger, timeout)
     finally:
         query.stop()
 
@@ -105,9 +105,11 @@ def bounded_read(
     end: Offsets | None = None,
     max_messages: int | None = None,
 ) -> DataFrame:
-    """Messages between offsets, at most ``max_messages`` of them."""
+    """Messages between offsets; with ``max_messages`` the first by partition and offset."""
     messages = topics.read(spark, topic, start, end)
-    return messages.limit(max_messages) if max_messages is not None else messages
+    if max_messages is None:
+        return messages
+    return messages.orderBy("partition", "offset").limit(max_messages)
 
 
 def topic_offsets(messages: DataFrame) -> DataFrame:
@@ -118,7 +120,8 @@ def topic_offsets(messages: DataFrame) -> DataFrame:
 
 
 def content_hash() -> Column:
-    return F.xxhash64("key", "value")
+    """A hash that tells a NULL key from a NULL value; hashing alone skips NULLs."""
+    return F.xxhash64(F.col("key").isNull(), "key", F.col("value").isNull(), "value")
 
 
 def copy_differences(left: DataFrame, right: DataFrame) -> DataFrame:

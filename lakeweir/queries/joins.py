@@ -37,7 +37,6 @@ def gold_averages_of(spark: SparkSession, sf_dir: str, **limits: int) -> DataFra
         fact_keys=["medal", "sex"],
         dim_keys=["sport", "country_noc"],
         measures=MEASURES,
-        scale=2,
         **limits,
     )
     return averages.select(*GROUP_KEYS, *MEASURES)
@@ -58,7 +57,6 @@ def group_averages(spark: SparkSession, sf_dir: str) -> DataFrame:
         lines,
         ["l_returnflag", "l_linestatus"],
         {"avg_quantity": "l_quantity", "avg_price": "l_extendedprice"},
-        scale=2,
     )
 
 

@@ -65,7 +65,6 @@ def running_averages(
         bio_keys=("c_mktsegment", "c_nationkey"),
         output_keys=KEYS,
         measures=MEASURES,
-        scale=2,
         bio_copy=scratch_path(spark, "dim"),
         **options,
     )

@@ -16,9 +16,20 @@ def write_parquet(df: DataFrame, path: str, name: str | None = None) -> int:
     return rows
 
 
+def is_stored(df: DataFrame, path: str) -> bool:
+    """Whether a whole table lies at ``path``."""
+    spark = df.sparkSession
+    mark = spark._jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")
+    return mark.getFileSystem(spark._jsc.hadoopConfiguration()).exists(mark)
+
+
 def snapshot(df: DataFrame, path: str) -> DataFrame:
-    """``df`` stored at ``path`` and read from there: its source is asked only once."""
-    write_parquet(df, path, "snapshot")
+    """``df`` stored at ``path`` and read from there: its source is asked only once.
+
+    A table that is there already is used as it is.
+    """
+    if not is_stored(df, path):
+        write_parquet(df, path, "snapshot")
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -28,7 +28,6 @@ def build_enriched_stream(
     bio_keys: Iterable[str] = ("sex",),
     output_keys: Iterable[str] = GROUP_KEYS,
     measures: Mapping[str, str] = MEASURES,
-    scale: int | None = None,
     salts: int = STREAM_SALTS,
     broadcast_limit: int = BROADCAST_BYTES,
     bio_copy: str | None = None,
@@ -47,7 +46,6 @@ def build_enriched_stream(
         fact_keys=event_keys,
         dim_keys=bio_keys,
         measures=measures,
-        scale=scale,
         salt=F.col("offset"),
         salts=salts,
         broadcast_limit=broadcast_limit,

@@ -14,7 +14,6 @@ from pyspark.sql.streaming import StreamingQuery
 from lakeweir.operators.metrics import log, log_sample
 
 TRIGGER = "5 seconds"
-TIMEOUT_SECONDS = 600
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 Sink = Callable[[DataFrame, int], None]
 
@@ -57,6 +56,10 @@ def _settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
                 spark.conf.set(name, value)
 
 
+class UnfinishedStream(RuntimeError):
+    """A run that had to take all there was ended before it had."""
+
+
 @dataclass(frozen=True)
 class StreamRun:
     """How a bounded run ended. ``finished`` is False if the time ran out first."""
@@ -98,20 +101,33 @@ def start_stream(
         return writer.start()
 
 
+def wait_for(query: StreamingQuery, trigger: str | None, timeout: float | None) -> bool:
+    """Whether the query ended within ``timeout`` seconds; without one, wait for its end."""
+    if timeout is None:
+        query.awaitTermination()
+        return True
+    finished = bool(query.awaitTermination(timeout))
+    if not finished and trigger is None:
+        raise UnfinishedStream(f"input was left after {timeout} seconds")
+    return finished
+
+
 def run_stream(
     df: DataFrame,
     sink: Sink,
     checkpoint: str,
     trigger: str | None = TRIGGER,
-    timeout: float = TIMEOUT_SECONDS,
+    timeout: float | None = None,
     output_mode: str = "update",
     state_partitions: int | None = None,
     state_store: str | None = None,
     restarts: int = 0,
 ) -> StreamRun:
-    """Run for at most ``timeout`` seconds, then stop.
+    """Run to the end, or for at most ``timeout`` seconds if that is given.
 
-    A failed query is started again from its checkpoint up to ``restarts``
+    With a trigger a stream has no end, and stopping it at its limit is how it is meant to end.
+    Without a trigger all that is there has to be taken: if the limit cuts that short,
+    ``UnfinishedStream`` is raised. A failed query is started again from its checkpoint up to ``restarts``
     times; after that the error is raised.
     """
     used = 0
@@ -120,7 +136,7 @@ def run_stream(
             df, sink, checkpoint, trigger, output_mode, state_partitions, state_store
         )
         try:
-            finished = bool(query.awaitTermination(timeout))
+            finished = wait_for(query, trigger, timeout)
             progress = query.lastProgress
             last = progress.batchId if progress else None
             log.info("stream %s at batch %s", "ended" if finished else "ran out of time", last)

@@ -40,3 +40,9 @@ def test_rows_counted_by_the_running_job(spark):
     df, seen = counted(spark.range(10), "ten")
     assert df.filter("id > 3").collect()[0]["id"] == 4
     assert rows_seen(seen) == 10
+
+
+def test_latest_by_key_takes_the_later_stamp_of_a_replay(spark):
+    rows = [("a", 5, 180.0, 1), ("a", 5, 170.0, 2), ("a", 4, 190.0, 3)]
+    changes = spark.createDataFrame(rows, "k string, batch_id bigint, m double, timestamp bigint")
+    assert latest_by_key(changes, ["k"]).collect()[0]["m"] == 170.0

@@ -126,4 +126,4 @@ def test_commands_parse():
     args = cli.parser().parse_args(["publish", "t", "--split", "id:1:9:4"])
     assert args.split == Split("id", "1", "9", 4) and args.partitions == 20
     args = cli.parser().parse_args(["enrich", "bio", "out", "/cp"])
-    assert (args.max_per_trigger, args.trigger, args.timeout) == (1000, "5 seconds", 600)
+    assert (args.max_per_trigger, args.trigger, args.timeout) == (None, "5 seconds", None)

@@ -40,11 +40,10 @@ def sides(spark):
 
 
 @pytest.mark.parametrize("limit", [0, 64 << 20])
-@pytest.mark.parametrize("scale", [None, 2])
-def test_average_joined_equals_all_pairs(sides, limit, scale):
+def test_average_joined_equals_all_pairs(sides, limit):
     facts, dims, pairs = sides
     found = average_joined(
-        facts, dims, "k", "id", ["f"], ["d"], {"mh": "h", "mw": "w"}, scale, broadcast_limit=limit
+        facts, dims, "k", "id", ["f"], ["d"], {"mh": "h", "mw": "w"}, broadcast_limit=limit
     )
     assert {(r["f"], r["d"]): (r["mh"], r["mw"]) for r in found.collect()} == averages(pairs)
 
@@ -52,7 +51,7 @@ def test_average_joined_equals_all_pairs(sides, limit, scale):
 def test_average_joined_equals_average_over_the_join(sides):
     facts, dims, pairs = sides
     joined = enrich(facts, dims, "k", "id").select("fact.f", "dim.d", "dim.h", "dim.w")
-    found = average_by(joined, ["f", "d"], {"mh": "h", "mw": "w"}, 2)
+    found = average_by(joined, ["f", "d"], {"mh": "h", "mw": "w"})
     assert {(r["f"], r["d"]): (r["mh"], r["mw"]) for r in found.collect()} == averages(pairs)
 
 
@@ -63,7 +62,7 @@ def test_two_hot_keys_do_not_multiply(spark, limit):
     facts = spark.range(rows).selectExpr("if(id % 3 = 0, 7L, id) AS k", "id % 2 AS f")
     dims = spark.range(rows).selectExpr("if(id % 3 = 0, 7L, id) AS id", "(id % 1000) / 100 AS h")
     found = average_joined(
-        facts, dims, "k", "id", ["f"], [], {"m": "h"}, scale=2, broadcast_limit=limit
+        facts, dims, "k", "id", ["f"], [], {"m": "h"}, broadcast_limit=limit
     )
     hot = [i for i in range(rows) if i % 3 == 0 or i == 7]
     hot_sum = sum(i % 1000 for i in hot)

@@ -55,7 +55,7 @@ def test_scaled_average_does_not_depend_on_partitions(spark):
     rows = [("a", c / 100) for c in cents] + [("b", None)]
     df = spark.createDataFrame(rows, "k string, v double")
     for n in (1, 2, 3, 7):
-        spread = df.repartition(n).groupBy("k").agg(rounded_average("v", 2).alias("m"))
+        spread = df.repartition(n).groupBy("k").agg(rounded_average("v").alias("m"))
         assert {r["k"]: r["m"] for r in spread.collect()} == {"a": 80.44, "b": None}
 
 
@@ -85,3 +85,23 @@ def test_null_tests_reach_the_scan(spark, tmp_path):
     spark.createDataFrame([(1.0, "2")], "h double, w string").write.parquet(path)
     plan = plan_of(valid_measures(spark.read.parquet(path), ["h", "w"]))
     assert "IsNotNull(h)" in plan and "IsNotNull(w)" in plan
+
+
+def test_averages_keep_decimals_and_ignore_order(spark):
+    values = [0.004, 0.004, 0.004, 0.01, 1.125, 1.126, -7.333, 1e15, -1e15, 0.1, 0.2]
+    for rows, expected in ((values[:4], 0.01), (values[4:6], 1.13), (values[6:7], -7.33)):
+        df = spark.createDataFrame([(v,) for v in rows], "v double")
+        assert df.agg(rounded_average("v").alias("m")).collect()[0]["m"] == expected
+    found = set()
+    for order in (values, values[::-1], sorted(values)):
+        df = spark.createDataFrame([(v,) for v in order], "v double").repartition(len(found) + 2)
+        found.add(df.agg(rounded_average("v", 6).alias("m")).collect()[0]["m"])
+    assert len(found) == 1
+
+
+def test_measures_out_of_range_are_an_error(spark):
+    df = spark.createDataFrame([(1e300,)], "v double")
+    with pytest.raises(Exception, match="out of range"):
+        df.agg(rounded_average("v").alias("m")).collect()
+    odd = spark.createDataFrame([(float("inf"),), (1.0,)], "v double")
+    assert odd.agg(rounded_average("v").alias("m")).collect()[0]["m"] == float("inf")

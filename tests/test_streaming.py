@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import logging
+import time
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -17,7 +18,7 @@ from lakeweir.session import scratch_path
 from lakeweir.sinks.files import write_batch
 from lakeweir.sources.topics import ParquetTopics
 from lakeweir.streaming.enriched import build_enriched_stream
-from lakeweir.streaming.run import ROCKSDB, fan_out, run_stream
+from lakeweir.streaming.run import ROCKSDB, UnfinishedStream, fan_out, run_stream
 from tests.athletes import BIO_HEADER, bios, events, stream_answer
 
 logging.getLogger("lakeweir").setLevel(logging.CRITICAL)
@@ -196,3 +197,17 @@ def test_output_messages_carry_the_batch(spark):
     write(spark.range(2), 4)
     values = [bytes(r["value"]).decode() for r in topics.read(spark, "out").collect()]
     assert sorted(values) == ['{"id":0,"batch_id":4}', '{"id":1,"batch_id":4}']
+
+
+def test_a_run_that_must_be_complete_raises_when_it_is_cut(spark, tmp_path):
+    topics = ParquetTopics(str(tmp_path / "topics"))
+    publish_table(spark.range(300), topics, "t", partitions=3)
+    stream = topics.read_stream(spark, "t", max_per_trigger=1)
+
+    def slow(batch, batch_id):
+        time.sleep(1.5)
+
+    with pytest.raises(UnfinishedStream):
+        run_stream(stream, slow, str(tmp_path / "cut"), trigger=None, timeout=1, output_mode="append")
+    run = run_stream(stream, slow, str(tmp_path / "whole"), trigger=None, output_mode="append")
+    assert run.finished and run.last_batch == 2

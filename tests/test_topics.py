@@ -120,3 +120,18 @@ def test_only_hashes_are_shuffled(spark):
     for line in plan.splitlines():
         if line.startswith("Input") and "Exchange" in line:
             assert "value" not in line
+
+
+def test_copies_that_differ_by_a_moved_null(spark):
+    schema = "topic string, partition int, offset bigint, key string, value string"
+    left = spark.createDataFrame([("t", 0, 0, None, "x")], schema)
+    right = spark.createDataFrame([("t", 0, 0, "x", None)], schema)
+    assert [r["status"] for r in copy_differences(left, right).collect()] == ["differs"]
+
+
+def test_bounded_read_takes_the_first_messages(spark, tmp_path):
+    topics = ParquetTopics(str(tmp_path))
+    publish_table(spark.range(300), topics, "t", partitions=4)
+    taken = [(r["partition"], r["offset"]) for r in bounded_read(spark, topics, "t", max_messages=9).collect()]
+    every = sorted((r["partition"], r["offset"]) for r in bounded_read(spark, topics, "t").collect())
+    assert sorted(taken) == every[:9]
