@@ -98,12 +98,13 @@ def test_components(spark):
     pairs = {frozenset(link) for link in links}
     nodes = sorted({n for link in links for n in link})
     expected = brute.components(nodes, lambda a, b: frozenset((a, b)) in pairs)
-    found = connected_components(
-        spark.createDataFrame(links, "a bigint, b bigint"), Workspace(spark, "test")
-    )
-    got = {r.node: r.component for r in found.collect()}
-    assert got == {n: c for n, c in expected.items() if n in got}
-    assert all(n in got for n in nodes if any(expected[m] == expected[n] for m in nodes if m != n))
+    frame = spark.createDataFrame(links, "a bigint, b bigint")
+    for edges_per_task in (200_000, 40):
+        found = connected_components(frame, Workspace(spark, "test"), edges_per_task).collect()
+        got = {r.node: r.component for r in found}
+        assert len(found) == len(got) and got == {n: c for n, c in expected.items() if n in got}
+        alone = {n for n in nodes if list(expected.values()).count(expected[n]) == 1}
+        assert set(nodes) - set(got) == alone
 
 
 def test_near_duplicates(documents, nothing):
