@@ -43,7 +43,7 @@ def parser() -> argparse.ArgumentParser:
     publish.add_argument("table")
     publish.add_argument("--topic", default=enrichment.RESULTS)
     publish.add_argument("--split", type=split_of)
-    publish.add_argument("--partitions", type=int, default=enrichment.PUBLISH_PARTITIONS)
+    publish.add_argument("--partitions", type=int)
 
     enrich = jobs.add_parser("enrich", help="topic to running averages")
     enrich.add_argument("bio_table")

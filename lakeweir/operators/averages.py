@@ -12,6 +12,7 @@ from lakeweir.functions.numeric import (
     PLACES,
     carried,
     exact_sums,
+    measure,
     rounded_average,
     rounded_ratio,
 )
@@ -34,7 +35,8 @@ def average_by(
     like any other.
     """
     aggregates = [
-        rounded_average(column, places).alias(name) for name, column in measures.items()
+        rounded_average(measure(df, column), places).alias(name)
+        for name, column in measures.items()
     ]
     return df.groupBy(*keys).agg(*aggregates)
 
@@ -43,7 +45,7 @@ def collapse(dim: DataFrame, keys: Iterable[str], measures: Mapping[str, str]) -
     """One row per key with the exact sums of every measure."""
     parts = []
     for name, column in measures.items():
-        sums = carried(exact_sums(column))
+        sums = carried(exact_sums(measure(dim, column)))
         parts += [sums[part].alias(f"__{part}_{name}") for part in PARTS]
     return dim.groupBy(*keys).agg(*parts)
 

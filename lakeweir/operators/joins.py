@@ -1,9 +1,10 @@
 """Dimension joins.
 
 A dimension is broadcast only after its size has been measured. Beyond the
-limit both sides are shuffled on the key, but for hot keys. Batch joins find
-those by counting and join them without a shuffle. Streams, whose keys cannot
-be counted beforehand, spread every key over salts.
+limit both sides are shuffled on the key. Batch joins count the keys first; the rows of
+keys heavier than an even share of the shuffle are dealt over several tasks, as many as
+the key holds shares, and their partners are sent to each of these. Streams, whose keys
+cannot be counted beforehand, spread every key over salts.
 
 Adaptive skew splitting stays on as well, but is not relied on: it compares
 bytes, and a partition of equal keys compresses so well that it can hold a third
@@ -22,11 +23,9 @@ BROADCAST_BYTES = 64 << 20
 STREAM_SALTS = 8
 SALT = "__salt"
 HOT = "__hot"
-# A key is hot from this share of a table's rows on, so a table has at most
-# ``HOT_KEYS`` of them and the list stays short.
-HOT_SHARE = 0.001
-HOT_KEYS = int(1 / HOT_SHARE)
-HOT_TRACKED = 10 * HOT_KEYS
+OTHER_HOT = "__other_hot"
+SALTS = "__salts"
+OTHER_SALTS = "__other_salts"
 
 
 def measured_bytes(df: DataFrame) -> int | None:
@@ -66,54 +65,65 @@ def spread(
     )
 
 
-def hot_keys(df: DataFrame, on: str) -> list:
-    """The keys that hold at least ``HOT_SHARE`` of the rows, found in one aggregate.
+def hot_keys(df: DataFrame, on: str, width: int) -> list[tuple]:
+    """Keys with more rows than an even share of ``width`` tasks, each with the number of such
+    shares it holds.
 
-    The sketch behind it may overstate a count, which is harmless here: any
-    choice of keys gives the same join.
+    Counted exactly by an aggregate of the key column with a map-side combine. There are
+    fewer than ``width`` such keys, whatever the size of the table.
     """
-    key = F.col(on)
-    top = F.call_function("approx_top_k", key, F.lit(HOT_KEYS), F.lit(HOT_TRACKED))
-    keyed = df.filter(key.isNotNull())
-    found = keyed.agg(top.alias("top"), F.count(key).alias("rows")).collect()[0]
-    return [t["item"] for t in found["top"] if t["count"] >= HOT_SHARE * found["rows"]]
-
-
-def with_keys(df: DataFrame, on: str, keys: list, present: bool = True) -> DataFrame:
-    """Rows whose key is, or is not, among a short list of keys."""
-    schema = T.StructType([T.StructField(HOT, df.schema[on].dataType)])
-    listed = df.sparkSession.createDataFrame([(key,) for key in keys], schema)
-    how = "left_semi" if present else "left_anti"
-    return df.join(F.broadcast(listed), F.col(on) == F.col(HOT), how)
-
-
-def split_hot_keys(
-    fact: DataFrame, dim: DataFrame, on: str, dim_on: str, limit: int
-) -> list[tuple[DataFrame, DataFrame]]:
-    """Pairs of parts whose joins, put together, are the join of ``fact`` and ``dim``.
-
-    The rows of keys that are hot on one side stay where they are if the other
-    side's rows of these keys are few enough to broadcast. The first pair is
-    the rest, which is shuffled. Each side is read once per part, so it has to
-    give the same rows every time; store it first if it does not.
+    keyed = df.filter(F.col(on).isNotNull())
+    share = max(1, -(-keyed.count() // width))
+    counts = keyed.groupBy(F.col(on).alias(HOT)).agg(F.count("*").alias("rows"))
+    hot = counts.filter(F.col("rows") > share).collect()
+    return [(r[HOT], -(-r["rows"] // share)) for r in hot]
+
+
+def salted(
+    df: DataFrame, on: str, own: DataFrame | None, other: DataFrame | None, first: bool
+) -> DataFrame:
+    """Rows of keys that are hot here are dealt over the key's salts by a hash of the row; rows
+    of keys that are hotter on the other side go to all of them."""
+    none = F.lit(1).cast("bigint")
+    names = set(df.columns)
+    mine = theirs = none
+    if own is not None:
+        df = df.join(F.broadcast(own), F.col(on) == F.col(HOT), "left")
+        mine = F.coalesce(F.col(SALTS), none)
+    if other is not None:
+        other = other.withColumnsRenamed({HOT: OTHER_HOT, SALTS: OTHER_SALTS})
+        df = df.join(F.broadcast(other), F.col(on) == F.col(OTHER_HOT), "left")
+        theirs = F.coalesce(F.col(OTHER_SALTS), none)
+    deals = mine >= theirs if first else mine > theirs
+    hashed = [
+        F.col(f"`{f.name}`") for f in df.schema.fields
+        if f.name in names and "map<" not in f.dataType.simpleString()
+    ]
+    one = F.array(F.pmod(F.xxhash64(*hashed), mine))
+    every = F.sequence(F.lit(0).cast("bigint"), theirs - 1)
+    df = df.withColumn(SALT, F.explode(F.when(deals, one).otherwise(every)))
+    return df.drop(HOT, SALTS, OTHER_HOT, OTHER_SALTS)
+
+
+def spread_hot_keys(fact: DataFrame, dim: DataFrame, on: str, dim_on: str) -> tuple:
+    """Both sides with a salt, so that no task of their join gets a whole hot key.
+
+    Of a key that is hot on both sides the heavier side is dealt out. The lists of hot keys are
+    compared by the same equality as the join, so the key types may differ. None if nothing
+    is hot. Equal rows stay together.
     """
-    pairs, taken = [], []
-    hot = hot_keys(fact, on)
-    if hot:
-        few = with_keys(dim, dim_on, hot)
-        if fits_broadcast(few, limit):
-            pairs.append((with_keys(fact, on, hot), F.broadcast(few)))
-            taken += hot
-    hot = [key for key in hot_keys(dim, dim_on) if key not in taken]
-    if hot:
-        few = with_keys(fact, on, hot)
-        if fits_broadcast(few, limit):
-            pairs.append((F.broadcast(few), with_keys(dim, dim_on, hot)))
-            taken += hot
-    if taken:
-        fact = with_keys(fact, on, taken, present=False)
-        dim = with_keys(dim, dim_on, taken, present=False)
-    return [(fact, dim.hint("merge")), *pairs]
+    spark = fact.sparkSession
+    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    lists = []
+    for df, key in ((fact, on), (dim, dim_on)):
+        hot = hot_keys(df, key, width)
+        schema = T.StructType(
+            [T.StructField(HOT, df.schema[key].dataType), T.StructField(SALTS, T.LongType())]
+        )
+        lists.append(spark.createDataFrame(hot, schema) if hot else None)
+    if lists == [None, None]:
+        return None
+    return salted(fact, on, *lists, first=True), salted(dim, dim_on, *lists[::-1], first=False)
 
 
 def enrich(
@@ -124,7 +134,6 @@ def enrich(
     salt: Column | None = None,
     salts: int = STREAM_SALTS,
     broadcast_limit: int = BROADCAST_BYTES,
-    hot_limit: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Inner join of ``fact`` with a static ``dim``.
 
@@ -133,18 +142,16 @@ def enrich(
     column names stay selectable as ``fact.x`` and ``dim.x``. NULL keys never
     match. Select the needed columns before calling: only those are measured.
     """
-    salted = False
     if fits_broadcast(dim, broadcast_limit):
-        pairs = [(fact, F.broadcast(dim))]
-    elif salt is not None and salts > 1:
-        fact, dim = spread(fact, dim, salt, salts)
-        pairs = [(fact, dim.hint("merge"))]
-        salted = True
-    elif fact.isStreaming:
-        pairs = [(fact, dim.hint("merge"))]
-    else:
-        pairs = split_hot_keys(fact, dim, on, dim_on or on, hot_limit)
-    return reduce(DataFrame.union, [_join(f, d, on, dim_on, salted) for f, d in pairs])
+        return _join(fact, F.broadcast(dim), on, dim_on, False)
+    sides = None
+    if salt is not None and salts > 1:
+        sides = spread(fact, dim, salt, salts)
+    elif not fact.isStreaming:
+        sides = spread_hot_keys(fact, dim, on, dim_on or on)
+    if sides is None:
+        return _join(fact, dim.hint("merge"), on, dim_on, False)
+    return _join(sides[0], sides[1].hint("merge"), on, dim_on, True)
 
 
 def _join(

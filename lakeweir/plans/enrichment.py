@@ -25,12 +25,15 @@ def publish_results(
     table: str,
     topic: str = RESULTS,
     split: Split | None = None,
-    partitions: int | None = PUBLISH_PARTITIONS,
+    partitions: int | None = None,
 ) -> None:
     """A database table as messages. Separate from the stream, so a restart sends nothing twice.
 
-    With a ``split`` the scan is parallel already and ``partitions`` can be None.
+    With a ``split`` the scan is parallel already. Without one the rows of the one connection are
+    dealt over ``PUBLISH_PARTITIONS`` tasks, if ``partitions`` says nothing else.
     """
+    if partitions is None and split is None:
+        partitions = PUBLISH_PARTITIONS
     publish_table(read_jdbc(spark, db, table, split), topics, topic, partitions)
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,7 +17,6 @@ from lakeweir.functions.records import from_records, to_records
 from lakeweir.functions.stamps import stamp
 from lakeweir.functions.text import clean_text, clean_text_columns, register_text_cleaner
 from lakeweir.operators.duplicates import drop_duplicate_rows
-from lakeweir.operators.metrics import counted, rows_seen
 from lakeweir.queries.base import Query, sql_clean, sql_round, table
 
 
@@ -115,16 +116,24 @@ def avg_null_nan_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def row_count_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows read, kept and joined, all counted while one job runs."""
-    measures, read = counted(text_measures(spark, sf_dir), "read")
-    kept, valid = counted(valid_measures(measures, ["height", "weight"]), "valid")
-    orders = table(spark, sf_dir, "orders").select("o_custkey")
-    matched = orders.join(kept, orders["o_custkey"] == kept["c_custkey"], "inner")
-    watched, joined = counted(matched, "joined")
-    watched.write.format("noop").mode("overwrite").save()
-    counts = [F.lit(rows_seen(o)).cast("bigint").alias(n) for o, n in (
-        (read, "rows_read"), (valid, "rows_valid"), (joined, "rows_joined"))]
-    return spark.range(1).select(*counts)
+    """Rows read, kept and joined, by aggregates that a repeated stage cannot change.
+
+    The pairs of the join are counted from the rows per key, without spelling them out.
+    """
+    measures = text_measures(spark, sf_dir)
+    kept = valid_measures(measures, ["height", "weight"])
+    orders = table(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.count("*").alias("n"))
+    people = kept.groupBy("c_custkey").agg(F.count("*").alias("m"))
+    matched = orders.join(people, F.col("o_custkey") == F.col("c_custkey"))
+    parts = {
+        "rows_read": measures.agg(F.count("*").alias("rows")),
+        "rows_valid": kept.agg(F.count("*").alias("rows")),
+        "rows_joined": matched.agg(F.coalesce(F.sum(F.col("n") * F.col("m")), F.lit(0)).alias("rows")),
+    }
+    named = [part.select(F.lit(name).alias("name"), "rows") for name, part in parts.items()]
+    return reduce(DataFrame.union, named).agg(
+        *(F.sum(F.when(F.col("name") == name, F.col("rows"))).alias(name) for name in parts)
+    )
 
 
 def stamp_processing_time(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -104,13 +104,18 @@ def offsets_per_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def topic_copy_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A log against a damaged copy: a type lost, a type altered, and a foreign topic."""
+    """A log against a damaged copy: a type lost, a type altered, values moved into the key, and a
+    foreign topic."""
     events = table(spark, sf_dir, "events")
     original = numbered(events, F.lit("events"), "event_id")
     altered = F.when(F.col("event_type") == "click", "view").otherwise(F.col("event_type"))
     damaged = events.filter(F.col("event_type") != "error").withColumn("event_type", altered)
     foreign = table(spark, sf_dir, "supplier")
-    copy = numbered(damaged, F.lit("events"), "event_id").unionByName(
+    moved = F.col("offset") % 7 == 3
+    copy = numbered(damaged, F.lit("events"), "event_id")
+    copy = copy.withColumns(
+        {"key": F.when(moved, F.col("value")), "value": F.when(~moved, F.col("value"))}
+    ).unionByName(
         numbered(foreign, F.lit("suppliers"), "s_suppkey")
     )
     return copy_differences(original, copy)
@@ -165,7 +170,8 @@ QUERIES = [
         f"""SELECT 'events' AS topic, (event_id % {PARTITIONS})::int AS "partition",
                    event_id // {PARTITIONS} AS "offset",
                    CASE WHEN event_type = 'error' THEN 'only_left' ELSE 'differs' END AS status
-            FROM events WHERE event_type IN ('error', 'click')
+            FROM events
+            WHERE event_type IN ('error', 'click') OR event_id // {PARTITIONS} % 7 = 3
             UNION ALL
             SELECT 'suppliers', (s_suppkey % {PARTITIONS})::int, s_suppkey // {PARTITIONS},
                    'only_right' FROM supplier""",

@@ -38,8 +38,11 @@ def build_enriched_stream(
     are dropped before the join. With ``bio_copy`` what the join needs of
     ``bio`` is stored at that path once, instead of being read for every batch.
     """
+    # Only fields that are used are parsed.
+    used = {on, *event_keys}
+    narrowed = T.StructType([field for field in schema.fields if field.name in used])
     averages = average_joined(
-        from_records(records, schema, keep=["offset"]),
+        from_records(records, narrowed, keep=["offset"]),
         valid_measures(bio, measures.values()),
         on=on,
         dim_on=bio_on or on,

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lakeweir.operators.averages import average_by, average_joined
-from lakeweir.operators.joins import SALT, enrich, fits_broadcast, hot_keys, measured_bytes
+from lakeweir.operators.joins import SALT, enrich, fits_broadcast, hot_keys, measured_bytes, spread_hot_keys
 from tests.athletes import averages
 from tests.helpers import plan_of
 
@@ -87,7 +87,7 @@ def test_nan_reaches_the_average(spark):
 def test_hot_key_is_collapsed_before_the_shuffle(sides):
     facts, dims, _ = sides
     plan = plan_of(
-        average_joined(facts, dims, "k", "id", ["f"], ["d"], {"m": "h"}, 2, broadcast_limit=0)
+        average_joined(facts, dims, "k", "id", ["f"], ["d"], {"m": "h"}, broadcast_limit=0)
     )
     assert "partial_count(1)" in plan and "SortMergeJoin" in plan
 
@@ -119,16 +119,16 @@ def skewed(spark):
 
 def test_hot_keys(spark):
     fact, dim = skewed(spark)
-    assert hot_keys(fact, "k") == [7] and hot_keys(dim, "k") == [-1]
-    assert hot_keys(fact.filter("k is null"), "k") == []
+    assert hot_keys(fact, "k", 6) == [(7, 3)] and hot_keys(dim, "k", 4) == [(-1, 2)]
+    assert hot_keys(fact.filter("k is null"), "k", 4) == []
 
 
-def test_hot_keys_are_not_shuffled(spark):
+def test_hot_keys_are_dealt_over_tasks(spark):
     fact, dim = skewed(spark)
     joined = enrich(fact, dim, "k", "k", broadcast_limit=0)
     plan = plan_of(joined, "simple")
     assert plan.count("SortMergeJoin") == 1
-    assert len(re.findall(r"BroadcastHashJoin.*Inner", plan)) == 2
+    assert not re.findall(r"BroadcastHashJoin.*Inner", plan)
     expected = fact.alias("a").join(dim.alias("b"), F.col("a.k") == F.col("b.k"))
     columns = ["row", "dim_row"]
     found, wanted = joined.select(*columns), expected.select(*columns)
@@ -140,11 +140,24 @@ def test_hot_keys_are_not_shuffled(spark):
     assert used.select("k", "fact.c", "dim.c").count() == wanted.count()
 
 
-def test_hot_rows_too_many_to_broadcast_are_still_whole(spark):
-    fact, dim = skewed(spark)
-    joined = enrich(fact, dim, "k", "k", broadcast_limit=0, hot_limit=0)
-    assert not re.findall(r"BroadcastHashJoin.*Inner", plan_of(joined, "simple"))
-    assert joined.count() == fact.join(dim, "k").count()
+def test_key_hot_on_both_sides(spark, tmp_path):
+    """No task of the join gets the whole of it, also with arrays and with keys of two types."""
+    for name, rows in (("fact", 3000), ("dim", 900)):
+        spark.range(rows).selectExpr(
+            "if(id % 3 < 2, 7L, id) AS k", f"id AS {name}_row", "array(id) AS items"
+        ).write.parquet(str(tmp_path / name))
+    fact, dim = (spark.read.parquet(str(tmp_path / name)) for name in ("fact", "dim"))
+    wanted = fact.join(dim, "k").count()
+    sides = spread_hot_keys(fact, dim, "k", "k")
+    dealt = sides[0].filter("k = 7").groupBy(SALT).count().collect()
+    assert len(dealt) > 1 and max(r["count"] for r in dealt) < 1500
+    joined = enrich(fact, dim, "k", "k", broadcast_limit=0)
+    assert joined.count() == wanted
+    assert joined.select("fact_row", "dim_row").distinct().count() == wanted
+    assert plan_of(joined, "simple").count("FileScan parquet") == 2
+    text = fact.withColumn("k", F.col("k").cast("string"))
+    for left, right in ((text, dim), (fact, dim.withColumn("k", F.col("k").cast("int")))):
+        assert enrich(left, right, "k", "k", broadcast_limit=0).count() == wanted
 
 
 def test_shared_names_stay_selectable(spark):
