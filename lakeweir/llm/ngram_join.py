@@ -96,7 +96,7 @@ def crowd_rows(words: int) -> Callable:
                 _, h = shingles(w, words)
                 np.add.at(counts, (h & np.uint64(CROWD_BUCKETS - 1)).astype(np.int64), 1)
         mean = counts.mean()
-        bucket = np.flatnonzero(counts >= mean + 3 * np.sqrt(mean) + 2)
+        bucket = np.flatnonzero(counts >= mean + 2 * np.sqrt(mean) + 1)
         yield pa.RecordBatch.from_arrays(
             [pa.array(bucket), pa.array(counts[bucket].astype(np.int64))], names=["bucket", "n"]
         )
