@@ -51,13 +51,6 @@ LARGEST = 9e18
 PARTS = ("whole", "mid", "low", "odd", "n")
 
 
-def measure(df: DataFrame, name: str) -> Column:
-    """A measure of a table for ``exact_sums``: a float counts as the decimal it is written as."""
-    if isinstance(df.schema[name].dataType, T.FloatType):
-        return F.col(name).cast("string").cast("double")
-    return F.col(name)
-
-
 def exact_sums(column: Column | str) -> dict[str, Column]:
     """Aggregates that add up a measure by integers, so the order of rows cannot show.
 

@@ -49,6 +49,8 @@ class GoldTable:
         default_factory=lambda: {"avg_weight": "weight", "avg_height": "height"}
     )
     nan_as_null: bool = False
+    # A float adds its error of some 1e-8 to averages; "double" averages decimals as written.
+    number: str = "float"
 
 
 def landing_to_bronze(
@@ -106,8 +108,8 @@ def gold_averages(
     gold: GoldTable,
     broadcast_limit: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """Averages of the dimension's measures, narrowed to float first."""
-    numbers = {m: to_number(m, "float", gold.nan_as_null) for m in gold.measures.values()}
+    """Averages of the dimension's measures, cast to ``gold.number`` first."""
+    numbers = {m: to_number(m, gold.number, gold.nan_as_null) for m in gold.measures.values()}
     averages = average_joined(
         fact,
         dim.withColumns(numbers),

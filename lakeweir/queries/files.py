@@ -29,6 +29,7 @@ GOLD = GoldTable(
     dim_keys=("c_mktsegment", "c_nationkey"),
     output_keys=("o_orderstatus", "o_orderpriority", "c_mktsegment", "c_nationkey"),
     measures={"avg_balance": "c_acctbal"},
+    number="double",
 )
 
 

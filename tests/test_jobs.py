@@ -117,13 +117,13 @@ def test_publish_and_enrich_commands(spark, monkeypatch):
     assert cli.main(["publish", "results", "--partitions", "2"]) == 0
     assert topics.read(spark, enrichment.RESULTS).count() == len(events())
     arguments = ["--trigger", "1 second", "--timeout", "12", "--state-partitions", "2"]
-    assert cli.main(["enrich", "bio", "averages", scratch_path(spark, "cp"), *arguments]) == 0
+    assert cli.main(["enrich", "bio", "averages", scratch_path(spark, "cp"), *arguments]) == cli.INPUT_LEFT
     changes = spark.read.parquet(path)
     assert answer_of(latest_by_key(changes, GROUP_KEYS)) == stream_answer(bios(), events())
 
 
 def test_commands_parse():
     args = cli.parser().parse_args(["publish", "t", "--split", "id:1:9:4"])
-    assert args.split == Split("id", "1", "9", 4) and args.partitions == 20
+    assert args.split == Split("id", "1", "9", 4) and args.partitions is None
     args = cli.parser().parse_args(["enrich", "bio", "out", "/cp"])
     assert (args.max_per_trigger, args.trigger, args.timeout) == (None, "5 seconds", None)
