@@ -6,7 +6,12 @@ half the standard deviation of the projected difference of a pair that just link
 Each tree parts other pairs, so that several trees together miss next to none.
 
 1. The forest is fitted on a bounded sample (``max_sample``): directions per tree and level, a
-   threshold per node. Every vector is then sent to its leaves in all trees.
+   threshold per node. Thresholds lie where few vectors are, and a node that every threshold would
+   send both ways in large part stays whole, so dense groups are compared as blocks instead of
+   being cut at every level. Deep trees part more pairs than shallow ones. Trees are therefore
+   added until none of some ten thousand pairs that link is parted by all of them: pairs of
+   sample vectors, and sample vectors with made-up partners at just ``cosine``.
+   Every vector is then sent to its leaves in all trees.
 2. Within a leaf all cosines are computed in double precision, and only pairs of at least
    ``cosine`` link. A leaf of more than ``block`` vectors is dealt into blocks, and pairs of
    blocks are compared in tasks of their own; each copy of a vector goes to one pair of blocks.
@@ -24,6 +29,7 @@ other columns are ignored; an empty table gives no rows.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -38,7 +44,13 @@ from lakeweir.llm.samples import hash_sample
 from lakeweir.llm.storage import Workspace
 
 COSINE = 0.95
-TREES = 4
+TREES = 4  # at least
+MOST_TREES = 64
+MOST_GROWTH = 1.3  # rows of both sides of a split to rows of the node
+QUANTILES = np.linspace(0.2, 0.8, 25)  # of a node, tried as threshold
+PROBES = 4096  # sample vectors whose pairs tell how many trees it takes
+PROBE_PARTNERS = 4
+PROBES_MADE_UP = 8
 LEAF = 1000
 BLOCK = 2048
 MAX_SAMPLE = 32_768
@@ -75,6 +87,23 @@ class Forest:
             stack.append((2 * node + 1, level + 1, at[place > threshold - self.spill]))
         return np.concatenate(rows), np.concatenate(found)
 
+    def parted(self, x: np.ndarray, y: np.ndarray, tree: int) -> np.ndarray:
+        """Whether the pairs ``x[i]``, ``y[i]`` share no leaf of one tree."""
+        apart = np.ones(len(x), bool)
+        stack = [(1, 0, np.arange(len(x)))]
+        while stack:
+            node, level, at = stack.pop()
+            threshold = self.nodes[tree].get(node)
+            if threshold is None:
+                apart[at] = False
+                continue
+            place = np.stack([x[at], y[at]]) @ self.directions[tree, level]
+            left = (place <= threshold + self.spill).all(axis=0)
+            right = (place > threshold - self.spill).all(axis=0)
+            stack.append((2 * node, level + 1, at[left]))
+            stack.append((2 * node + 1, level + 1, at[right]))
+        return apart
+
 
 def normalized(vectors: np.ndarray) -> np.ndarray:
     vectors = vectors.astype(np.float64)
@@ -83,35 +112,78 @@ def normalized(vectors: np.ndarray) -> np.ndarray:
     return vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
 
 
+def probes(
+    sample: np.ndarray, cosine: float, rng: np.random.Generator
+) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs that link: some of each sample vector, and made-up ones at just ``cosine``."""
+    chosen = sample[rng.permutation(len(sample))[:PROBES]]
+    x, y = [], []
+    for lo in range(0, len(chosen), 256):
+        linked = chosen[lo : lo + 256] @ chosen.T >= cosine
+        linked[np.arange(len(linked)), lo + np.arange(len(linked))] = False
+        draw = np.where(linked, rng.random(linked.shape), 2.0)
+        best = np.argsort(draw, axis=1)[:, :PROBE_PARTNERS]
+        row, k = np.nonzero(np.take_along_axis(linked, best, axis=1))
+        x.append(chosen[lo + row])
+        y.append(chosen[best[row, k]])
+    chosen = np.repeat(chosen, PROBES_MADE_UP, axis=0)
+    aside = rng.normal(size=chosen.shape)
+    aside -= (aside * chosen).sum(axis=1, keepdims=True) * chosen
+    size = np.linalg.norm(aside, axis=1, keepdims=True)
+    aside /= np.where(size > 0, size, 1)
+    x.append(chosen)
+    y.append(cosine * chosen + np.sqrt(max(1 - cosine**2, 0.0)) * aside)
+    return np.concatenate(x), np.concatenate(y)
+
+
+def best_split(place: np.ndarray, spill: float) -> tuple[float, np.ndarray, np.ndarray]:
+    """The threshold that leaves least to compare and parts few close vectors; who goes where."""
+    thresholds = np.quantile(place, QUANTILES)
+    order = np.sort(place)
+    left = np.searchsorted(order, thresholds + spill, side="right") / len(place)
+    right = 1 - np.searchsorted(order, thresholds - spill, side="right") / len(place)
+    threshold = float(thresholds[np.argmin(left**2 + right**2 + (left + right - 1))])
+    return threshold, place <= threshold + spill, place > threshold - spill
+
+
 def fit_forest(
     sample: np.ndarray, rows: int, cosine: float, trees: int, leaf: int, seed: int = 0
 ) -> Forest:
     """Split the sample until leaves of all ``rows`` vectors are expected to have ``leaf`` or fewer.
 
-    A node whose vectors lie so close that a split would send most of them both ways stays whole.
+    A node of which a split would send more than ``MOST_GROWTH - 1`` both ways stays whole.
+    There are ``trees`` trees, or as many more as it takes until no probe is parted by all.
     """
     dim = sample.shape[1]
-    directions = np.random.default_rng(seed).normal(size=(trees, MAX_DEPTH, dim))
+    rng = np.random.default_rng(seed)
+    directions = rng.normal(size=(max(trees, MOST_TREES), MAX_DEPTH, dim))
     directions /= np.linalg.norm(directions, axis=2, keepdims=True)
     spill = 0.5 * np.sqrt(max(2 - 2 * cosine, 0.0) / dim)
     least = max(LEAST_SAMPLE, leaf * len(sample) / max(rows, 1))
-    nodes: list[dict[int, float]] = []
-    for tree in range(trees):
+    x, y = probes(sample, cosine, rng)
+    forest = Forest(directions, [], spill)
+    while len(forest.nodes) < trees or (len(x) and len(forest.nodes) < MOST_TREES):
+        tree = len(forest.nodes)
         splits: dict[int, float] = {}
         stack = [(1, 0, np.arange(len(sample)))]
         while stack:
             node, level, at = stack.pop()
             if len(at) <= least or level == MAX_DEPTH:
                 continue
-            place = sample[at] @ directions[tree, level]
-            threshold = float(np.median(place))
-            left, right = at[place <= threshold + spill], at[place > threshold - spill]
-            if len(left) + len(right) > 1.6 * len(at):
+            threshold, left, right = best_split(sample[at] @ directions[tree, level], spill)
+            if left.sum() + right.sum() > MOST_GROWTH * len(at):
                 continue
             splits[node] = threshold
-            stack += [(2 * node, level + 1, left), (2 * node + 1, level + 1, right)]
-        nodes.append(splits)
-    return Forest(directions, nodes, spill)
+            stack += [(2 * node, level + 1, at[left]), (2 * node + 1, level + 1, at[right])]
+        forest.nodes.append(splits)
+        apart = forest.parted(x, y, tree)
+        x, y = x[apart], y[apart]
+        if not splits:
+            break  # one leaf holds every vector, so all pairs meet
+    if len(x):
+        warnings.warn(f"{len(x)} probe pairs are parted by all {len(forest.nodes)} trees")
+    forest.directions = directions[: len(forest.nodes)]
+    return forest
 
 
 def vectors_of(column: pa.Array, dim: int) -> np.ndarray:

@@ -15,7 +15,7 @@ from lakeweir.llm import chat, quality, toxicity
 from lakeweir.llm.bitmaps import build_bitmap, perhaps_in
 from lakeweir.llm.components import connected_components
 from lakeweir.llm.decontamination import find_benchmark
-from lakeweir.llm.embedding_dedup import near_vectors
+from lakeweir.llm.embedding_dedup import fit_forest, near_vectors
 from lakeweir.llm.ngram_join import near_duplicates
 from lakeweir.llm.packing import pack
 from lakeweir.llm.storage import Workspace
@@ -220,6 +220,28 @@ def test_near_vectors(spark):
     assert near_vectors(frame.limit(0)).count() == 0
 
 
+def test_forest_keeps_a_dense_group():
+    """A third of the vectors in one group of mean pair cosine 0.95, the rest far from each other."""
+    rng = np.random.default_rng(8)
+
+    def unit(v):
+        return v / np.linalg.norm(v, axis=1, keepdims=True)
+
+    center = unit(rng.normal(size=(1, 64)))
+    group = np.sqrt(0.95) * center + np.sqrt(0.05) * unit(rng.normal(size=(2000, 64)))
+    vectors = unit(np.concatenate([group, rng.normal(size=(4000, 64))]))
+    linked = group @ group.T >= 0.95
+    forest = fit_forest(vectors, len(vectors), cosine=0.95, trees=4, leaf=100)
+    met = np.zeros(linked.shape, bool)
+    for tree in range(len(forest.nodes)):
+        rows, leaves = forest.leaves(vectors[:2000], tree)
+        _, leaf = np.unique(leaves, return_inverse=True)
+        member = np.zeros((2000, leaf.max() + 1), np.float32)
+        member[rows, leaf] = 1
+        met |= member @ member.T > 0
+    assert (met & linked).sum() >= 0.999 * linked.sum()
+
+
 def test_archive(spark):
     big, small = "ä" * 600, "tiny"
     rows = [
