@@ -4,7 +4,9 @@ Each stage reads what the one before it kept. All but the last return the column
 
 * quality: documents that the classifier rejects go.
 * near_duplicates: of documents that are linked, directly or through others, the one with the
-  smallest id stays. Of rows that share an id one stays. Rows without id stay.
+  smallest id stays, or one without id if none has an id. Each row counts for itself, so
+  unrelated texts that share an id, or have none, stay. Texts without words have no copies, but
+  of those that share an id one stays.
 * substring_dedup: word sequences that occur earlier are cut out of the texts.
 * decontamination: documents that hold a passage of a benchmark item go.
 * packing: pieces of documents in sequences of fixed length, with their token ids.
@@ -29,6 +31,7 @@ from lakeweir.llm.substring_dedup import cut_documents
 LEAST_QUALITY = 0.3
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 2
+ROW = "near_duplicates_row"
 
 # No SQL expresses training the classifier or encoding texts.
 ORACLE_SQL = None
@@ -44,21 +47,18 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship_package(spark)
     work = Workspace(spark, "near-duplicates")
-    found = work.store(near_duplicates(docs), "components").filter("id is not null")
-    docs = without(
-        docs,
-        found.filter("id <> component_id").select("id"),
-        {"id": F.col("doc_id").cast("bigint")},
-    )
-    repeated = work.store(
-        found.filter("id = component_id").groupBy("id").count().filter("count > 1").select("id"),
-        "repeated",
-    )
-    if repeated.isEmpty():
-        return docs
-    several = docs.join(repeated, docs["doc_id"].cast("bigint") == repeated["id"], "left_semi")
-    single = without(docs, repeated, {"id": F.col("doc_id").cast("bigint")})
-    return single.unionByName(several.dropDuplicates(["doc_id"]))
+    rows = work.store(docs.withColumn(ROW, F.monotonically_increasing_id()), "rows")
+    found = near_duplicates(rows, id_col=ROW)
+    ids = rows.select(F.col(ROW).alias("id"), F.col("doc_id").cast("bigint").alias("doc_id"))
+    found = work.store(found.join(ids, "id"), "components")
+    wordless = F.col("n_shingles") == 0
+    kept = found.groupBy(
+        F.when(~wordless, F.col("component_id")).alias("family"),
+        F.when(wordless, F.col("doc_id")).alias("same_id"),
+        F.when(wordless & F.col("doc_id").isNull(), F.col("id")).alias("alone"),
+    ).agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "id"))["id"].alias("id"))
+    gone = found.join(kept.select("id"), "id", "left_anti").select("id")
+    return without(rows, gone, {"id": F.col(ROW)}).drop(ROW)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -330,6 +330,18 @@ def test_edits(spark, documents, nothing):
     assert apply_edits(nothing, state, frame, TOKENIZER).count() == 0
 
 
+def test_pipeline_drops_copies_without_id(spark, tmp_path):
+    """Families with rows without id, unrelated texts without id or with one id, texts without words."""
+    one, two, three, four, five = (" ".join(f"{c}{i}" for i in range(30)) for c in "abcde")
+    rows = [(1, one), (None, one), (3, one + " x"), (None, two), (7, two), (8, two), (None, three)]
+    rows += [(None, three), (5, four), (5, five), (6, five), (9, ""), (9, ""), (None, "")]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    kept = corpus_pipeline.drop_near_duplicates(spark, frame, str(tmp_path))
+    expected = [(1, one), (7, two), (None, three), (5, four), (5, five), (9, ""), (None, "")]
+    assert kept.columns == frame.columns
+    assert sorted(map(repr, map(tuple, kept.collect()))) == sorted(map(repr, expected))
+
+
 def test_pipeline_on_awkward_rows(spark, documents, nothing, tmp_path):
     for name, frame in (("full", documents), ("empty", nothing)):
         base = tmp_path / name
