@@ -9,7 +9,8 @@ the benchmark's windows on 128 bits of hash. Items with fewer words than
 a window are one window of their own length.
 
 Defined cases: a null or empty text has no words; a benchmark item without words
-is never found; items that repeat an id count as one item; rows of documents are
+is never found; items that repeat an id count as one item; items without id are found like
+others, count as one item and are one null in ``items``; rows of documents are
 kept apart even if they repeat an id or are equal; other columns are ignored.
 """
 
@@ -156,6 +157,8 @@ def find_benchmark(
         r["size"] for r in item_windows.select("size").distinct().collect() if r["size"] < window
     ]
     known = item_windows.select("item", "size", "h1", "h2").distinct()
+    # A null item is an item too, so a match is told by a flag.
+    known = known.withColumn("match", F.lit(True))
     if fits_broadcast(known, BROADCAST_BYTES):
         known = F.broadcast(known)
     kind = documents.schema[id_col].dataType.simpleString()
@@ -164,11 +167,15 @@ def find_benchmark(
     )
     hits = rows.drop("print").join(known, ["size", "h1", "h2"], "left")
     span = F.struct(F.col("start"), (F.col("start") + F.col("size")).alias("stop"))
+    # collect_set leaves nulls out.
+    no_id = F.bool_or(F.col("match") & F.col("item").isNull())
+    null_item = F.lit(None).cast(known.schema["item"].dataType)
+    without_id = F.when(no_id, F.array(null_item)).otherwise(F.slice(F.array(null_item), 1, 0))
     per_row = hits.groupBy("row").agg(
         F.first("id").alias("id"),
         F.first("n_words").alias("n_words"),
-        F.collect_set("item").alias("items"),
-        F.collect_set(F.when(F.col("item").isNotNull(), span)).alias("found"),
+        F.concat(F.collect_set("item"), without_id).alias("items"),
+        F.collect_set(F.when(F.col("match"), span)).alias("found"),
     )
     spans = union_of_spans(F.array_sort("found"))
     return per_row.select("id", "n_words", "items", spans.alias("spans")).select(

@@ -163,6 +163,16 @@ def test_find_benchmark(spark, documents, nothing):
     assert len(clean) == documents.count() and not any(r.n_hit for r in clean)
 
 
+def test_find_benchmark_without_item_id(spark, nothing):
+    words = PASSAGE.split()
+    items = [(None, " ".join(words[:15])), (None, " ".join(words[20:32])), (4, " ".join(words[40:]))]
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    docs = [(1, " ".join(words[:35])), (2, PASSAGE), (3, "other words"), (4, " ".join(words[40:]))]
+    found = find_benchmark(spark.createDataFrame(docs, "doc_id bigint, text string"), bench)
+    got = {r.id: (r.n_hit, sorted(r["items"], key=str)) for r in found.collect()}
+    assert got == {1: (27, [None]), 2: (47, [4, None]), 3: (0, []), 4: (20, [4])}
+
+
 def test_pack(documents, nothing):
     pieces = pack(documents, TOKENIZER, 2, length=64).collect()
     place = 0
