@@ -32,8 +32,9 @@ NORMALIZERS = [
 PIECE_PATTERN = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
 
 # Words of printable ASCII and composed Latin letters: normalization leaves them alone,
-# and letters, digits and the rest are told apart without Unicode tables.
-LETTER = "a-zA-ZÀ-ÖØ-öø-ɏ"
+# and letters, digits and the rest are told apart without Unicode tables. U+023A and U+023E
+# are left out, as their lower case lies outside of these letters.
+LETTER = "a-zA-ZÀ-ÖØ-öø-\u0239\u023b-\u023d\u023f-ɏ"
 PLAIN = re.compile(f"[!-~{LETTER}]+")
 PIECE = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTER}]+|[0-9]|[^0-9{LETTER}]+")
 

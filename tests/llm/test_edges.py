@@ -194,6 +194,14 @@ def test_encoder_on_odd_texts():
     assert got == [brute.ids_of(t) for t in rows]
 
 
+def test_encoder_on_letters_with_distant_lower_case():
+    rows = ["a\u023ab", "\u023e", "x\u023e\u023ay1", "\u0239\u023b\u023d\u023f"]
+    got = []
+    for _, flat, bounds in WordEncoder(TOKENIZER, None).encode(pa.array(rows)):
+        got += [flat[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:])]
+    assert got == [brute.ids_of(t) for t in rows]
+
+
 def test_near_vectors(spark):
     rng = np.random.default_rng(4)
     centers = rng.normal(size=(40, 16))
