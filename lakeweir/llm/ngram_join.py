@@ -8,7 +8,8 @@ of ``percent`` hundredths or more. The join is exact.
    shingle among the first ``n - ceil(t * n) + 1``, the prefix.
 2. Shingles that lie in one prefix only are found by an aggregate and leave the prefixes; the
    others are sent on as a bitmap. Equal sets are one class. Classes with equal prefix and
-   size are one group, and only groups are joined.
+   size are one group. Step 3 joins groups; steps 4 and 5 join single classes, as what they look
+   for are links between classes of one group or of several that step 3 left apart.
 3. The groups of a shingle, sorted by size, are first paired each with the next one
    only. Verified pairs make components. Large families of near copies mostly
    become one component here, by as many pairs as they have members.
