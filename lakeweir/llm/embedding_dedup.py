@@ -190,7 +190,23 @@ def vectors_of(column: pa.Array, dim: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
 
 
-def leaf_rows(forest: Forest) -> Callable:
+def fit_forests(
+    classes: DataFrame, cosine: float, trees: int, leaf: int, max_sample: int
+) -> dict[int, Forest]:
+    """A forest for each length of more than ``leaf`` vectors; the others are one leaf each."""
+    large = classes.groupBy("dim").count().filter(F.col("count") > leaf)
+    sizes = {r["dim"]: r["count"] for r in large.collect()}
+    drawn = hash_sample(classes, "id", max_sample).select("dim", "vector").toArrow()
+    dims = drawn.column("dim").to_numpy()
+    forests = {}
+    for dim, rows in sizes.items():
+        vectors = drawn.column("vector").filter(pa.array(dims == dim)).combine_chunks()
+        if len(vectors):
+            forests[dim] = fit_forest(normalized(vectors_of(vectors, dim)), rows, cosine, trees, leaf)
+    return forests
+
+
+def leaf_rows(forests: dict[int, Forest]) -> Callable:
     """From (dim, id, copies, vector): a row for each leaf of a vector, with all its leaves."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -199,7 +215,8 @@ def leaf_rows(forest: Forest) -> Callable:
             for dim in np.unique(dims):
                 part = batch.filter(pa.array(dims == dim))
                 unit = normalized(vectors_of(part.column(3), int(dim)))
-                unit = unit[:, : forest.directions.shape[2]]
+                whole = Forest(np.zeros((1, MAX_DEPTH, int(dim))), [{}], 0.0)
+                forest = forests.get(int(dim), whole)
                 rows, leaves = zip(*(forest.leaves(unit, t) for t in range(len(forest.nodes))))
                 tree = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
                 row, leaf = np.concatenate(rows), np.concatenate(leaves)
@@ -314,16 +331,11 @@ def near_vectors(
         .select(F.size("vector").alias("dim"), "id", "copies", "vector")
     )
     classes = work.store(classes, "classes")
-    total = classes.count()
-    width = classes.agg(F.max("dim")).collect()[0][0] or 1
-    drawn = hash_sample(classes, "id", max_sample).filter(F.col("dim") == width)
-    drawn = drawn.select("vector").toArrow().column("vector").combine_chunks()
-    sample = normalized(vectors_of(drawn, width)) if len(drawn) else np.zeros((0, width))
-    forest = fit_forest(sample, total, cosine, trees, leaf)
+    forests = fit_forests(classes, cosine, trees, leaf, max_sample)
     kind = classes.schema["vector"].dataType.simpleString()
     placed = work.store(
         classes.mapInArrow(
-            leaf_rows(forest),
+            leaf_rows(forests),
             f"dim int, id bigint, copies bigint, vector {kind}, leaf bigint, leaves array<bigint>",
         ),
         "leaves",

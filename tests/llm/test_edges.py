@@ -15,7 +15,7 @@ from lakeweir.llm import chat, quality, toxicity
 from lakeweir.llm.bitmaps import build_bitmap, perhaps_in
 from lakeweir.llm.components import connected_components
 from lakeweir.llm.decontamination import find_benchmark
-from lakeweir.llm.embedding_dedup import fit_forest, near_vectors
+from lakeweir.llm.embedding_dedup import fit_forest, fit_forests, near_vectors
 from lakeweir.llm.ngram_join import near_duplicates
 from lakeweir.llm.packing import pack
 from lakeweir.llm.storage import Workspace
@@ -238,6 +238,14 @@ def test_near_vectors(spark):
     assert near_vectors(frame.limit(0)).count() == 0
 
 
+def test_a_stray_longer_vector_leaves_the_forest(spark):
+    vectors = np.random.default_rng(6).normal(size=(400, 64)).tolist() + [[1.0] * 65]
+    rows = [(len(v), i, v) for i, v in enumerate(vectors)]
+    classes = spark.createDataFrame(rows, "dim int, id bigint, vector array<double>")
+    forests = fit_forests(classes, cosine=0.95, trees=4, leaf=40, max_sample=1000)
+    assert list(forests) == [64] and all(forests[64].nodes)
+
+
 def test_forest_keeps_a_dense_group():
     """A third of the vectors in one group of mean pair cosine 0.95, the rest far from each other."""
     rng = np.random.default_rng(8)
