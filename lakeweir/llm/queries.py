@@ -12,7 +12,10 @@ from lakeweir.llm.decontamination import find_benchmark
 from lakeweir.llm.embedding_dedup import near_vectors
 from lakeweir.llm.ngram_join import near_duplicates
 from lakeweir.llm.packing import pack
+from lakeweir.llm.prefix_trie import placed_turns, prefix_trie
+from lakeweir.llm.quality_rules import BASE, STRICT, evaluate_rules, passes
 from lakeweir.llm.samples import held_out
+from lakeweir.llm.scans import scanned
 from lakeweir.llm.shipping import ship_package
 from lakeweir.llm.substring_dedup import remove_repeats
 from lakeweir.llm.storage import Workspace
@@ -183,6 +186,42 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def rebuilt_turns(turns: DataFrame, ids: DataFrame, work: Workspace) -> DataFrame:
+    """Turns of conversations of which the first few were replaced by those of every twentieth one."""
+    h = F.crc32(F.col("conv").cast("string")) % 4
+    kept = turns.filter(F.col("place") >= h).withColumn("side", F.lit(1))
+    # At most 20 conversations share a base, and at most 3 of its turns are taken.
+    base = turns.filter("conv % 20 = 0 and place < 3").withColumnRenamed("conv", "base")
+    members = ids.select("conv", (F.col("conv") - F.col("conv") % 20).alias("base"), h.alias("h"))
+    taken = base.join(members.filter("h > 0"), "base").filter("place < h").withColumn("side", F.lit(0))
+    names = ["conv", "side", F.col("place").alias("original"), "digest", "n_words"]
+    rows = taken.select(*names).union(kept.select(*names))
+    return scanned(rows, work, ["conv"], ["side", "original"]).select(
+        "conv", "place", "digest", "n_words"
+    )
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = read(spark, sf_dir, "conversations")
+    work = Workspace(spark, "prefix-trie")
+    turns = placed_turns(conversations, work)
+    ids = turns.filter("place = 0").select("conv")
+    return prefix_trie(rebuilt_turns(turns, ids, work), ids, work)
+
+
+def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return evaluate_rules(read(spark, sf_dir, "documents")).select(
+        F.col("id").alias("doc_id"),
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        (~passes(BASE)).alias("base_failed"),
+        passes(STRICT).alias("kept"),
+    )
+
+
 SQL3 = """
 with recursive part as (
     select vec_id, unnest(embedding)::double as x, generate_subscripts(embedding, 1) as k
@@ -314,6 +353,88 @@ select doc_id, cast(len(words) as bigint) as n_words, coalesce(n_hit, 0) as n_hi
 from doc left join covered using (doc_id) left join items using (doc_id)
 """
 
+SQL12 = r"""
+with numbered as (
+    select conv_id, coalesce(role, '') as role, coalesce(text, '') as text,
+           row_number() over (partition by conv_id order by turn nulls first, coalesce(role, ''),
+               coalesce(text, '')) - 1 as place
+    from conversations where conv_id is not null
+), listed as (
+    select conv_id, list(struct_pack(role := role, text := text) order by place) as turns,
+           list_reduce(list_prepend(4294967295::bigint, list_transform(
+               string_split(cast(conv_id as varchar), ''), lambda x: ascii(x)::bigint)),
+               lambda acc, b: list_reduce(list_prepend(xor(acc, b), range(8)),
+                   lambda a, k: case when a % 2 = 1 then xor(a // 2, 3988292384) else a // 2 end))
+               as state
+    from numbered group by conv_id
+), conv as (
+    select c.conv_id, xor(c.state, 4294967295) % 4 as h, c.turns as own, b.turns as base
+    from listed c left join listed b on b.conv_id = c.conv_id - c.conv_id % 20
+), rebuilt as (
+    select conv_id, list_concat(case when h = 0 or base is null then [] else base[1:h] end,
+                                own[h + 1:]) as turns
+    from conv
+), prefix as (
+    select conv_id, d, md5(cast(turns[1:d] as json)::varchar) as name,
+           md5(cast(turns[1:d - 1] as json)::varchar) as parent, turns[d].text as text,
+           d = len(turns) as ends, turns
+    from rebuilt, unnest(range(0, len(turns) + 1)) as t(d)
+), node as (
+    select d, name, min(conv_id) as conv_id, any_value(parent) as parent, count(*) as n_convs,
+           coalesce(string_agg(cast(conv_id as varchar), ',' order by conv_id) filter (ends), '')
+               as ends,
+           case when d = 0 then 0 else (count(*) - 1) * len(list_filter(regexp_split_to_array(
+               any_value(text), '[\x{20}\x{9}-\x{D}]+'), lambda x: x <> '')) end as saved,
+           any_value(turns[1:d]) as turns
+    from prefix group by d, name
+), child as (
+    select d - 1 as d, parent as name, count(*) as n from node where d > 0 group by all
+), up as (
+    select a.up as d, md5(cast(turns[1:a.up] as json)::varchar) as name, saved,
+           child.n is null as leaf
+    from node left join child using (d, name), unnest(range(0, d + 1)) as a(up)
+), subtree as (
+    select d, name, sum(saved) as saved, count(*) filter (leaf) as leaves from up group by all
+)
+select node.conv_id, node.d as depth, p.conv_id as parent_conv_id, node.n_convs,
+       coalesce(child.n, 0) as n_children, subtree.leaves as n_leaves,
+       cast(subtree.saved as bigint) as saved_tokens, sha256(node.ends) as ends_sha256
+from node join subtree on node.d = subtree.d and node.name = subtree.name
+left join child on node.d = child.d and node.name = child.name
+left join node p on p.d = node.d - 1 and p.name = node.parent and node.d > 0
+"""
+
+SQL13 = r"""
+with doc as (
+    select row_number() over () as row, doc_id, coalesce(text, '') as text,
+           list_filter(regexp_split_to_array(coalesce(text, ''), '[\x{20}\x{9}-\x{D}]+'),
+               lambda x: x <> '') as words,
+           list_filter(string_split(coalesce(text, ''), chr(10)),
+               lambda x: regexp_matches(x, '[^\x{20}\x{9}-\x{D}]')) as lines
+    from documents
+), run as (
+    select row, pos, array_to_string(list_slice(words, pos, pos + 4), ' ') as run
+    from doc, unnest(range(1, len(words) - 3)) as t(pos)
+), again as (
+    select row, pos from run qualify count(*) over (partition by row, run) > 1
+), covered as (
+    select row, count(distinct pos + k) as n from again, unnest(range(0, 5)) as t(k) group by row
+), measured as (
+    select doc_id, len(words) as n_words, length(array_to_string(words, '')) as word_chars,
+           length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) as n_symbols,
+           length(text) - length(regexp_replace(text, '[A-Z]', '', 'g')) as n_upper,
+           len(lines) as n_lines, len(lines) - len(list_distinct(lines)) as n_dup_lines,
+           coalesce(n, 0) as n_repeat_words
+    from doc left join covered using (row)
+)
+select doc_id, n_words, word_chars, n_symbols, cast(n_dup_lines as bigint) as n_dup_lines,
+       n_repeat_words, n_words < 10 or 100 * n_repeat_words > 20 * n_words as base_failed,
+       not (n_words < 10 or 100 * n_repeat_words > 20 * n_words or 100 * n_symbols > 25 * n_words
+            or 100 * n_upper > 50 * word_chars or 100 * n_dup_lines > 50 * n_lines
+            or word_chars > 40 * n_words) as kept
+from measured
+"""
+
 QUERIES = (
     Query("op1_toxicity", op1_toxicity),
     Query("op2_packing", op2_packing),
@@ -325,5 +446,7 @@ QUERIES = (
     Query("op8_warc", op8_warc, SQL8),
     Query("op9_decontamination", op9_decontamination, SQL9),
     Query("op10_token_counts", op10_token_counts),
+    Query("op12_prefix_trie", op12_prefix_trie, SQL12),
+    Query("op13_quality_rules", op13_quality_rules, SQL13),
     Query("pipeline", corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
 )
