@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeweir.llm import chat, quality, toxicity
+from lakeweir.llm.alignment import align_tokens
 from lakeweir.llm.decontamination import find_benchmark
 from lakeweir.llm.embedding_dedup import near_vectors
 from lakeweir.llm.ngram_join import near_duplicates
@@ -186,6 +187,15 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    aligned = align_tokens(
+        read(spark, sf_dir, "documents"),
+        public_tokenizers.path("byte_bpe_50k.json"),
+        public_tokenizers.path("piece_bpe_32k.model"),
+    )
+    return aligned.withColumnRenamed("id", "doc_id").withColumn("doc_id", F.col("doc_id").cast("bigint"))
+
+
 def rebuilt_turns(turns: DataFrame, ids: DataFrame, work: Workspace) -> DataFrame:
     """Turns of conversations of which the first few were replaced by those of every twentieth one."""
     h = F.crc32(F.col("conv").cast("string")) % 4
@@ -446,6 +456,7 @@ QUERIES = (
     Query("op8_warc", op8_warc, SQL8),
     Query("op9_decontamination", op9_decontamination, SQL9),
     Query("op10_token_counts", op10_token_counts),
+    Query("op11_tokenizer_alignment", op11_tokenizer_alignment),
     Query("op12_prefix_trie", op12_prefix_trie, SQL12),
     Query("op13_quality_rules", op13_quality_rules, SQL13),
     Query("pipeline", corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
