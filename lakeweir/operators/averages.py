@@ -15,7 +15,8 @@ from lakeweir.functions.numeric import (
     rounded_average,
     rounded_ratio,
 )
-from lakeweir.operators.joins import BROADCAST_BYTES, SALT, STREAM_SALTS, fits_broadcast, spread
+from lakeweir.operators.joins import BROADCAST_BYTES, SALT, fits_broadcast, stream_sides
+from lakeweir.session import scratch_path
 from lakeweir.sinks.files import snapshot
 
 KEY = "__key"
@@ -57,8 +58,8 @@ def average_joined(
     dim_keys: Iterable[str],
     measures: Mapping[str, str],
     places: int = PLACES,
-    salt: Column | None = None,
-    salts: int = STREAM_SALTS,
+    place: Column | None = None,
+    backlog: DataFrame | None = None,
     broadcast_limit: int = BROADCAST_BYTES,
     dim_copy: str | None = None,
 ) -> DataFrame:
@@ -70,7 +71,8 @@ def average_joined(
     side is not shuffled at all. If not, a batch fact is collapsed as well, to
     one counted row per join key and group: a key that holds a third of all
     rows shrinks inside the map tasks, before the shuffle. A streaming fact
-    cannot be aggregated twice and is salted instead, by ``salt``.
+    cannot be aggregated twice: its heavy keys are salted by ``place``, and the dimension is
+    stored in buckets, which no micro-batch shuffles (``stream_sides``).
 
     With ``dim_copy`` the collapsed dimension is stored at that path now and read
     from there, so the micro-batches of a stream do not each read and collapse
@@ -91,11 +93,14 @@ def average_joined(
         rows = rows.select(*carried, F.lit(1).cast("bigint").alias(ROWS))
         parts = F.broadcast(parts)
     elif fact.isStreaming:
-        if salt is not None and salts > 1:
-            rows, parts = spread(rows, parts, salt, salts)
-            carried.append(SALT)
-            join_keys.append(SALT)
-        rows = rows.select(*carried, F.lit(1).cast("bigint").alias(ROWS))
+        copy = f"{dim_copy.rstrip('/')}-dealt" if dim_copy else scratch_path(fact.sparkSession, "dim")
+        if backlog is not None:
+            backlog = backlog.select(F.col(on).alias(KEY))
+        place = F.lit(0) if place is None else place
+        rows = rows.select(*carried, place.alias("__offset"))
+        rows, parts = stream_sides(rows, parts, KEY, KEY, F.col("__offset"), copy, backlog)
+        join_keys.append(SALT)
+        rows = rows.select(KEY, *fact_keys, SALT, F.lit(1).cast("bigint").alias(ROWS))
     else:
         rows = rows.select(*carried).groupBy(KEY, *fact_keys).agg(F.count("*").alias(ROWS))
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lakeweir.config import JdbcConfig
 from lakeweir.functions.records import to_records
+from lakeweir.operators.joins import BROADCAST_BYTES
 from lakeweir.plans.topic_jobs import Topics, publish_table
 from lakeweir.schemas import AVERAGES_DDL
 from lakeweir.sinks.jdbc import write_jdbc
@@ -57,6 +58,7 @@ def run_enrichment(
     topic: str = RESULTS,
     max_per_trigger: int | None = None,
     bio_copy: str | None = None,
+    broadcast_limit: int = BROADCAST_BYTES,
     **run: object,
 ) -> StreamRun:
     """Messages joined with ``bio``, averaged, and sent to every sink.
@@ -68,6 +70,10 @@ def run_enrichment(
     """
     records = topics.read_stream(spark, topic, max_per_trigger=max_per_trigger)
     stream = build_enriched_stream(
-        records, bio, bio_copy=bio_copy or f"{checkpoint.rstrip('/')}-bio"
+        records,
+        bio,
+        backlog=topics.read(spark, topic),
+        broadcast_limit=broadcast_limit,
+        bio_copy=bio_copy or f"{checkpoint.rstrip('/')}-bio",
     )
     return run_stream(stream, fan_out(*sinks), checkpoint, **run)

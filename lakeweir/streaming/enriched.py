@@ -12,7 +12,7 @@ from lakeweir.functions.numeric import valid_measures
 from lakeweir.functions.records import from_records
 from lakeweir.functions.stamps import stamp
 from lakeweir.operators.averages import average_joined
-from lakeweir.operators.joins import BROADCAST_BYTES, STREAM_SALTS
+from lakeweir.operators.joins import BROADCAST_BYTES
 from lakeweir.schemas import EVENT_RESULTS, GROUP_KEYS
 
 MEASURES = {"avg_height": "height", "avg_weight": "weight"}
@@ -28,7 +28,7 @@ def build_enriched_stream(
     bio_keys: Iterable[str] = ("sex",),
     output_keys: Iterable[str] = GROUP_KEYS,
     measures: Mapping[str, str] = MEASURES,
-    salts: int = STREAM_SALTS,
+    backlog: DataFrame | None = None,
     broadcast_limit: int = BROADCAST_BYTES,
     bio_copy: str | None = None,
 ) -> DataFrame:
@@ -36,11 +36,16 @@ def build_enriched_stream(
 
     The country is that of the event. Rows of ``bio`` without valid measures
     are dropped before the join. With ``bio_copy`` what the join needs of
-    ``bio`` is stored at that path once, instead of being read for every batch.
+    ``bio`` is stored at that path once, instead of being read for every batch. ``backlog`` are
+    the messages there are by now, as a batch: if ``bio`` is too large to broadcast, keys that are
+    heavy there are dealt over several tasks.
     """
     # Only fields that are used are parsed.
     used = {on, *event_keys}
     narrowed = T.StructType([field for field in schema.fields if field.name in used])
+    if backlog is not None:
+        key = T.StructType([schema[on]])
+        backlog = from_records(backlog, key)
     averages = average_joined(
         from_records(records, narrowed, keep=["offset"]),
         valid_measures(bio, measures.values()),
@@ -49,8 +54,8 @@ def build_enriched_stream(
         fact_keys=event_keys,
         dim_keys=bio_keys,
         measures=measures,
-        salt=F.col("offset"),
-        salts=salts,
+        place=F.col("offset"),
+        backlog=backlog,
         broadcast_limit=broadcast_limit,
         dim_copy=bio_copy,
     )

@@ -7,7 +7,17 @@ import pytest
 from pyspark.sql import functions as F
 
 from lakeweir.operators.averages import average_by, average_joined
-from lakeweir.operators.joins import SALT, enrich, fits_broadcast, hot_keys, measured_bytes, spread_hot_keys
+from lakeweir.operators.buckets import bucketed_copy
+from lakeweir.operators.joins import (
+    SALT,
+    counted_hot_keys,
+    enrich,
+    fits_broadcast,
+    measured_bytes,
+    profile,
+    spread_hot_keys,
+    stream_sides,
+)
 from tests.athletes import averages
 from tests.helpers import plan_of
 
@@ -93,16 +103,12 @@ def test_hot_key_is_collapsed_before_the_shuffle(sides):
 
 
 @pytest.mark.parametrize("limit", [0, 64 << 20])
-@pytest.mark.parametrize("salted", [False, True])
-def test_enrich_gives_every_pair_once(sides, limit, salted):
+def test_enrich_gives_every_pair_once(sides, limit):
     facts, dims, pairs = sides
-    salt = F.col("row") if salted else None
-    joined = enrich(facts, dims, "k", "id", salt=salt, salts=4, broadcast_limit=limit)
+    joined = enrich(facts, dims, "k", "id", broadcast_limit=limit)
     assert SALT not in joined.columns
     assert joined.count() == len(pairs)
-    used = enrich(
-        facts, dims.withColumnRenamed("id", "k"), "k", salt=salt, salts=4, broadcast_limit=limit
-    )
+    used = enrich(facts, dims.withColumnRenamed("id", "k"), "k", broadcast_limit=limit)
     assert used.columns == ["k", "f", "row", "d", "h", "w"]
     assert used.count() == len(pairs)
     assert used.groupBy("row").count().count() == joined.select("row").distinct().count()
@@ -118,9 +124,89 @@ def skewed(spark):
 
 
 def test_hot_keys(spark):
+    """One pass tells the size and the keys above an even share; no such key is missed."""
+    fact, dim = skewed(spark)
+    assert profile(fact, "k", 6).hot == [(7, 3)]
+    assert profile(dim, "k", 4).hot == [(-1, 2)]
+    assert profile(dim, "k", 4).bytes == measured_bytes(dim)
+    assert profile(fact.filter("k is null"), "k", 4).hot == []
+    rng = random.Random(3)
+    rows = [(f"k{int(rng.paretovariate(0.6))}",) for _ in range(20_000)] + [(None,)] * 9000
+    many = spark.createDataFrame(rows, "k string").repartition(7)
+    for tasks in (4, 50, 300):
+        exact = {k for k, _ in counted_hot_keys(many, "k", -(-20_000 // tasks))}
+        found = {k for k, _ in profile(many, "k", tasks).hot}
+        assert exact <= found and len(found) < 2 * tasks and None not in found
+    odd = many.withColumn("k", F.col("k").cast("binary"))
+    assert {bytes(k).decode() for k, _ in profile(odd, "k", 50).hot} == {
+        k for k, _ in counted_hot_keys(many, "k", 400)
+    }
+
+
+def jobs_of(spark, group, run):
+    context = spark.sparkContext
+    context.setJobGroup(group, group)
+    try:
+        run()
+        return len(context.statusTracker().getJobIdsForGroup(group))
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_each_side_is_asked_once_before_the_join(spark, tmp_path):
+    fact, dim = skewed(spark)
+    for name, df in (("fact", fact), ("dim", dim)):
+        df.write.parquet(str(tmp_path / name))
+    fact, dim = (spark.read.parquet(str(tmp_path / name)) for name in ("fact", "dim"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # one job per query
+    try:
+        assert jobs_of(spark, "sides", lambda: enrich(fact, dim, "k", "k", broadcast_limit=1)) == 2
+        assert jobs_of(spark, "small", lambda: enrich(fact, dim, "k", "k")) == 1
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_equal_rows_of_a_hot_key_are_dealt_out(spark, tmp_path):
+    """100,000 rows of one key, with two distinct rows only."""
+    path = str(tmp_path / "t")
+    spark.range(0, 150_000, 1, 3).selectExpr(
+        "if(id % 3 < 2, 7L, id) AS k", "if(id % 3 = 0, 'a', 'b') AS v"
+    ).write.parquet(path)
+    fact, dim = spark.read.parquet(path), spark.range(50).withColumnRenamed("id", "k")
+    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    left, right = spread_hot_keys(fact, dim, "k", "k")
+    dealt = [r["count"] for r in left.filter("k = 7").groupBy(SALT).count().collect()]
+    assert sum(dealt) == 100_000 and max(dealt) <= 150_000 // width + 3
+    assert right.filter("k = 7").count() == len(dealt)
+    assert enrich(fact, dim, "k", broadcast_limit=0).count() == fact.join(dim, "k").count()
+
+
+def test_buckets_are_used_again(spark, tmp_path):
+    path = str(tmp_path / "copy")
+    rows = spark.range(100).selectExpr("id % 10 AS k", "id AS v")
+    first = bucketed_copy(rows, ["k"], path, 3)
+    again = bucketed_copy(rows.filter("v < 5"), ["k"], path, 8)
+    assert first.count() == again.count() == 100
+    for stored in (first, again):
+        plan = plan_of(stored.groupBy("k").count(), "simple")
+        assert "Exchange" not in plan and "Bucketed: true" in plan
+    assert "copy_" not in {t.name[:5] for t in spark.catalog.listTables()}
+
+
+def test_sides_of_a_stream(spark, tmp_path):
+    """The copy keeps its hot keys and buckets; a join with it shuffles the other side only."""
     fact, dim = skewed(spark)
-    assert hot_keys(fact, "k", 6) == [(7, 3)] and hot_keys(dim, "k", 4) == [(-1, 2)]
-    assert hot_keys(fact.filter("k is null"), "k", 4) == []
+    copy = str(tmp_path / "copy")
+    for _ in range(2):
+        left, right = stream_sides(fact, dim, "k", "k", F.col("row"), copy, fact)
+        joined = left.join(right.hint("merge"), ["k", SALT])
+        assert joined.count() == fact.join(dim, "k").count()
+        plan = plan_of(joined, "simple")
+        assert len(re.findall(r"Exchange hashpartitioning", plan)) == 1
+        assert "Bucketed: true" in plan
+        dealt = left.filter("k = 7").groupBy(SALT).count().collect()
+        assert len(dealt) == 2 and max(r["count"] for r in dealt) <= 2501
+        fact = fact.filter("k = 7 or row < 10")
 
 
 def test_hot_keys_are_dealt_over_tasks(spark):
