@@ -148,7 +148,8 @@ def salted(
         df = df.join(F.broadcast(other), F.col(on) == F.col(OTHER_HOT), "left")
         theirs = F.coalesce(F.col(OTHER_SALTS), none)
     deals = mine >= theirs if first else mine > theirs
-    one = F.array(F.pmod(F.col(PLACE), mine))
+    # Keys may come in a rhythm, so places are hashed.
+    one = F.array(F.pmod(F.xxhash64(F.col(PLACE)), mine))
     every = F.sequence(F.lit(0).cast("bigint"), theirs - 1)
     df = df.withColumn(SALT, F.explode(F.when(deals, one).otherwise(every)))
     return df.drop(PLACE, HOT, SALTS, OTHER_HOT, OTHER_SALTS)
