@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeweir.llm.storage import Workspace
+from lakeweir.operators.joins import SALT, hot_list, profile, salted, spread_hot_keys
 
 EDGES_PER_TASK = 200_000
 
@@ -44,7 +45,7 @@ def connected_components(
     """``node`` and ``component``, the smallest node it reaches, for all nodes of ``links`` (a, b).
 
     In each round tasks of a bounded number of links replace these by the stars of
-    their own components. If one task held all of them, that is the end. Otherwise
+    their own components; a node with more links than a task's share is dealt over several. If one task held all of them, that is the end. Otherwise
     alternating stars follow: in a large star each node's larger neighbours move to its smallest
     neighbour, in a small star the smaller ones do. Components are kept, and in a number of rounds
     that grows with the logarithm of their size each is one star. Each round is stored, so its
@@ -56,10 +57,10 @@ def connected_components(
     edges = work.store(edges.distinct(), "edges")
     while True:
         tasks = -(-edges.count() // edges_per_task)
-        dealt = edges.coalesce(1) if tasks <= 1 else edges.repartition(tasks, "v")
+        dealt = edges.coalesce(1) if tasks <= 1 else dealt_by_root(edges, tasks)
         stars = dealt.mapInArrow(local_stars, "u bigint, v bigint")
         if tasks > 1:
-            stars = alternated(work.store(stars.distinct(), "stars"))
+            stars = alternated(work.store(stars.distinct(), "stars"), work)
         stars = work.store(stars, "edges")
         work.drop(edges)
         edges = stars
@@ -69,21 +70,40 @@ def connected_components(
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).union(roots)
 
 
-def alternated(edges: DataFrame) -> DataFrame:
+def dealt_by_root(edges: DataFrame, tasks: int) -> DataFrame:
+    """Links of one root in one task, but for roots with more links than an even share."""
+    hot = profile(edges, "v", tasks).hot
+    if not hot:
+        return edges.repartition(tasks, "v")
+    edges = salted(edges, "v", hot_list(edges, "v", hot), None, first=True)
+    return edges.repartition(tasks, "v", SALT).drop(SALT)
+
+
+def with_nearest(links: DataFrame, nearest: DataFrame) -> DataFrame:
+    """Links with the least neighbour ``m`` of their ``u``, of which there is one row each."""
+    sides = spread_hot_keys(links, nearest, "u", "w", hot_dim=[])
+    if sides is None:
+        return links.join(nearest, F.col("u") == F.col("w"))
+    links, nearest = sides[0], sides[1].withColumnRenamed(SALT, "w_salt")
+    same = (F.col("u") == F.col("w")) & (F.col(SALT) == F.col("w_salt"))
+    return links.join(nearest, same).drop(SALT, "w_salt")
+
+
+def alternated(edges: DataFrame, work: Workspace) -> DataFrame:
     """One large and one small star."""
     both = edges.union(edges.select("v", "u"))
     nearest = both.groupBy(F.col("u").alias("w")).agg(F.min("v").alias("m"))
     large = (
-        both.filter("v > u")
-        .join(nearest, F.col("u") == F.col("w"))
+        with_nearest(both.filter("v > u"), nearest)
         .select(F.col("v").alias("u"), F.least("m", F.col("u")).alias("v"))
         .distinct()
     )
+    large = work.store(large, "large")
     nearest = large.groupBy(F.col("u").alias("w")).agg(F.min("v").alias("m"))
     pair = F.struct(F.col("v").alias("u"), F.col("m").alias("v"))
     own = F.struct(F.col("u").alias("u"), F.col("m").alias("v"))
     return (
-        large.join(nearest, F.col("u") == F.col("w"))
+        with_nearest(large, nearest)
         .select(F.explode(F.array(pair, own)).alias("e"))
         .select("e.u", "e.v")
         .filter("u <> v")

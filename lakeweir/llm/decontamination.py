@@ -21,14 +21,14 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast, TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeweir.llm.bitmaps import build_bitmap, perhaps_in
 from lakeweir.llm.memory import freeing
 from lakeweir.llm.storage import Workspace
 from lakeweir.llm.words import ALNUM_LOWER, hash_words, mix, ngrams, signed, split, window_minima
-from lakeweir.operators.joins import fits_broadcast
+from lakeweir.operators.joins import SALT, fits_broadcast, spread_hot_keys
 
 WINDOW = 10
 GRAM = 5
@@ -139,11 +139,13 @@ def find_benchmark(
     item_text_col: str = "text",
     window: int = WINDOW,
     gram: int = GRAM,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Per document: ``id``, ``n_words``, ``items`` found in it, and the ``spans`` of words hit.
 
     ``spans`` are half-open and do not touch each other; ``n_hit`` is their total length.
     """
+    work = Workspace(documents.sparkSession, "decontamination")
     kind = benchmark.schema[item_col].dataType.simpleString()
     item_windows = (
         benchmark.select(item_col, item_text_col)
@@ -151,21 +153,22 @@ def find_benchmark(
         .select(F.col("id").alias("item"), "size", "h1", "h2", "print")
         .distinct()
     )
-    item_windows = Workspace(documents.sparkSession, "decontamination").store(item_windows, "items")
+    item_windows = work.store(item_windows, "items")
     bitmap = build_bitmap(item_windows, "print")
     sizes = [
         r["size"] for r in item_windows.select("size").distinct().collect() if r["size"] < window
     ]
-    known = item_windows.select("item", "size", "h1", "h2").distinct()
-    # A null item is an item too, so a match is told by a flag.
-    known = known.withColumn("match", F.lit(True))
-    if fits_broadcast(known, BROADCAST_BYTES):
-        known = F.broadcast(known)
+    # Equal windows have equal fingerprints, so these rows are distinct without them. A null
+    # item is an item too, so a match is told by a flag.
+    known = item_windows.select("item", "size", "h1", "h2").withColumn("match", F.lit(True))
     kind = documents.schema[id_col].dataType.simpleString()
     rows = documents.select(id_col, text_col).mapInArrow(
         window_rows(window, gram, sizes, bitmap), f"id {kind}, {WINDOWS_DDL}"
     )
-    hits = rows.drop("print").join(known, ["size", "h1", "h2"], "left")
+    if fits_broadcast(known, broadcast_bytes):
+        hits = rows.drop("print").join(F.broadcast(known), ["size", "h1", "h2"], "left")
+    else:
+        hits = shuffled_hits(work.store(rows.drop("print"), "windows"), known)
     span = F.struct(F.col("start"), (F.col("start") + F.col("size")).alias("stop"))
     # collect_set leaves nulls out.
     no_id = F.bool_or(F.col("match") & F.col("item").isNull())
@@ -177,42 +180,43 @@ def find_benchmark(
         F.concat(F.collect_set("item"), without_id).alias("items"),
         F.collect_set(F.when(F.col("match"), span)).alias("found"),
     )
-    spans = union_of_spans(F.array_sort("found"))
-    return per_row.select("id", "n_words", "items", spans.alias("spans")).select(
+    words = F.flatten(F.transform("found", lambda s: F.sequence(s["start"], s["stop"] - 1)))
+    hit = per_row.withColumn("hit", F.sort_array(F.array_distinct(words)))
+    return hit.select(
         "id",
         "n_words",
-        F.aggregate(
-            "spans", F.lit(0).cast("bigint"), lambda n, s: n + s["stop"] - s["start"]
-        ).alias("n_hit"),
+        F.size("hit").cast("bigint").alias("n_hit"),
         "items",
-        "spans",
+        spans_of("hit").alias("spans"),
     )
 
 
-def union_of_spans(found):
-    """Sorted spans as an array of spans that neither overlap nor touch."""
-    empty = F.array().cast("array<struct<start:bigint,stop:bigint>>")
-    state = F.struct(
-        empty.alias("done"),
-        F.lit(None).cast("bigint").alias("start"),
-        F.lit(None).cast("bigint").alias("stop"),
-    )
+def shuffled_hits(rows: DataFrame, known: DataFrame) -> DataFrame:
+    """Rows of documents and of their windows that are known, joined by a shuffle of windows only.
 
-    def add(acc, s):
-        joins = acc["stop"].isNotNull() & (s["start"] <= acc["stop"])
-        closed = F.when(
-            acc["stop"].isNull() | joins, acc["done"]
-        ).otherwise(
-            F.concat(acc["done"], F.array(F.struct(acc["start"].alias("start"), acc["stop"].alias("stop"))))
-        )
-        return F.struct(
-            closed.alias("done"),
-            F.when(joins, acc["start"]).otherwise(s["start"]).alias("start"),
-            F.when(joins, F.greatest(acc["stop"], s["stop"])).otherwise(s["stop"]).alias("stop"),
+    The row that stands for a document has no window, so it passes by the join. Windows that very many
+    documents or items share are dealt over tasks.
+    """
+    windows = rows.filter(F.col("start").isNotNull())
+    keys = ["size", "h1", "h2"]
+    sides = spread_hot_keys(windows, known, "h1", "h1")
+    if sides is None:
+        found = windows.join(known.hint("merge"), keys)
+    else:
+        found = sides[0].join(sides[1].hint("merge"), [*keys, SALT]).drop(SALT)
+    return found.unionByName(rows.filter(F.col("start").isNull()), allowMissingColumns=True)
+
+
+def spans_of(hit: str) -> Column:
+    """Sorted places without repeats as spans that neither overlap nor touch."""
+    places = F.col(hit)
+
+    def ends(step: int) -> Column:
+        # ``get`` gives null outside of the array.
+        return F.filter(
+            places, lambda x, i: ~F.get(places, i + step).eqNullSafe(x + step)
         )
 
-    def close(acc):
-        last = F.array(F.struct(acc["start"].alias("start"), acc["stop"].alias("stop")))
-        return F.when(acc["stop"].isNull(), acc["done"]).otherwise(F.concat(acc["done"], last))
-
-    return F.aggregate(found, state, add, close)
+    return F.zip_with(
+        ends(-1), ends(1), lambda a, b: F.struct(a.alias("start"), (b + 1).alias("stop"))
+    )

@@ -26,7 +26,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeweir.llm.storage import Workspace
-from lakeweir.operators.joins import fits_broadcast
+from lakeweir.operators.joins import (
+    SALT,
+    fits_broadcast,
+    hot_list,
+    salted,
+    shuffle_width,
+    spread_hot_keys,
+)
 
 REVISIT_BYTES = 1000
 BROADCAST_BYTES = 32 << 20
@@ -85,6 +92,7 @@ def write_archive(
     payload_col: str = "html",
     revisit_bytes: int = REVISIT_BYTES,
     date: str = "1970-01-01T00:00:00Z",
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> Archive:
     """Store ``pages`` below the shared folder; ``date`` is written into every record."""
     work = Workspace(pages.sparkSession, "archive")
@@ -102,12 +110,12 @@ def write_archive(
         rows.groupBy("digest")
         .agg(F.count("*").alias("n"), F.max(ranked).alias("owner"))
         .filter("n > 1")
-        .select("digest", F.col("owner.id").alias("owner_id"), F.col("owner.url").alias("owner_url"))
+        .select(
+            "digest", "n", F.col("owner.id").alias("owner_id"), F.col("owner.url").alias("owner_url")
+        )
     )
     shared = work.store(shared, "shared")
-    if fits_broadcast(shared, BROADCAST_BYTES):
-        shared = F.broadcast(shared)
-    marked = rows.join(shared.withColumn("again", F.lit(True)), "digest", "left")
+    marked = with_owners(rows, shared, broadcast_bytes)
     owner = F.col("id").eqNullSafe(F.col("owner_id")) & F.col("url").eqNullSafe(F.col("owner_url"))
     revisits = F.col("again").isNotNull() & ~owner & (F.col("bytes") >= revisit_bytes)
     records = marked.withColumn("refers_to", F.when(revisits, name_of(F.col("owner_id")))).select(
@@ -119,10 +127,38 @@ def write_archive(
     return Archive(work.store(records, "records"), work.store(payloads, "payloads"))
 
 
+def with_owners(rows: DataFrame, shared: DataFrame, broadcast_bytes: int) -> DataFrame:
+    """Rows with ``again`` and their owner if their digest is shared.
+
+    Beyond a broadcast the rows of digests with more than an even share of the repeated rows are dealt
+    over tasks; there are fewer of them than tasks.
+    """
+    marks = shared.drop("n").withColumn("again", F.lit(True))
+    if fits_broadcast(marks, broadcast_bytes):
+        return rows.join(F.broadcast(marks), "digest", "left")
+    width = shuffle_width(rows)
+    repeated = shared.agg(F.sum("n")).collect()[0][0] or 0
+    share = max(1, -(-repeated // width))
+    hot = [(r["digest"], -(-r["n"] // share)) for r in shared.filter(F.col("n") > share).collect()]
+    if not hot:
+        return rows.join(marks.hint("merge"), "digest", "left")
+    hot = hot_list(rows, "digest", hot)
+    rows = salted(rows, "digest", hot, None, first=True)
+    marks = salted(marks, "digest", None, hot, first=False)
+    return rows.join(marks.hint("merge"), ["digest", SALT], "left").drop(SALT)
+
+
 def read_archive(archive: Archive) -> DataFrame:
     """Records as they were: ``id``, ``record_type``, ``refers_to``, whole ``record`` bytes
-    and the ``payload``, which for a revisit is that of the record it refers to."""
-    rows = archive.records.join(archive.payloads, "digest")
+    and the ``payload``, which for a revisit is that of the record it refers to.
+
+    Records of one digest in very many pages are dealt over tasks, and its payload goes to each."""
+    # A digest lies once in the payloads, so none is hot there.
+    sides = spread_hot_keys(archive.records, archive.payloads, "digest", "digest", hot_dim=[])
+    if sides is None:
+        rows = archive.records.join(archive.payloads, "digest")
+    else:
+        rows = sides[0].join(sides[1], ["digest", SALT]).drop(SALT)
     checked = F.when(F.sha2("payload", 256) == F.col("digest"), F.col("payload")).otherwise(
         F.raise_error(F.concat(F.lit("payload differs from its digest "), F.col("digest")))
     )
@@ -149,6 +185,7 @@ def read_archive(archive: Archive) -> DataFrame:
 
 
 def id_of(name: Column, kind: str) -> Column:
-    """The id in a record name."""
-    return F.url_decode(F.regexp_extract(name, "^<urn:page:(.*)>$", 1)).cast(kind)
+    """The id in a record name; an empty name is a null id."""
+    text = F.url_decode(F.regexp_extract(name, "^<urn:page:(.*)>$", 1))
+    return F.nullif(text, F.lit("")).cast(kind)
 
