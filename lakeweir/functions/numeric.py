@@ -54,23 +54,23 @@ PARTS = ("whole", "mid", "low", "odd", "n")
 def exact_sums(column: Column | str) -> dict[str, Column]:
     """Aggregates that add up a measure by integers, so the order of rows cannot show.
 
-    A measure counts to nine decimals. ``odd`` adds NaN and infinities, ``n`` counts what is a
-    number. A measure of 9e18 or more, or a sum beyond ``bigint``, is an error in ANSI mode,
-    the default, and never a wrong number.
+    The integers hold nine decimals. ``odd`` adds what they cannot hold: NaN, infinities,
+    measures of ``LARGEST`` or more, and what a measure has beyond its ninth decimal. ``n`` counts what
+    is a number.
     """
     column = F.col(column) if isinstance(column, str) else column
     number = column.try_cast("double")
-    finite = ~F.isnan(number) & (F.abs(number) < F.lit(float("inf")))
-    checked = F.when(F.abs(number) < LARGEST, number).otherwise(
-        F.raise_error(F.concat(F.lit("measure out of range: "), number.cast("string")))
-    )
-    whole = F.when(finite, F.floor(checked))
-    rest = F.when(finite, F.rint((number - F.floor(number)) * float(MID * LOW))).cast("bigint")
+    held = ~F.isnan(number) & (F.abs(number) < F.lit(LARGEST))
+    floor = F.floor(number)
+    rest = F.when(held, F.rint((number - floor) * float(MID * LOW)))
+    # The double nearest to the nine decimals, so 0.1 has nothing beyond them.
+    beyond = number - (floor + rest / float(MID * LOW))
+    rest = rest.cast("bigint")
     return {
-        "whole": F.sum(whole),
+        "whole": F.sum(F.when(held, floor)),
         "mid": F.sum(F.call_function("div", rest, F.lit(LOW))),
         "low": F.sum(rest % LOW),
-        "odd": F.sum(F.when(~finite, number)),
+        "odd": F.sum(F.when(~held, number).when(beyond != 0, beyond)),
         "n": F.count(number),
     }
 
@@ -87,19 +87,30 @@ def carried(sums: dict[str, Column]) -> dict[str, Column]:
 
 
 def rounded_ratio(sums: dict[str, Column], places: int = PLACES) -> Column:
-    """Average from the sums of ``exact_sums``, rounded half up; NULL without numbers."""
+    """Average from the sums of ``exact_sums``, rounded half up; NULL without numbers.
+
+    Decimals beyond the ninth are added as one double and kept to the eighteenth. Beside measures
+    too large for integers the average is one of doubles, as of Spark's ``avg``.
+    """
 
     def decimal(part: Column, unit: str) -> Column:
         return part.cast("decimal(20,0)") * F.lit(unit).cast("decimal(10,9)")
 
+    odd = sums["odd"]
     total = (
         sums["whole"].cast("decimal(20,0)")
         + decimal(sums["mid"], "0.0001")
         + decimal(sums["low"], "0.000000001")
     )
-    average = F.try_divide(total, sums["n"].cast("decimal(20,0)"))
-    return F.when(sums["odd"].isNotNull(), sums["odd"]).otherwise(
-        F.round(average, places).cast("double")
+    n = sums["n"].cast("decimal(20,0)")
+    small = F.abs(odd) < 1.0
+    # What lies beyond nine decimals is divided alone, as both together need more digits than a decimal has.
+    tail = F.when(small, odd / sums["n"]).cast("decimal(38,24)")
+    average = F.try_divide(total, n)
+    average = average.cast("decimal(38,18)") + F.coalesce(tail.cast("decimal(28,18)"), F.lit(0))
+    large = F.try_divide(F.coalesce(total.cast("double"), F.lit(0.0)) + odd, sums["n"])
+    return F.when(odd.isNull() | small, F.round(average, places).cast("double")).otherwise(
+        F.round(large, places)
     )
 
 

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import math
+from fractions import Fraction
 
 import pytest
 from pyspark.sql import functions as F
@@ -99,9 +100,26 @@ def test_averages_keep_decimals_and_ignore_order(spark):
     assert len(found) == 1
 
 
-def test_measures_out_of_range_are_an_error(spark):
-    df = spark.createDataFrame([(1e300,)], "v double")
-    with pytest.raises(Exception, match="out of range"):
-        df.agg(rounded_average("v").alias("m")).collect()
-    odd = spark.createDataFrame([(float("inf"),), (1.0,)], "v double")
-    assert odd.agg(rounded_average("v").alias("m")).collect()[0]["m"] == float("inf")
+def average(spark, values, places):
+    df = spark.createDataFrame([(v,) for v in values], "v double").repartition(3)
+    return df.agg(rounded_average("v", places).alias("m")).collect()[0]["m"]
+
+
+def test_decimals_beyond_the_ninth(spark):
+    assert average(spark, [4e-10, 4e-10], 10) == 4e-10
+    assert average(spark, [1.0000000004, 1.0000000008], 10) == 1.0000000006
+    assert average(spark, [-4e-10, -6e-10, None], 10) == -5e-10
+    assert average(spark, [1e-300, 1.5], 2) == 0.75
+    # 0.1 and 0.2 are their decimals, so the half is rounded up.
+    assert average(spark, [0.1, 0.11], 2) == 0.11
+    exact = float(sum(Fraction(v) for v in (1 / 3, 2 / 7, 1e-12)) / 3)
+    assert average(spark, [1 / 3, 2 / 7, 1e-12], 8) == round(exact, 8)
+
+
+def test_measures_too_large_for_integers(spark):
+    assert average(spark, [1e300], 2) == 1e300
+    assert average(spark, [1e19, 2e19], 2) == 1.5e19
+    assert average(spark, [1e19, 1.0, None], 2) == 5e18
+    assert average(spark, [float("inf"), 1.0], 2) == float("inf")
+    assert math.isnan(average(spark, [NAN, 1e19, 1.0], 2))
+    assert average(spark, [None], 2) is None
