@@ -18,8 +18,8 @@ Rendered pieces of a transcript, put one after the other, are the canonical tran
 as ``<|role|>``, a line break, the text and ``<|end|>``.
 
 Defined cases: a null or empty text is a piece without lines and renders as nothing, but for the
-last end mark; a null role or unknown role in training data is left out; equal pieces count once;
-pieces that share id and seq are ordered by text; a null id is a transcript like any other, a
+last end mark; a null role or unknown role in training data is left out; equal pieces are parsed
+once, and each row of them gets the result; pieces that share id and seq are ordered by text; a null id is a transcript like any other, a
 null seq comes first; an empty table gives no rows; other columns are ignored.
 """
 
@@ -39,6 +39,8 @@ from lakeweir.llm.storage import Workspace
 ROLES = ("system", "user", "assistant")
 STATES = 2 * len(ROLES)  # role + len(ROLES) * inside
 PART_ROWS = 20_000
+# Copies of a piece that one task writes out.
+COPIES = 10_000
 NEVER = -1e9
 
 # Names that speakers go by in transcripts, fixed values.
@@ -271,6 +273,7 @@ def part_rows(model: Model) -> Callable:
             {
                 "id": table.column("id"),
                 "seq": table.column("seq"),
+                "copies": table.column("copies"),
                 "roles": pa.array(roles, pa.list_(pa.string())),
                 "rendered": pa.array(rendered, pa.string()),
             }
@@ -289,11 +292,12 @@ def parse_transcripts(
 ) -> DataFrame:
     """Per piece: ``id``, ``seq``, ``roles`` of the turns it holds a line of, and ``rendered``."""
     work = Workspace(pieces.sparkSession, "transcripts")
-    rows = pieces.select(
+    rows = pieces.groupBy(
         F.col(id_col).alias("id"), F.col(seq_col).alias("seq"), F.col(text_col).alias("text")
-    ).distinct()
+    ).agg(F.count("*").alias("copies"))
     rows = work.store(rows, "pieces")
-    parts = max(1, -(-rows.count() // part_rows_limit))
+    size = rows.agg(F.count("*").alias("n"), F.max("copies").alias("most")).collect()[0]
+    parts = max(1, -(-size["n"] // part_rows_limit))
     order = ["id", "seq", F.xxhash64("text")]
     dealt = (
         rows.repartitionByRange(parts, *order)
@@ -310,10 +314,23 @@ def parse_transcripts(
     states = borders.groupBy("id").applyInArrow(
         join_borders, "part bigint, place bigint, before bigint, after bigint, final boolean"
     )
-    return (
+    parsed = (
         dealt.groupBy("part")
         .cogroup(states.groupBy("part"))
         .applyInArrow(
-            part_rows(model), f"id {kind}, seq {place}, roles array<string>, rendered string"
+            part_rows(model),
+            f"id {kind}, seq {place}, copies bigint, roles array<string>, rendered string",
         )
     )
+    return each_copy(parsed, size["most"] or 1).select("id", "seq", "roles", "rendered")
+
+
+def each_copy(parsed: DataFrame, most: int) -> DataFrame:
+    """As many rows of each piece as it has copies; many copies are dealt over tasks."""
+    one = F.lit(1).cast("bigint")
+    if most > COPIES:
+        share = F.explode(F.sequence(one * 0, F.call_function("div", F.col("copies") - 1, F.lit(COPIES))))
+        parsed = parsed.withColumn("share", share).repartition("id", "seq", "share")
+        left = F.least(F.col("copies") - F.col("share") * COPIES, F.lit(COPIES).cast("bigint"))
+        parsed = parsed.withColumn("copies", left)
+    return parsed.withColumn("copy", F.explode(F.sequence(one, F.col("copies"))))

@@ -69,6 +69,7 @@ BLOCK_CLASSES = 1024
 BLOCK_SHINGLES = 500_000
 CROWD_BITS = 24
 CROWD_BUCKETS = 1 << CROWD_BITS
+MOST_COUNTED = int(np.iinfo(np.uint16).max)
 FIRST_ID = int(np.iinfo(np.int64).min)
 
 
@@ -95,7 +96,9 @@ def crowd_rows(words: int) -> Callable:
         for batch in batches:
             for w in split(batch.column(0), NOT_SPACE, lower=True):
                 _, h = shingles(w, words)
-                np.add.at(counts, (h & np.uint64(CROWD_BUCKETS - 1)).astype(np.int64), 1)
+                bucket, n = np.unique(h & np.uint64(CROWD_BUCKETS - 1), return_counts=True)
+                # A count stays at the most its type holds.
+                counts[bucket] = np.minimum(counts[bucket] + n, MOST_COUNTED)
         mean = counts.mean()
         bucket = np.flatnonzero(counts >= mean + 2 * np.sqrt(mean) + 1)
         yield pa.RecordBatch.from_arrays(
@@ -285,7 +288,7 @@ def near_duplicates(
 
     pairs = work.store(neighbour_pairs(listed, percent), "neighbours")
     links = verified(texts, pairs, words, percent, work)
-    parts = connected_components(links, work)
+    parts = connected_components(links.select("a", "b").union(shared_id_links(docs, classes, work)), work)
 
     def united(new: DataFrame) -> DataFrame:
         known = parts.select(F.col("node").alias("a"), F.col("component").alias("b"))
@@ -323,6 +326,24 @@ def near_duplicates(
     )
 
 
+def shared_id_links(docs: DataFrame, classes: DataFrame, work: Workspace) -> DataFrame:
+    """Links between the classes that one id has texts in: an id is one node."""
+    same = F.struct("n", "s1", "s2")
+    several = (
+        docs.filter("n > 0")
+        .groupBy(F.col("id").alias("node"))
+        .agg(F.min(same).alias("lo"), F.max(same).alias("hi"))
+        .filter("lo <> hi")
+        .select("node")
+    )
+    several = work.store(several, "shared-ids")
+    held = docs.join(several, F.col("id") == F.col("node"), "left_semi")
+    held = held.filter("n > 0").select("id", "n", "s1", "s2").distinct()
+    reps = held.join(classes.select("n", "s1", "s2", "rep"), ["n", "s1", "s2"]).select("id", "rep")
+    # The id itself stands between its classes, so no group of them is formed.
+    return reps.filter("id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b"))
+
+
 def may_link(n1: Column, n2: Column, place1: Column, place2: Column, percent: int) -> Column:
     """Sizes are close enough, and what follows the first common shingle can suffice."""
     sizes = F.least(n1, n2) * 100 >= F.greatest(n1, n2) * percent

@@ -16,7 +16,7 @@ from lakeweir.llm.bitmaps import build_bitmap, perhaps_in
 from lakeweir.llm.components import connected_components
 from lakeweir.llm.decontamination import find_benchmark
 from lakeweir.llm.embedding_dedup import fit_forest, fit_forests, near_vectors
-from lakeweir.llm.ngram_join import near_duplicates
+from lakeweir.llm.ngram_join import crowd_rows, near_duplicates
 from lakeweir.llm.packing import pack
 from lakeweir.llm.storage import Workspace
 from lakeweir.llm.substring_dedup import remove_repeats
@@ -135,6 +135,21 @@ def test_near_duplicate_families(spark):
     assert {r.id: r.component_id for r in near_duplicates(frame).collect()} == expected
 
 
+def test_an_id_with_several_texts_is_one_node(spark):
+    one, two, three = (" ".join(f"{c}{i}" for i in range(20)) for c in "abc")
+    rows = [(3, one), (5, one), (5, two), (7, two), (9, three), (8, three), (9, one), (10, ""), (5, "")]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    found = {(r.id, r.n_shingles): r.component_id for r in near_duplicates(frame).collect()}
+    # Without words a row is linked with nothing.
+    assert found == {(3, 16): 3, (5, 16): 3, (7, 16): 3, (8, 16): 3, (9, 16): 3, (10, 0): 10, (5, 0): 5}
+
+
+def test_crowded_buckets_do_not_overflow():
+    batch = pa.RecordBatch.from_arrays([pa.array(["a " * 70_000])], names=["text"])
+    out = pa.Table.from_batches(crowd_rows(5)(iter([batch])))
+    assert out.column("n").to_pylist() == [65_535]
+
+
 def test_remove_repeats(documents, nothing):
     found = remove_repeats(documents).collect()
     assert len(found) == documents.count()
@@ -333,9 +348,21 @@ def test_transcripts_in_parts(spark):
     assert whole[None, 1][1] == "<|user|>\nhi<|end|>\n" and whole[9999, None] == ([], "")
     right = [whole[i, s][0] == [r] for i, s, r, *_ in rows]
     assert np.mean(right) > 0.9
+    assert chat.parse_transcripts(turns, model).count() == turns.count() == 403
     assert chat.parse_transcripts(turns.limit(0), model).count() == 0
 
 
+def test_each_copy_of_a_piece_has_its_row(spark, monkeypatch):
+    rows = [(1, 0, "User: hi\n")] * 50 + [(1, 1, "Bot: ho")] * 3 + [(2, 0, None)] * 2 + [(2, 1, "x")]
+    turns = spark.createDataFrame(rows, "id bigint, seq bigint, text string").repartition(3)
+    model = chat.train(spark.createDataFrame([(None, "user", "User: a"), ("user", "assistant", "Bot: b")],
+                                             "before string, role string, text string"))
+    plain = sorted(map(repr, chat.parse_transcripts(turns, model).collect()))
+    monkeypatch.setattr(chat, "COPIES", 7)
+    dealt = chat.parse_transcripts(turns, model)
+    assert sorted(map(repr, dealt.collect())) == plain and len(plain) == len(rows)
+
+
 def test_edits(spark, documents, nothing):
     rng = random.Random(8)
     rows = {i: t for i, t, *_ in texts() if i is not None}

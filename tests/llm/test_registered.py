@@ -19,7 +19,7 @@ BY_NAME = {q.name: q for q in QUERIES}
 
 def test_one_query_per_operator():
     numbers = [int(n[2:].split("_")[0]) for n in BY_NAME if n.startswith("op")]
-    assert sorted(numbers) == list(range(1, 11)) and "pipeline" in BY_NAME
+    assert sorted(numbers) == list(range(1, 14)) and "pipeline" in BY_NAME
 
 
 @pytest.mark.parametrize("name", [q.name for q in QUERIES if q.sql])
