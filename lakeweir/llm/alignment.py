@@ -11,10 +11,13 @@ Neither tokenizer joins across a place where a space follows a character that is
 A's pattern cuts there, and B has no piece that holds a space after something else (checked when it is loaded).
 Such places are ends of tokens on both sides, so what lies between two of them, a segment, is aligned alone, and
 a text's alignment is that of its segments. Each distinct segment of a task is aligned once; a bounded table remembers it.
+New segments of a batch are put one after the other into runs, encoded together and aligned by numpy. A
+run that does not come back byte by byte is halved until the segments at fault are alone.
 
-Corpus-wide counts of linked id pairs: tasks add up their own pairs, a shuffle adds up the tasks' sums. Then a
-second pass over the texts looks the counts up. Counts of the ``TOP_PAIRS`` most frequent pairs are broadcast, a fixed
-size. What is rarer is looked up by a join on the pair, in which no key can be frequent.
+Corpus-wide counts of linked id pairs: texts are encoded once, and what was found, with the pairs of each
+text, is stored. Tasks add up the pairs they read, a shuffle adds up the tasks' sums, and a second
+pass over the stored pairs looks the counts up. Counts of the ``TOP_PAIRS`` most frequent pairs are broadcast,
+a fixed size. What is rarer is looked up by a join on the pair, in which no key can be frequent.
 
 Defined cases: texts that are null, empty, or not reproduced by both tokenizers have no tokens and
 count 0; rows are kept apart even if they repeat an id, have none, or are equal; other columns are
@@ -30,20 +33,22 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
+from tokenizers import Encoding, Tokenizer
 
 from lakeweir.llm.memory import freeing
 from lakeweir.llm.storage import Workspace
 from lakeweir.llm.tokens import byte_letters
+from lakeweir.llm.words import chunks
 
 TOP_PAIRS = 1 << 20
-KNOWN_SEGMENTS = 60_000
+KNOWN_SEGMENTS = 150_000
+RUN_LETTERS = 1_500
 KNOWN_LETTERS = 8 << 20
-PAIR_ROWS = 1 << 16
 SPACE_MARK = "▁"
 CUT = re.compile(r"(?<=\S)(?= (?s:.))")  # a last space stays, as B has no pieces for an empty text
 SHIFT = 32
@@ -53,13 +58,12 @@ SUMS = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum")
 
 @dataclass(frozen=True)
 class Aligned:
-    """Tokens of one segment: group texts joined by ``;``, and id pairs of all links, as ``a << 32 | b``."""
+    """Segments one after the other: the first four of ``SUMS`` of each, group texts joined by ``;``, and id pairs
+    of all links, as ``a << 32 | b``."""
 
-    n_a: int
-    n_b: int
-    n_groups: int
-    groups: str
-    pairs: list[int]
+    numbers: np.ndarray
+    groups: list[str]
+    pairs: np.ndarray
 
 
 class Aligner:
@@ -76,11 +80,14 @@ class Aligner:
         }
         size = self.b.get_piece_size()
         pieces = [self.b.id_to_piece(n) for n in range(size)]
-        self.byte_b = {n for n in range(size) if self.b.is_byte(n)}
+        byte_b = {n for n in range(size) if self.b.is_byte(n)}
         self.bytes_b = [
-            bytes([int(p[3:-1], 16)]) if n in self.byte_b else p.replace(SPACE_MARK, " ").encode()
+            bytes([int(p[3:-1], 16)]) if n in byte_b else p.replace(SPACE_MARK, " ").encode()
             for n, p in enumerate(pieces)
         ]
+        self.sizes_a = np.array([len(self.bytes_a.get(n) or b"") for n in range(max(self.bytes_a) + 1)])
+        self.sizes_b = np.array([len(raw) for raw in self.bytes_b])
+        self.single_b = np.array([self.b.is_byte(n) for n in range(size)])
         control = [self.b.is_control(n) or self.b.is_unknown(n) for n in range(size)]
         self.cuts = not any(
             re.search(f"[^{SPACE_MARK}]{SPACE_MARK}", p) for p, c in zip(pieces, control) if not c
@@ -89,65 +96,100 @@ class Aligner:
     def segments(self, text: str) -> list[str]:
         return CUT.split(text) if self.cuts else [text]
 
-    def align(self, segment: str) -> Aligned | None:
-        """Alignment of a segment, which begins with a space; None if its bytes are not reproduced."""
-        data = segment.encode()
-        found_a = self.a.encode(segment, add_special_tokens=False)
-        found_b = self.b.encode(segment[1:], return_type="offset_mapping")
+    def align(self, segments: list[str]) -> Iterator[tuple[list[int], Aligned]]:
+        """Runs of segments, by their numbers, and their alignment; those whose bytes are not
+        reproduced are left out.
+
+        Each begins with a space, so those that do not end with white space may go on in a run.
+        """
+        runs, alone, letters = [[]], [], 0
+        for k, segment in enumerate(segments):
+            if not self.cuts or segment[-1].isspace():
+                alone.append([k])
+                continue
+            if letters > RUN_LETTERS:
+                runs.append([])
+                letters = 0
+            runs[-1].append(k)
+            letters += len(segment)
+        runs = [run for run in runs if run] + alone
+        while runs:
+            texts = ["".join([segments[k] for k in run]) for run in runs]
+            found_a = self.a.encode_batch(texts, add_special_tokens=False)
+            halves = []
+            for run, text, a in zip(runs, texts, found_a):
+                aligned = self.align_run(text, [len(segments[k]) for k in run], a)
+                if aligned is not None:
+                    yield run, aligned
+                elif len(run) > 1:
+                    halves += [run[: len(run) // 2], run[len(run) // 2 :]]
+            runs = halves
+
+    def align_run(self, text: str, letters: list[int], found_a: Encoding) -> Aligned | None:
+        data = text.encode()
+        found_b = self.b.encode(text[1:], return_type="offset_mapping")
         ids_a, ids_b = found_a.ids, found_b["ids"]
         raw_a = [self.bytes_a[n] for n in ids_a]
-        raw_b = [self.bytes_b[n] for n in ids_b]
-        if None in raw_a or b"".join(raw_a) != data or b"".join(raw_b) != data:
+        if None in raw_a or b"".join(raw_a) != data:
+            return None
+        if b"".join([self.bytes_b[n] for n in ids_b]) != data:
             return None
-        if len(data) == len(segment):
-            at: list[int] | range = range(len(segment) + 1)
-        else:
-            at = [0, *np.cumsum([len(c.encode()) for c in segment]).tolist()]
+        # Bytes before each character.
+        at = np.flatnonzero(np.frombuffer(data, np.uint8) & 0xC0 != 0x80)
+        at = np.append(at, len(data))
+        ids_a, ids_b = np.array(ids_a, np.int64), np.array(ids_b, np.int64)
+        spans_a, spans_b = np.array(found_a.offsets), np.array(found_b["offsets"])
+        ends_a = refine(spans_a, self.sizes_a[ids_a], at, np.zeros(len(ids_a), bool))
         # B does not see the space in front, so its characters are one behind.
-        spans_b = [(start + 1, stop + 1) for start, stop in found_b["offsets"]]
-        ends_a = refine(found_a.offsets, raw_a, at, [False] * len(ids_a))
-        ends_b = refine(spans_b, raw_b, at, [n in self.byte_b for n in ids_b])
-        if not ends_a or not ends_b or ends_a[-1] != len(data) or ends_b[-1] != len(data):
+        ends_b = refine(spans_b + 1, self.sizes_b[ids_b], at, self.single_b[ids_b])
+        common = ends_a[np.isin(ends_a, ends_b)]
+        stops = at[np.cumsum(letters)]
+        if not len(common) or common[-1] != len(data) or not np.isin(stops, common).all():
             return None
-        return joined(ids_a, ends_a, ids_b, ends_b)
+        return joined(ids_a, ends_a, ids_b, ends_b, common, stops)
 
 
-def refine(spans: list, raw: list[bytes], at: list[int] | range, single: list[bool]) -> list[int]:
+def refine(spans: np.ndarray, sizes: np.ndarray, at: np.ndarray, single: np.ndarray) -> np.ndarray:
     """Where each token ends, in bytes.
 
     ``at`` gives the bytes before each character. A token that shares a character with the next
-    one, or is a ``single`` byte, ends as many bytes on as it decodes to.
+    one, or is a ``single`` byte, ends as many bytes on as the tokens so far decode to.
+    """
+    shares = np.append(spans[1:, 0] < spans[:-1, 1], False)
+    return np.where(single | shares, np.cumsum(sizes), at[spans[:, 1]])
+
+
+def joined(
+    ids_a: np.ndarray,
+    ends_a: np.ndarray,
+    ids_b: np.ndarray,
+    ends_b: np.ndarray,
+    common: np.ndarray,
+    stops: np.ndarray,
+) -> Aligned:
+    """Groups between ``common`` ends, and links between tokens that overlap, for segments up to ``stops``.
+
+    Between two ends of either side lies one token of A and one of B, and no other place links them.
     """
-    ends, end, last = [], 0, len(spans) - 1
-    for k, (_, stop) in enumerate(spans):
-        if single[k] or (k < last and spans[k + 1][0] < stop):
-            end += len(raw[k])
-        else:
-            end = at[stop]
-        ends.append(end)
-    return ends
-
-
-def joined(ids_a: list[int], ends_a: list[int], ids_b: list[int], ends_b: list[int]) -> Aligned:
-    """Groups between common ends, and links between tokens that overlap."""
-    groups, pairs = [], []
-    i = j = first_a = first_b = 0
-    while i < len(ids_a) and j < len(ids_b):
-        pairs.append(ids_a[i] << SHIFT | ids_b[j])
-        end_a, end_b = ends_a[i], ends_b[j]
-        if end_a <= end_b:
-            i += 1
-        if end_b <= end_a:
-            j += 1
-        if end_a == end_b:
-            left = ",".join(map(str, ids_a[first_a:i]))
-            groups.append(f"{left}|{','.join(map(str, ids_b[first_b:j]))}")
-            first_a, first_b = i, j
-    return Aligned(len(ids_a), len(ids_b), len(groups), ";".join(groups), pairs)
+    ends = np.union1d(ends_a, ends_b)
+    left, right = np.searchsorted(ends_a, ends), np.searchsorted(ends_b, ends)
+    pairs = ids_a[left] << SHIFT | ids_b[right]
+    upto = np.stack([np.searchsorted(e, stops, side="right") for e in (ends_a, ends_b, common, ends)], axis=1)
+    numbers = np.diff(upto, axis=0, prepend=0)
+    written: list[str] = []
+    groups = []
+    for ids, own, end in ((ids_a, ends_a, "|"), (ids_b, ends_b, ";")):
+        last = np.isin(own, common).tolist()
+        written += [f"{n}{end}" if z else f"{n}," for n, z in zip(ids.tolist(), last)]
+        groups.append(np.searchsorted(common, own))
+    order = np.argsort(np.concatenate([2 * groups[0], 2 * groups[1] + 1]), kind="stable").tolist()
+    written = [written[k] for k in order]
+    to = (upto[:, 0] + upto[:, 1]).tolist()
+    return Aligned(numbers, ["".join(written[lo:hi])[:-1] for lo, hi in zip([0, *to], to)], pairs)
 
 
 class Segments(dict):
-    """Number of each known segment, or -1 if it has no tokens; unknown ones are aligned when asked for."""
+    """Number of each known segment, or -1 if it has no tokens, and what is known of each number."""
 
     def __init__(self, aligner: Aligner):
         super().__init__()
@@ -156,35 +198,50 @@ class Segments(dict):
 
     def renew(self) -> None:
         self.clear()
-        self.found: list[Aligned] = []
+        self.numbers = np.zeros((0, 4), np.int64)
+        self.pairs = np.zeros(0, np.int64)
+        self.groups: list[str] = []
         self.letters = 0
 
-    def __missing__(self, segment: str) -> int:
-        aligned = self.aligner.align(segment)
-        number = -1
-        if aligned is not None:
-            number = len(self.found)
-            self.found.append(aligned)
-        self[segment] = number
-        self.letters += len(segment)
-        return number
+    def learn(self, segments: list[str]) -> None:
+        new = [s for s in dict.fromkeys(segments) if s not in self]
+        self.update(dict.fromkeys(new, -1))
+        self.letters += sum(map(len, new))
+        numbers, pairs = [self.numbers], [self.pairs]
+        for run, aligned in self.aligner.align(new):
+            self.update(zip([new[k] for k in run], range(len(self.groups), len(self.groups) + len(run))))
+            self.groups += aligned.groups
+            numbers.append(aligned.numbers)
+            pairs.append(aligned.pairs)
+        self.numbers, self.pairs = np.concatenate(numbers), np.concatenate(pairs)
 
     @property
     def full(self) -> bool:
         return len(self) > KNOWN_SEGMENTS or self.letters > KNOWN_LETTERS
 
-    def of(self, text: str | None) -> list[int]:
-        """Segments of a text, none if it has no tokens."""
-        if not text:
-            return []
-        numbers = list(map(self.__getitem__, self.aligner.segments(" " + text)))
-        return [] if -1 in numbers else numbers
+    def of(self, texts: list[str | None]) -> list[list[int]]:
+        """Segments of each text, none if it has no tokens."""
+        split = [self.aligner.segments(" " + text) if text else [] for text in texts]
+        self.learn([segment for segments in split for segment in segments])
+        numbers = [list(map(self.__getitem__, segments)) for segments in split]
+        return [[] if -1 in own else own for own in numbers]
+
+    def pairs_of(self, numbers: list[int]) -> np.ndarray:
+        """Pairs of segments one after the other."""
+        sizes = self.numbers[:, 3]
+        begin = (np.cumsum(sizes) - sizes)[numbers]
+        size = sizes[numbers]
+        first = np.repeat(begin - (np.cumsum(size) - size), size)
+        return self.pairs[first + np.arange(len(first))]
 
-    def pairs(self) -> tuple[np.ndarray, np.ndarray]:
-        """Pairs of all known segments one after the other, and where each segment's begin."""
-        sizes = [len(a.pairs) for a in self.found]
-        flat = np.fromiter((p for a in self.found for p in a.pairs), np.int64, sum(sizes))
-        return flat, np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
+
+def some_texts(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[pa.RecordBatch, list]]:
+    """Slices of batches of about ``CHUNK_BYTES`` of a column of texts or bytes, with its values."""
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+        for lo, hi in chunks(np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])):
+            part = batch.slice(lo, hi - lo)
+            yield part, part.column(column).to_pylist()
 
 
 _ALIGNERS: dict[tuple[str, str], Aligner] = {}
@@ -197,42 +254,42 @@ def aligner(path_a: str, path_b: str) -> Aligner:
     return _ALIGNERS[path_a, path_b]
 
 
-def pair_rows(path_a: str, path_b: str) -> Callable:
-    """From (text): id pairs and their number of links, added up within the task."""
+def aligned_rows(path_a: str, path_b: str, keep_groups: bool) -> Callable:
+    """From (id, text): numbers of tokens, groups and links, the groups' digest, and pairs as bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Segments(aligner(path_a, path_b))
-        used = np.zeros(0, np.int64)
-
-        def counted() -> Iterator[pa.RecordBatch]:
-            flat, bounds = known.pairs()
-            n = np.zeros(len(known.found), np.int64)
-            n[: len(used)] = used
-            keys, place = np.unique(flat, return_inverse=True)
-            sums = np.zeros(len(keys), np.int64)
-            np.add.at(sums, place, np.repeat(n, np.diff(bounds)))
-            for lo in range(0, len(keys), PAIR_ROWS):
-                part = slice(lo, lo + PAIR_ROWS)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys[part]), pa.array(sums[part])], names=["pair", "n"]
-                )
-
-        for batch in batches:
-            for text in batch.column(0):
-                numbers = known.of(text.as_py())
-                if numbers:
-                    more = np.bincount(numbers, minlength=max(len(used), len(known.found)))
-                    more[: len(used)] += used
-                    used = more
-                if known.full:
-                    yield from counted()
-                    known.renew()
-                    used = np.zeros(0, np.int64)
-        yield from counted()
+        for batch, texts in some_texts(batches, 1):
+            each = known.of(texts)
+            own = np.array([k for numbers in each for k in numbers], np.int64)
+            text = np.repeat(np.arange(len(each)), [len(numbers) for numbers in each])
+            sums = np.zeros((len(each), 4), np.int64)
+            np.add.at(sums, text, known.numbers[own])
+            pairs = known.pairs_of(own)
+            to = np.cumsum(sums[:, 3]).tolist()
+            written = [";".join([known.groups[k] for k in numbers]) for numbers in each]
+            digests = [hashlib.sha256(w.encode()).hexdigest() if w else "" for w in written]
+            arrays = [batch.column(0), *(pa.array(c) for c in sums.T), pa.array(digests)]
+            arrays.append(pa.array([pairs[lo:hi].tobytes() for lo, hi in zip([0, *to], to)], pa.binary()))
+            names = ["id", *SUMS[:4], "groups_sha256", "pairs"]
+            if keep_groups:
+                arrays.append(pa.array(written))
+                names.append("groups")
+            yield pa.RecordBatch.from_arrays(arrays, names=names)
+            if known.full:
+                known.renew()
 
     return freeing(run)
 
 
+def pair_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """From pairs as bytes: each pair and its number of links in some texts."""
+    for batch in batches:
+        for _, texts in some_texts([batch], 0):
+            pairs, n = np.unique(np.frombuffer(b"".join(texts), np.int64), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(pairs), pa.array(n)], names=["pair", "n"])
+
+
 @dataclass(frozen=True)
 class Counts:
     """Counts of the most frequent pairs, sorted by pair, and the highest count of each id of B."""
@@ -249,70 +306,30 @@ class Counts:
         return np.where(self.pairs[at] == pairs, self.n[at], 0)
 
 
-def text_rows(path_a: str, path_b: str, counts: Broadcast, keep_groups: bool) -> Callable:
-    """From (id, text): numbers of tokens, groups and links, sums of known counts, and pairs not known."""
+def counted_rows(counts: Broadcast) -> Callable:
+    """From (pairs as bytes, others): the others, links with the highest count, sum of counts, and
+    pairs whose count is not known."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Segments(aligner(path_a, path_b))
         frequent: Counts = counts.value
-        numbers = np.zeros((0, 6), np.int64)
-        rare: list[list[int]] = []  # per segment, pairs without a known count
-
-        def measured() -> np.ndarray:
-            """Per segment: the four numbers, links with the highest count, sum of counts."""
-            new = known.found[len(numbers) :]
-            if not new:
-                return numbers
-            sizes = [len(a.pairs) for a in new]
-            flat = np.fromiter((p for a in new for p in a.pairs), np.int64, sum(sizes))
-            segment = np.repeat(np.arange(len(new)), sizes)
-            n = frequent.of(flat)
-            best = (n > 0) & (n == frequent.best[flat & ((1 << SHIFT) - 1)])
-            rows = np.zeros((len(new), 6), np.int64)
-            rows[:, :4] = [(a.n_a, a.n_b, a.n_groups, len(a.pairs)) for a in new]
-            rows[:, 4] = np.bincount(segment[best], minlength=len(new))
-            np.add.at(rows[:, 5], segment, n)
-            rare.extend([] for _ in new)
-            for at in np.flatnonzero(n == 0).tolist():
-                rare[len(numbers) + segment[at]].append(int(flat[at]))
-            return np.concatenate([numbers, rows])
-
-        for batch in batches:
-            out: list[np.ndarray] = []
-            digests, groups, rest = [], [], []
-            for text in batch.column(1):
-                own, written = known.of(text.as_py()), ""
-                if own:
-                    numbers = measured()
-                    written = ";".join([known.found[k].groups for k in own])
-                out.append(numbers[own].sum(axis=0))
-                digests.append(hashlib.sha256(written.encode()).hexdigest() if own else "")
-                rest.append([pair for k in own for pair in rare[k]])
-                if keep_groups:
-                    groups.append(written)
-                if known.full:
-                    known.renew()
-                    numbers = numbers[:0]
-                    rare.clear()
-            if not out:
-                continue
-            arrays = [batch.column(0), *(pa.array(c) for c in np.stack(out, axis=1)), pa.array(digests)]
-            arrays.append(pa.array(rest, pa.list_(pa.int64())))
-            names = ["id", *SUMS, "groups_sha256", "rest"]
-            if keep_groups:
-                arrays.append(pa.array(groups))
-                names.append("groups")
-            yield pa.RecordBatch.from_arrays(arrays, names=names)
+        for batch, texts in some_texts(batches, 0):
+            sizes = [len(text) // 8 for text in texts]
+            pairs = np.frombuffer(b"".join(texts), np.int64)
+            text = np.repeat(np.arange(len(texts)), sizes)
+            n = frequent.of(pairs)
+            best = (n > 0) & (n == frequent.best[pairs & ((1 << SHIFT) - 1)])
+            total = np.zeros(len(texts), np.int64)
+            np.add.at(total, text, n)
+            rare = np.flatnonzero(n == 0)
+            bounds = np.searchsorted(rare, np.cumsum([0, *sizes])).astype(np.int32)
+            rest = pa.ListArray.from_arrays(pa.array(bounds), pa.array(pairs[rare]))
+            more = [pa.array(np.bincount(text[best], minlength=len(texts))), pa.array(total), rest]
+            names = [*batch.schema.names[1:], "n_best", "count_sum", "rest"]
+            yield pa.RecordBatch.from_arrays([*batch.columns[1:], *more], names=names)
 
     return freeing(run)
 
 
-def pair_counts(documents: DataFrame, path_a: str, path_b: str, text_col: str = "text") -> DataFrame:
-    """``pair`` (id of A times 2 ** 32, plus id of B) and ``n``, its links in all texts."""
-    pairs = documents.select(text_col).mapInArrow(pair_rows(path_a, path_b), "pair bigint, n bigint")
-    return pairs.groupBy("pair").agg(F.sum("n").alias("n"))
-
-
 def align_tokens(
     documents: DataFrame,
     path_a: str,
@@ -328,7 +345,15 @@ def align_tokens(
     """
     spark = documents.sparkSession
     work = Workspace(spark, "alignment")
-    pairs = work.store(pair_counts(documents, path_a, path_b, text_col), "pairs")
+    kind = documents.schema[id_col].dataType.simpleString()
+    ddl = f"id {kind}, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, groups_sha256 string"
+    own = ", groups string" if keep_groups else ""
+    aligned = documents.select(id_col, text_col).mapInArrow(
+        aligned_rows(path_a, path_b, keep_groups), f"{ddl}, pairs binary{own}"
+    )
+    aligned = work.store(aligned, "aligned")
+    pairs = aligned.select("pairs").mapInArrow(freeing(pair_rows), "pair bigint, n bigint")
+    pairs = work.store(pairs.groupBy("pair").agg(F.sum("n").alias("n")), "pairs")
     total, frequent = pairs.count(), pairs
     if total > top_pairs:
         share = F.percentile_approx("n", 1 - top_pairs / total, 10_000)
@@ -344,12 +369,10 @@ def align_tokens(
         best[rows["b"].to_numpy()] = rows["best"].to_numpy()
     counts = spark.sparkContext.broadcast(Counts(table["pair"].to_numpy(), table["n"].to_numpy(), best))
 
-    kind = documents.schema[id_col].dataType.simpleString()
-    ddl = ", ".join(f"{name} bigint" for name in SUMS)
-    ddl = f"id {kind}, {ddl}, groups_sha256 string, rest array<bigint>"
-    aligned = documents.select(id_col, text_col).mapInArrow(
-        text_rows(path_a, path_b, counts, keep_groups), ddl + (", groups string" if keep_groups else "")
+    aligned = aligned.select("pairs", *[c for c in aligned.columns if c != "pairs"]).mapInArrow(
+        counted_rows(counts), f"{ddl}{own}, n_best bigint, count_sum bigint, rest array<bigint>"
     )
+    aligned = aligned.select("id", *SUMS, "groups_sha256", "rest", *(["groups"] if keep_groups else []))
     if frequent is pairs:
         return aligned.drop("rest")
     aligned = work.store(aligned.withColumn("row", F.monotonically_increasing_id()), "aligned")
