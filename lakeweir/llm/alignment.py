@@ -28,8 +28,9 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
+from itertools import chain, filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -46,7 +47,7 @@ from lakeweir.llm.tokens import byte_letters
 from lakeweir.llm.words import chunks
 
 TOP_PAIRS = 1 << 20
-KNOWN_SEGMENTS = 150_000
+KNOWN_SEGMENTS = 300_000
 RUN_LETTERS = 1_500
 KNOWN_LETTERS = 8 << 20
 SPACE_MARK = "▁"
@@ -88,6 +89,9 @@ class Aligner:
         self.sizes_a = np.array([len(self.bytes_a.get(n) or b"") for n in range(max(self.bytes_a) + 1)])
         self.sizes_b = np.array([len(raw) for raw in self.bytes_b])
         self.single_b = np.array([self.b.is_byte(n) for n in range(size)])
+        # How an id is written within a group and at its side's end, by twice the id plus 1 at the end.
+        self.written_a = written_ids(len(self.sizes_a), "|")
+        self.written_b = written_ids(size, ";")
         control = [self.b.is_control(n) or self.b.is_unknown(n) for n in range(size)]
         self.cuts = not any(
             re.search(f"[^{SPACE_MARK}]{SPACE_MARK}", p) for p, c in zip(pieces, control) if not c
@@ -129,24 +133,62 @@ class Aligner:
         data = text.encode()
         found_b = self.b.encode(text[1:], return_type="offset_mapping")
         ids_a, ids_b = found_a.ids, found_b["ids"]
-        raw_a = [self.bytes_a[n] for n in ids_a]
+        raw_a = list(map(self.bytes_a.__getitem__, ids_a))
         if None in raw_a or b"".join(raw_a) != data:
             return None
-        if b"".join([self.bytes_b[n] for n in ids_b]) != data:
+        if b"".join(map(self.bytes_b.__getitem__, ids_b)) != data:
             return None
         # Bytes before each character.
         at = np.flatnonzero(np.frombuffer(data, np.uint8) & 0xC0 != 0x80)
         at = np.append(at, len(data))
         ids_a, ids_b = np.array(ids_a, np.int64), np.array(ids_b, np.int64)
-        spans_a, spans_b = np.array(found_a.offsets), np.array(found_b["offsets"])
+        spans_a, spans_b = spans_of(found_a.offsets), spans_of(found_b["offsets"])
         ends_a = refine(spans_a, self.sizes_a[ids_a], at, np.zeros(len(ids_a), bool))
         # B does not see the space in front, so its characters are one behind.
         ends_b = refine(spans_b + 1, self.sizes_b[ids_b], at, self.single_b[ids_b])
-        common = ends_a[np.isin(ends_a, ends_b)]
         stops = at[np.cumsum(letters)]
-        if not len(common) or common[-1] != len(data) or not np.isin(stops, common).all():
+        return self.joined(ids_a, ends_a, ids_b, ends_b, stops, len(data))
+
+    def joined(
+        self,
+        ids_a: np.ndarray,
+        ends_a: np.ndarray,
+        ids_b: np.ndarray,
+        ends_b: np.ndarray,
+        stops: np.ndarray,
+        size: int,
+    ) -> Aligned | None:
+        """Groups between common ends, and links between tokens that overlap, for segments up to ``stops``;
+        None if a segment does not stop at a common end.
+
+        Between two ends of either side lies one token of A and one of B, and no other place links them.
+        """
+        has_a, has_b = np.zeros(size + 1, bool), np.zeros(size + 1, bool)
+        has_a[ends_a], has_b[ends_b] = True, True
+        shared, either = has_a & has_b, has_a | has_b
+        if not shared[size] or not shared[stops].all():
             return None
-        return joined(ids_a, ends_a, ids_b, ends_b, common, stops)
+        # Ends of each kind up to and with each byte.
+        before_a, before_b, groups, links = (np.cumsum(has) for has in (has_a, has_b, shared, either))
+        ends = np.flatnonzero(either)
+        pairs = ids_a[before_a[ends] - has_a[ends]] << SHIFT | ids_b[before_b[ends] - has_b[ends]]
+        upto = np.stack([before_a[stops], before_b[stops], groups[stops], links[stops]], axis=1)
+        last_a, last_b = shared[ends_a], shared[ends_b]
+        written = np.concatenate([self.written_a[2 * ids_a + last_a], self.written_b[2 * ids_b + last_b]])
+        # A group's tokens of A come before those of B.
+        place = np.concatenate([2 * (groups[ends_a] - last_a), 2 * (groups[ends_b] - last_b) + 1])
+        written = written[np.argsort(place, kind="stable")].tolist()
+        to = (upto[:, 0] + upto[:, 1]).tolist()
+        texts = ["".join(written[lo:hi])[:-1] for lo, hi in zip([0, *to], to)]
+        return Aligned(np.diff(upto, axis=0, prepend=0), texts, pairs)
+
+
+def written_ids(size: int, end: str) -> np.ndarray:
+    return np.array([f"{n}{mark}" for n in range(size) for mark in (",", end)], object)
+
+
+def spans_of(offsets: list[tuple[int, int]]) -> np.ndarray:
+    return np.fromiter(chain.from_iterable(offsets), np.int64, 2 * len(offsets)).reshape(-1, 2)
 
 
 def refine(spans: np.ndarray, sizes: np.ndarray, at: np.ndarray, single: np.ndarray) -> np.ndarray:
@@ -159,35 +201,6 @@ def refine(spans: np.ndarray, sizes: np.ndarray, at: np.ndarray, single: np.ndar
     return np.where(single | shares, np.cumsum(sizes), at[spans[:, 1]])
 
 
-def joined(
-    ids_a: np.ndarray,
-    ends_a: np.ndarray,
-    ids_b: np.ndarray,
-    ends_b: np.ndarray,
-    common: np.ndarray,
-    stops: np.ndarray,
-) -> Aligned:
-    """Groups between ``common`` ends, and links between tokens that overlap, for segments up to ``stops``.
-
-    Between two ends of either side lies one token of A and one of B, and no other place links them.
-    """
-    ends = np.union1d(ends_a, ends_b)
-    left, right = np.searchsorted(ends_a, ends), np.searchsorted(ends_b, ends)
-    pairs = ids_a[left] << SHIFT | ids_b[right]
-    upto = np.stack([np.searchsorted(e, stops, side="right") for e in (ends_a, ends_b, common, ends)], axis=1)
-    numbers = np.diff(upto, axis=0, prepend=0)
-    written: list[str] = []
-    groups = []
-    for ids, own, end in ((ids_a, ends_a, "|"), (ids_b, ends_b, ";")):
-        last = np.isin(own, common).tolist()
-        written += [f"{n}{end}" if z else f"{n}," for n, z in zip(ids.tolist(), last)]
-        groups.append(np.searchsorted(common, own))
-    order = np.argsort(np.concatenate([2 * groups[0], 2 * groups[1] + 1]), kind="stable").tolist()
-    written = [written[k] for k in order]
-    to = (upto[:, 0] + upto[:, 1]).tolist()
-    return Aligned(numbers, ["".join(written[lo:hi])[:-1] for lo, hi in zip([0, *to], to)], pairs)
-
-
 class Segments(dict):
     """Number of each known segment, or -1 if it has no tokens, and what is known of each number."""
 
@@ -203,8 +216,8 @@ class Segments(dict):
         self.groups: list[str] = []
         self.letters = 0
 
-    def learn(self, segments: list[str]) -> None:
-        new = [s for s in dict.fromkeys(segments) if s not in self]
+    def learn(self, segments: Iterable[str]) -> None:
+        new = list(dict.fromkeys(filterfalse(self.__contains__, segments)))
         self.update(dict.fromkeys(new, -1))
         self.letters += sum(map(len, new))
         numbers, pairs = [self.numbers], [self.pairs]
@@ -222,7 +235,7 @@ class Segments(dict):
     def of(self, texts: list[str | None]) -> list[list[int]]:
         """Segments of each text, none if it has no tokens."""
         split = [self.aligner.segments(" " + text) if text else [] for text in texts]
-        self.learn([segment for segments in split for segment in segments])
+        self.learn(chain.from_iterable(split))
         numbers = [list(map(self.__getitem__, segments)) for segments in split]
         return [[] if -1 in own else own for own in numbers]
 
@@ -261,13 +274,14 @@ def aligned_rows(path_a: str, path_b: str, keep_groups: bool) -> Callable:
         known = Segments(aligner(path_a, path_b))
         for batch, texts in some_texts(batches, 1):
             each = known.of(texts)
-            own = np.array([k for numbers in each for k in numbers], np.int64)
-            text = np.repeat(np.arange(len(each)), [len(numbers) for numbers in each])
-            sums = np.zeros((len(each), 4), np.int64)
-            np.add.at(sums, text, known.numbers[own])
+            ends = np.cumsum([0, *map(len, each)])
+            own = np.fromiter(chain.from_iterable(each), np.int64, ends[-1])
+            upto = np.zeros((len(own) + 1, 4), np.int64)
+            np.cumsum(known.numbers[own], axis=0, out=upto[1:])
+            sums = np.diff(upto[ends], axis=0)
             pairs = known.pairs_of(own)
             to = np.cumsum(sums[:, 3]).tolist()
-            written = [";".join([known.groups[k] for k in numbers]) for numbers in each]
+            written = [";".join(map(known.groups.__getitem__, numbers)) for numbers in each]
             digests = [hashlib.sha256(w.encode()).hexdigest() if w else "" for w in written]
             arrays = [batch.column(0), *(pa.array(c) for c in sums.T), pa.array(digests)]
             arrays.append(pa.array([pairs[lo:hi].tobytes() for lo, hi in zip([0, *to], to)], pa.binary()))
