@@ -10,7 +10,8 @@ tokenizer that changes its input), the text has no tokens.
 Neither tokenizer joins across a place where a space follows a character that is not white space:
 A's pattern cuts there, and B has no piece that holds a space after something else (checked when it is loaded).
 Such places are ends of tokens on both sides, so what lies between two of them, a segment, is aligned alone, and
-a text's alignment is that of its segments. Each distinct segment of a task is aligned once; a bounded table remembers it.
+a text's alignment is that of its segments. A bounded table of each Python worker remembers aligned segments, from task
+to task; when it is full, those used more than once stay, the most frequent up to half of it.
 New segments of a batch are put one after the other into runs, encoded together and aligned by numpy. A
 run that does not come back byte by byte is halved until the segments at fault are alone.
 
@@ -47,7 +48,7 @@ from lakeweir.llm.tokens import byte_letters
 from lakeweir.llm.words import chunks
 
 TOP_PAIRS = 1 << 20
-KNOWN_SEGMENTS = 300_000
+KNOWN_SEGMENTS = 200_000
 RUN_LETTERS = 1_500
 KNOWN_LETTERS = 8 << 20
 SPACE_MARK = "▁"
@@ -207,26 +208,43 @@ class Segments(dict):
     def __init__(self, aligner: Aligner):
         super().__init__()
         self.aligner = aligner
-        self.renew()
-
-    def renew(self) -> None:
-        self.clear()
         self.numbers = np.zeros((0, 4), np.int64)
+        self.uses = np.zeros(0, np.int64)
         self.pairs = np.zeros(0, np.int64)
         self.groups: list[str] = []
         self.letters = 0
 
+    def renew(self) -> None:
+        """Forget what is rarely used, and all that has no tokens."""
+        names = [""] * len(self.groups)
+        for segment, k in self.items():
+            if k >= 0:
+                names[k] = segment
+        sizes = np.fromiter(map(len, names), np.int64, len(names))
+        often = np.argsort(-self.uses, kind="stable")[: KNOWN_SEGMENTS // 2]
+        kept = (self.uses[often] > 1) & (np.cumsum(sizes[often]) <= KNOWN_LETTERS // 2)
+        often = np.sort(often[kept])
+        self.pairs = self.pairs_of(often)
+        # Older uses count less than those to come.
+        self.numbers, self.uses = self.numbers[often], self.uses[often] // 2
+        self.groups = [self.groups[k] for k in often]
+        self.letters = int(sizes[often].sum())
+        self.clear()
+        self.update((names[k], n) for n, k in enumerate(often))
+
     def learn(self, segments: Iterable[str]) -> None:
         new = list(dict.fromkeys(filterfalse(self.__contains__, segments)))
-        self.update(dict.fromkeys(new, -1))
-        self.letters += sum(map(len, new))
-        numbers, pairs = [self.numbers], [self.pairs]
+        found = dict.fromkeys(new, -1)
+        numbers, pairs, groups = [self.numbers], [self.pairs], list(self.groups)
         for run, aligned in self.aligner.align(new):
-            self.update(zip([new[k] for k in run], range(len(self.groups), len(self.groups) + len(run))))
-            self.groups += aligned.groups
+            found.update(zip([new[k] for k in run], range(len(groups), len(groups) + len(run))))
+            groups += aligned.groups
             numbers.append(aligned.numbers)
             pairs.append(aligned.pairs)
-        self.numbers, self.pairs = np.concatenate(numbers), np.concatenate(pairs)
+        self.numbers, self.pairs, self.groups = np.concatenate(numbers), np.concatenate(pairs), groups
+        self.uses = np.append(self.uses, np.zeros(len(groups) - len(self.uses), np.int64))
+        self.letters += sum(map(len, new))
+        self.update(found)
 
     @property
     def full(self) -> bool:
@@ -239,7 +257,10 @@ class Segments(dict):
         numbers = [list(map(self.__getitem__, segments)) for segments in split]
         return [[] if -1 in own else own for own in numbers]
 
-    def pairs_of(self, numbers: list[int]) -> np.ndarray:
+    def used(self, numbers: np.ndarray) -> None:
+        self.uses += np.bincount(numbers, minlength=len(self.uses))
+
+    def pairs_of(self, numbers: np.ndarray) -> np.ndarray:
         """Pairs of segments one after the other."""
         sizes = self.numbers[:, 3]
         begin = (np.cumsum(sizes) - sizes)[numbers]
@@ -257,25 +278,26 @@ def some_texts(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple
             yield part, part.column(column).to_pylist()
 
 
-_ALIGNERS: dict[tuple[str, str], Aligner] = {}
+_SEGMENTS: dict[tuple[str, str], Segments] = {}
 
 
-def aligner(path_a: str, path_b: str) -> Aligner:
-    """One aligner per pair of files and Python worker."""
-    if (path_a, path_b) not in _ALIGNERS:
-        _ALIGNERS[path_a, path_b] = Aligner(path_a, path_b)
-    return _ALIGNERS[path_a, path_b]
+def known_segments(path_a: str, path_b: str) -> Segments:
+    """One table per pair of files and Python worker. It only saves work: what a segment aligns to is fixed."""
+    if (path_a, path_b) not in _SEGMENTS:
+        _SEGMENTS[path_a, path_b] = Segments(Aligner(path_a, path_b))
+    return _SEGMENTS[path_a, path_b]
 
 
 def aligned_rows(path_a: str, path_b: str, keep_groups: bool) -> Callable:
     """From (id, text): numbers of tokens, groups and links, the groups' digest, and pairs as bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Segments(aligner(path_a, path_b))
+        known = known_segments(path_a, path_b)
         for batch, texts in some_texts(batches, 1):
             each = known.of(texts)
             ends = np.cumsum([0, *map(len, each)])
             own = np.fromiter(chain.from_iterable(each), np.int64, ends[-1])
+            known.used(own)
             upto = np.zeros((len(own) + 1, 4), np.int64)
             np.cumsum(known.numbers[own], axis=0, out=upto[1:])
             sums = np.diff(upto[ends], axis=0)
