@@ -8,11 +8,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeweir.functions.records import to_records
+from lakeweir.operators.joins import BROADCAST_BYTES, fits_broadcast
+from lakeweir.session import scratch_path
+from lakeweir.sinks.files import write_parquet
 from lakeweir.sources.files import read_line_stream
 from lakeweir.sources.topics import KafkaTopics, Offsets, ParquetTopics
 from lakeweir.streaming.run import StreamRun, run_stream, wait_for
 
 Topics = KafkaTopics | ParquetTopics
+POSITION = ("topic", "partition", "offset")
+RANGE_OFFSETS = 1 << 16  # offsets whose messages have one digest; sums of 32 bits each stay far within 64
 
 
 def publish_table(
@@ -105,7 +110,10 @@ def bounded_read(
     end: Offsets | None = None,
     max_messages: int | None = None,
 ) -> DataFrame:
-    """Messages between offsets; with ``max_messages`` the first by partition and offset."""
+    """Messages between offsets; with ``max_messages`` the first by partition and offset.
+
+    A partition without a bound of its own, where bounds are given, is not read.
+    """
     messages = topics.read(spark, topic, start, end)
     if max_messages is None:
         return messages
@@ -124,14 +132,67 @@ def content_hash() -> Column:
     return F.xxhash64(F.col("key").isNull(), "key", F.col("value").isNull(), "value")
 
 
-def copy_differences(left: DataFrame, right: DataFrame) -> DataFrame:
+def offset_range(size: int) -> Column:
+    return F.floor(F.col("offset") / size).alias("range")
+
+
+def differing_ranges(left: DataFrame, right: DataFrame, range_offsets: int = RANGE_OFFSETS) -> DataFrame:
+    """Ranges of offsets (topic, partition, range) whose messages differ in number or content.
+
+    Messages of the left count as 1, those of the right as -1, and so do two sums of 32 bits each of the
+    hash of place and content: what cancels out is equal, in any order. Map tasks add up their ranges, so
+    one row per task and range is shuffled.
+    """
+    places = ["topic", "partition", offset_range(range_offsets)]
+    part = F.lit((1 << 32) - 1)
+
+    def digests(log: DataFrame, sign: int) -> DataFrame:
+        hashed = log.select(*places, F.xxhash64("offset", content_hash()).alias("hash"))
+        low, high = F.col("hash").bitwiseAND(part), F.shiftrightunsigned("hash", 32)
+        return hashed.groupBy("topic", "partition", "range").agg(
+            (sign * F.count("*")).alias("n"),
+            (sign * F.sum(low)).alias("low"),
+            (sign * F.sum(high)).alias("high"),
+        )
+
+    both = digests(left, 1).unionByName(digests(right, -1)).groupBy("topic", "partition", "range")
+    sums = both.agg(*[F.sum(c).alias(c) for c in ("n", "low", "high")])
+    # A message without a place is equal to none.
+    placed = F.col("topic").isNotNull() & F.col("partition").isNotNull() & F.col("range").isNotNull()
+    equal = (F.col("n") == 0) & (F.col("low") == 0) & (F.col("high") == 0)
+    return sums.filter(~(placed & equal)).select("topic", "partition", "range")
+
+
+def within_ranges(log: DataFrame, ranges: DataFrame, range_offsets: int) -> DataFrame:
+    """Hashes of the messages in ``ranges``; a missing topic, partition or offset is one range of its own."""
+    hashed = log.select(*POSITION, content_hash().alias("hash"), offset_range(range_offsets))
+    same = [hashed[c].eqNullSafe(ranges[c]) for c in ("topic", "partition", "range")]
+    return hashed.join(ranges, same, "left_semi").drop("range")
+
+
+def copy_differences(
+    left: DataFrame,
+    right: DataFrame,
+    range_offsets: int = RANGE_OFFSETS,
+    broadcast_limit: int = BROADCAST_BYTES,
+) -> DataFrame:
     """Messages that two copies of a log do not share, by topic, partition and offset.
 
-    Only the hash of a message is shuffled, not the message.
+    Digests of offset ranges are compared first. Only messages of ranges that differ are compared one by
+    one, and of these only the hash is shuffled. The ranges are stored and, if their measured size is
+    within ``broadcast_limit``, broadcast. Both logs are read twice, so they must not change meanwhile.
+    A place that a log holds more than once is compared with each message that the other has there,
+    unless all of its range is equal.
     """
-    position = ["topic", "partition", "offset"]
-    a = left.select(*position, content_hash().alias("left_hash"))
-    b = right.select(*position, content_hash().alias("right_hash"))
+    spark = left.sparkSession
+    path = scratch_path(spark, "ranges")
+    write_parquet(differing_ranges(left, right, range_offsets), path)
+    ranges = spark.read.parquet(path)
+    if fits_broadcast(ranges, broadcast_limit):
+        ranges = F.broadcast(ranges)
+    position = list(POSITION)
+    a = within_ranges(left, ranges, range_offsets).withColumnRenamed("hash", "left_hash")
+    b = within_ranges(right, ranges, range_offsets).withColumnRenamed("hash", "right_hash")
     status = (
         F.when(F.col("right_hash").isNull(), "only_left")
         .when(F.col("left_hash").isNull(), "only_right")

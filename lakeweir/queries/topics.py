@@ -20,6 +20,7 @@ from lakeweir.session import scratch_path
 from lakeweir.sources.topics import ParquetTopics
 
 PARTITIONS = 8
+FIRST_MESSAGES = 500
 
 
 def numbered(df: DataFrame, topic: Column, number: str) -> DataFrame:
@@ -98,6 +99,16 @@ def topic_bounded_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     return from_records(messages, events.schema, keep=["partition", "offset"])
 
 
+def topic_first_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first messages of two partitions of a written topic, up to a number."""
+    topics = ParquetTopics(scratch_path(spark, "topics"))
+    events = table(spark, sf_dir, "events")
+    stored = numbered(events, F.lit("events"), "event_id")
+    stored.drop("topic").write.parquet(f"{topics.root}/topic=events/write=0")
+    messages = bounded_read(spark, topics, "events", {2: 0, 5: 0}, max_messages=FIRST_MESSAGES)
+    return from_records(messages, events.schema, keep=["partition", "offset"])
+
+
 def offsets_per_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
     return topic_offsets(numbered(events, F.col("event_type"), "event_id"))
@@ -156,6 +167,14 @@ QUERIES = [
             SELECT event_id, ts, user_id, event_type, value, props, "partition", "offset"
             FROM m JOIN b ON "partition" = p WHERE "offset" >= low AND "offset" < high""",
     ),
+    Query(
+        "topic_first_messages",
+        topic_first_messages,
+        f"""SELECT event_id, ts, user_id, event_type, value, props,
+                   (event_id % {PARTITIONS})::int AS "partition", event_id // {PARTITIONS} AS "offset"
+            FROM events WHERE event_id % {PARTITIONS} IN (2, 5)
+            ORDER BY event_id % {PARTITIONS}, event_id // {PARTITIONS} LIMIT {FIRST_MESSAGES}""",
+    ),
     Query(
         "topic_offsets",
         offsets_per_partition,

@@ -70,13 +70,23 @@ def kafka_subscribe_options(
 def kafka_range_options(
     conn: KafkaConfig, topic: str, start: Offsets | None, end: Offsets | None
 ) -> dict[str, str]:
+    """Bounds of some partitions assign these alone, as in ``within``."""
+    options = kafka_login_options(conn)
+    if not start and not end:
+        return options | {
+            "subscribe": topic,
+            "startingOffsets": "earliest",
+            "endingOffsets": "latest",
+        }
+    partitions = sorted(set(start or end) & set(end or start))
+    if not partitions:
+        raise ValueError("no partition has both a start and an end")
+
     def bounds(offsets: Offsets | None, default: str) -> str:
-        if offsets is None:
-            return default
-        return json.dumps({topic: {str(p): o for p, o in sorted(offsets.items())}})
+        return json.dumps({topic: {str(p): offsets[p] for p in partitions}}) if offsets else default
 
-    return kafka_login_options(conn) | {
-        "subscribe": topic,
+    return options | {
+        "assign": json.dumps({topic: partitions}),
         "startingOffsets": bounds(start, "earliest"),
         "endingOffsets": bounds(end, "latest"),
     }

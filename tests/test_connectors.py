@@ -148,6 +148,16 @@ def test_kafka_ranges():
     assert kafka_range_options(BROKERS, "t", None, {0: 9})["startingOffsets"] == "earliest"
 
 
+def test_kafka_ranges_leave_out_partitions_without_bounds():
+    options = kafka_range_options(BROKERS, "t", {1: 5, 0: 2}, {1: 9, 3: 4})
+    assert json.loads(options["assign"]) == {"t": [1]} and "subscribe" not in options
+    assert json.loads(options["startingOffsets"]) == {"t": {"1": 5}}
+    assert json.loads(options["endingOffsets"]) == {"t": {"1": 9}}
+    assert kafka_range_options(BROKERS, "t", None, None)["subscribe"] == "t"
+    with pytest.raises(ValueError):
+        kafka_range_options(BROKERS, "t", {0: 1}, {1: 1})
+
+
 def test_kafka_topics_use_these_options():
     topics, spark, frame = KafkaTopics(BROKERS), FakeSession(), FakeFrame()
     topics.read_stream(spark, "in", max_per_trigger=1000)

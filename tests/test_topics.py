@@ -7,6 +7,7 @@ from lakeweir.functions.records import to_records
 from lakeweir.plans.topic_jobs import (
     bounded_read,
     copy_differences,
+    differing_ranges,
     lines_to_topic,
     mirror_topics,
     publish_table,
@@ -113,15 +114,42 @@ def test_copies_compared(spark):
     assert copy_differences(left, left).count() == 0
 
 
-def test_only_hashes_are_shuffled(spark):
-    df = spark.createDataFrame([("t", 0, 0, b"k", b"v")],
-                               "topic string, partition int, offset long, key binary, value binary")
-    plan = plan_of(copy_differences(df, df.filter("offset >= 0")))
-    for line in plan.splitlines():
-        if line.startswith("Input") and "Exchange" in line:
+LOG = "topic string, partition int, offset bigint, key binary, value binary"
+
+
+@pytest.mark.parametrize("limit", [0, 1 << 20])
+def test_only_differing_ranges_are_compared(spark, limit):
+    left = spark.range(20_000).select(
+        F.lit("t").alias("topic"), (F.col("id") % 3).cast("int").alias("partition"),
+        F.floor(F.col("id") / 3).alias("offset"), F.lit(None).cast("binary").alias("key"),
+        F.col("id").cast("string").cast("binary").alias("value"))
+    gone = (F.col("partition") == 1) & (F.col("offset") == 250)
+    right = left.filter(~gone).repartition(5, "offset")
+    assert differing_ranges(left, right, 100).collect() == [("t", 1, 2)]
+    assert differing_ranges(left, left.repartition(3, "value"), 100).isEmpty()
+    found = copy_differences(left, right, 100, limit)
+    assert found.collect() == [("t", 1, 250, "only_left")]
+    if limit:
+        assert "BroadcastHashJoin LeftSemi" in plan_of(found)
+    for line in plan_of(found).splitlines():
+        if line.startswith("Arguments: hashpartitioning"):
             assert "value" not in line
 
 
+def test_copies_without_places_and_with_repeats(spark):
+    left = spark.createDataFrame(
+        [(None, 0, 1, None, b"a"), ("t", None, 1, None, b"a"), ("t", 0, None, None, b"a"),
+         ("t", 0, 7, None, b"x"), ("t", 0, 7, None, b"x")], LOG)
+    missing = [(None, 0, 1), ("t", None, 1), ("t", 0, None)]
+    found = sorted(copy_differences(left, left).collect(), key=str)
+    assert found == sorted(((*m, s) for m in missing for s in ("only_left", "only_right")), key=str)
+    once = left.filter("offset = 7").dropDuplicates()
+    assert differing_ranges(left.filter("offset = 7"), once).count() == 1
+    empty = left.limit(0)
+    assert copy_differences(empty, empty).isEmpty()
+    assert copy_differences(once, empty).collect() == [("t", 0, 7, "only_left")]
+
+
 def test_copies_that_differ_by_a_moved_null(spark):
     schema = "topic string, partition int, offset bigint, key string, value string"
     left = spark.createDataFrame([("t", 0, 0, None, "x")], schema)
