@@ -11,12 +11,13 @@ from lakeweir.plans.lake import (
     bronze_to_silver,
     landing_to_bronze,
     run_lake,
+    run_rows,
     silver_to_gold,
 )
 from lakeweir.queries.base import Query, sql_average, sql_clean, table
 from lakeweir.session import scratch_path
 from lakeweir.sinks.files import write_parquet
-from lakeweir.sources.files import read_csv, read_parquet
+from lakeweir.sources.files import read_csv, read_csv_once, read_parquet
 
 TABLES = ("customer", "orders")
 GOLD = GoldTable(
@@ -48,6 +49,13 @@ def csv_infer_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_csv(spark, path)
 
 
+def csv_infer_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Types found while the text of the CSV is stored."""
+    path = scratch_path(spark, "orders-csv")
+    table(spark, sf_dir, "orders").write.option("header", True).csv(path)
+    return order_day(read_csv_once(spark, path, scratch_path(spark, "orders-text")))
+
+
 def parquet_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_parquet(spark, f"{sf_dir}/part.parquet")
 
@@ -92,6 +100,13 @@ def lake_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_parquet(spark, lake.path("gold", GOLD.name)).drop("timestamp")
 
 
+def lake_run_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that each step of a run read, joined and wrote."""
+    lake = Lake(scratch_path(spark, "lake"))
+    run_lake(spark, land(spark, sf_dir, "landing"), lake, TABLES, GOLD)
+    return run_rows(spark, lake).drop("run")
+
+
 BRONZE_SQL = """
     SELECT o_orderkey::int AS o_orderkey, o_custkey::int AS o_custkey, o_orderstatus,
            o_totalprice, strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate, o_orderpriority
@@ -105,6 +120,7 @@ QUERIES = [
         """SELECT c_custkey::int AS c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment
            FROM customer""",
     ),
+    Query("csv_infer_once", csv_infer_once, BRONZE_SQL),
     Query("parquet_scan", parquet_scan, "SELECT * FROM part"),
     Query("parquet_overwrite", parquet_overwrite, "SELECT * FROM part"),
     Query("lake_bronze", lake_bronze, f"{BRONZE_SQL} UNION ALL {BRONZE_SQL}"),
@@ -129,4 +145,22 @@ QUERIES = [
                    c_mktsegment, c_nationkey, {sql_average("c_acctbal::float")} AS avg_balance
             FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY ALL""",
     ),
+    Query(
+        "lake_run_rows",
+        lake_run_rows,
+        """WITH c AS (SELECT count(*) AS n FROM customer), o AS (SELECT count(*) AS n FROM orders),
+                cs AS (SELECT count(*) AS n FROM (SELECT DISTINCT * FROM customer)),
+                os AS (SELECT count(*) AS n FROM (SELECT DISTINCT * FROM orders)),
+                j AS (SELECT DISTINCT o.*, c.* FROM orders o JOIN customer c ON o_custkey = c_custkey),
+                g AS (SELECT o_orderstatus, o_orderpriority, c_mktsegment, c_nationkey FROM j GROUP BY ALL)
+           SELECT 'bronze' AS step, 'customer' AS table_name, 2 * n AS rows_read,
+                  NULL::bigint AS rows_joined, 2 * n AS rows_written FROM c
+           UNION ALL SELECT 'bronze', 'orders', 2 * n, NULL, 2 * n FROM o
+           UNION ALL SELECT 'silver', 'customer', 2 * c.n, NULL, cs.n FROM c, cs
+           UNION ALL SELECT 'silver', 'orders', 2 * o.n, NULL, os.n FROM o, os
+           UNION ALL SELECT 'gold', 'orders', n, NULL, NULL FROM os
+           UNION ALL SELECT 'gold', 'customer', n, NULL, NULL FROM cs
+           UNION ALL SELECT 'gold', 'balances', NULL, (SELECT count(*) FROM j),
+                            (SELECT count(*) FROM g)""",
+    ),
 ]

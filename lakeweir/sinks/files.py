@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from lakeweir.operators.metrics import counted, log, rows_seen
 
@@ -16,11 +16,20 @@ def write_parquet(df: DataFrame, path: str, name: str | None = None) -> int:
     return rows
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a table of intermediate data."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
 def is_stored(df: DataFrame, path: str) -> bool:
     """Whether a whole table lies at ``path``."""
-    spark = df.sparkSession
-    mark = spark._jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")
-    return mark.getFileSystem(spark._jsc.hadoopConfiguration()).exists(mark)
+    return exists(df.sparkSession, f"{path}/_SUCCESS")
 
 
 def snapshot(df: DataFrame, path: str) -> DataFrame:

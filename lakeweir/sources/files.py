@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,6 +14,88 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None)
     return reader.csv(path)
 
 
+# Classes of a text by the narrowest type that holds it. Numbers widen upwards.
+INT, LONG, DECIMAL, DOUBLE = 1, 2, 3, 4
+DATE, TIMESTAMP = 1, 2
+FAMILIES = ("number", "digits", "time", "truth", "other")
+
+
+def text_classes(text: Column) -> dict[str, Column]:
+    """Class of a text within each family of types, NULL where it belongs to another one.
+
+    The families are those of Spark's inference: a text is a number, a day or time, a truth value or
+    something else, in this order. ``digits`` counts the digits of whole numbers beyond ``bigint``.
+    """
+    text = F.nullif(text, F.lit(""))
+    whole = text.rlike("^[+-]?[0-9]+$")
+    digits = F.length(F.regexp_replace(text, "^[+-]?0*", ""))
+    number = (
+        F.when(whole & text.try_cast("int").isNotNull(), INT)
+        .when(whole & text.try_cast("bigint").isNotNull(), LONG)
+        .when(whole & (digits <= 38), DECIMAL)
+        .when(text.try_cast("double").isNotNull(), DOUBLE)
+    )
+    time = F.when(text.try_cast("date").isNotNull() & ~text.contains(":"), DATE).when(
+        text.try_cast("timestamp").isNotNull(), TIMESTAMP
+    )
+    truth = F.lower(text).isin("true", "false")
+    return {
+        "number": number,
+        "digits": F.when(number == DECIMAL, digits),
+        "time": F.when(number.isNull(), time),
+        "truth": F.when(truth, 1),
+        "other": F.when(text.isNotNull() & number.isNull() & time.isNull() & ~truth, 1),
+    }
+
+
+def type_of(number: int | None, digits: int | None, time: int | None, truth: int | None,
+            other: int | None) -> str:
+    """The type that holds all texts of a column, from the highest class in each family."""
+    if other or sum(family is not None for family in (number, time, truth)) != 1:
+        return "string"
+    if number:
+        return {INT: "int", LONG: "bigint", DECIMAL: f"decimal({max(digits or 0, 20)},0)",
+                DOUBLE: "double"}[number]
+    if time:
+        return "date" if time == DATE else "timestamp"
+    return "boolean"
+
+
+def read_csv_once(spark: SparkSession, path: str, copy: str) -> DataFrame:
+    """CSV with a header and inferred types, parsed in one pass.
+
+    The pass stores the texts as Parquet at ``copy`` and observes the highest class of each column on
+    the way. A maximum is the same however often a task is repeated. The copy is then cast as it is read.
+    Types are those of Spark's inference; days and times are in Spark's default formats.
+    """
+    texts = spark.read.option("header", True).csv(path)
+    maxima = [
+        F.max(value).alias(f"{family}_{place}")
+        for place, name in enumerate(texts.columns)
+        for family, value in text_classes(F.col(quoted(name))).items()
+    ]
+    if not maxima:
+        return texts
+    seen = Observation("classes")
+    texts.observe(seen, *maxima).write.mode("overwrite").parquet(copy)
+    found = seen.get
+    types = [
+        type_of(*[found.get(f"{family}_{place}") for family in FAMILIES])
+        for place in range(len(texts.columns))
+    ]
+    stored = spark.read.schema(texts.schema).parquet(copy)
+    return stored.select(
+        *[
+            F.col(quoted(name)).try_cast(kind).alias(name)
+            for name, kind in zip(texts.columns, types)
+        ]
+    )
+
+
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 

@@ -8,17 +8,20 @@ from datetime import date
 import pytest
 from pyspark.sql import types as T
 
+from lakeweir.operators.metrics import joined_rows
 from lakeweir.plans.lake import (
     GoldTable,
     Lake,
     bronze_to_silver,
     gold_averages,
     landing_to_bronze,
+    layer_rows,
     run_lake,
+    run_rows,
     silver_to_gold,
     with_retries,
 )
-from lakeweir.sources.files import read_csv, read_parquet
+from lakeweir.sources.files import read_csv, read_csv_once, read_parquet
 from tests.athletes import BIO_HEADER, EVENT_HEADER, batch_answer, bios, events
 
 KEYS = ("sport", "medal", "sex", "country_noc")
@@ -141,3 +144,75 @@ def test_a_failing_step_stops_the_lake(spark, tmp_path):
     with pytest.raises(Exception, match="(?i)path"):
         run_lake(spark, str(tmp_path / "nothing"), lake, retries=0)
     assert not os.path.exists(lake.root)
+
+
+def test_runs_keep_exact_counts(spark, landing, tmp_path, monkeypatch):
+    lake = Lake(str(tmp_path / "lake"))
+    calls = []
+
+    def fails_once(*args):
+        calls.append(1)
+        if len(calls) == 1:
+            raise OSError("lost after the tables were written")
+        return layer_rows(*args)
+
+    monkeypatch.setattr("lakeweir.plans.lake.layer_rows", fails_once)
+    logging.getLogger("lakeweir").setLevel(logging.CRITICAL)
+    assert run_lake(spark, landing, lake, run="a") == "a"
+    found = {(r["step"], r["table_name"]): (r["rows_read"], r["rows_joined"], r["rows_written"])
+             for r in run_rows(spark, lake).filter("run = 'a'").collect()}
+    silver = {t: read_parquet(spark, lake.path("silver", t)) for t in
+              ("athlete_bio", "athlete_event_results")}
+    joined = silver["athlete_bio"].join(silver["athlete_event_results"], "athlete_id").count()
+    assert found == {
+        ("bronze", "athlete_bio"): (67, None, 67),
+        ("bronze", "athlete_event_results"): (430, None, 430),
+        ("silver", "athlete_bio"): (67, None, 60),
+        ("silver", "athlete_event_results"): (430, None, 400),
+        ("gold", "athlete_bio"): (60, None, None),
+        ("gold", "athlete_event_results"): (400, None, None),
+        ("gold", "avg_stats"): (None, joined, len(batch_answer(bios(), events()))),
+    }
+    run_lake(spark, landing, lake, run="b")
+    assert run_rows(spark, lake).groupBy("run").count().collect() in (
+        [("a", 7), ("b", 7)], [("b", 7), ("a", 7)])
+
+
+CSV_COLUMNS = {
+    "int": ["1", "-2", "+3", ""],
+    "bigint": ["1", "3000000000", "", ""],
+    "decimal(20,0)": ["1", "12345678901234567890", "", "-5"],
+    "decimal(25,0)": ["1234567890123456789012345", "0", "1", ""],
+    "double": ["1", "1.50", "1e5", "NaN"],
+    "date": ["2024-01-02", "", "2023-12-31", "2020-02-29"],
+    "timestamp": ["2024-01-02", "2024-01-02 03:04:05", "", "2024-01-02T03:04:05.123"],
+    "boolean": ["true", "FALSE", "", "False"],
+    "string": ["1", "63-67", "", "2"],
+}
+
+
+def test_types_in_one_pass_are_those_of_two(spark, tmp_path):
+    mixed = {"time_and_number": ["2024", "2024-01-02", "", "1"], "none": ["", "", "", ""],
+             "truth_and_number": ["true", "1", "", ""], "time_and_text": ["2024-01-02", "x", "", ""],
+             "a.b` c": ["1", "2", "3", "4"]}
+    columns = CSV_COLUMNS | mixed
+    write_csv(tmp_path / "t.csv", list(columns), list(zip(*columns.values())))
+    once = read_csv_once(spark, str(tmp_path / "t.csv"), str(tmp_path / "copy"))
+    twice = read_csv(spark, str(tmp_path / "t.csv"))
+    kinds = [(f.name, f.dataType.simpleString()) for f in once.schema]
+    assert kinds == [(f.name, f.dataType.simpleString()) for f in twice.schema]
+    assert kinds[: len(CSV_COLUMNS)] == [(k, k) for k in CSV_COLUMNS]
+    assert sorted(map(str, once.collect())) == sorted(map(str, twice.collect()))
+
+
+def test_one_pass_over_a_csv_without_rows(spark, tmp_path):
+    (tmp_path / "t.csv").write_text("a,b\n")
+    df = read_csv_once(spark, str(tmp_path / "t.csv"), str(tmp_path / "copy"))
+    assert df.columns == ["a", "b"] and df.count() == 0
+
+
+def test_joined_rows_of_repeated_and_missing_keys(spark):
+    left = spark.createDataFrame([(1,), (1,), (2,), (None,)], "a int")
+    right = spark.createDataFrame([(1,), (1,), (1,), (3,), (None,)], "b int")
+    assert joined_rows(left, right, "a", "b") == 6
+    assert joined_rows(left, right.filter("b = 3"), "a", "b") == 0
