@@ -16,7 +16,7 @@ from lakeweir.functions.numeric import (
 from lakeweir.functions.records import from_records, to_records
 from lakeweir.functions.stamps import stamp
 from lakeweir.functions.text import clean_text, clean_text_columns, register_text_cleaner
-from lakeweir.operators.duplicates import drop_duplicate_rows
+from lakeweir.operators.duplicates import drop_duplicate_rows, drop_wide_duplicate_rows
 from lakeweir.queries.base import Query, sql_clean, sql_round, table
 
 
@@ -75,6 +75,11 @@ def dedup_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drop_duplicate_rows(table(spark, sf_dir, "documents").select("text", "lang"))
 
 
+def dedup_wide_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Only rows that occur more than once are shuffled."""
+    return drop_wide_duplicate_rows(table(spark, sf_dir, "documents").drop("doc_id", "source"))
+
+
 def numeric_try_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
     measures = text_measures(spark, sf_dir)
     return measures.select(
@@ -189,6 +194,11 @@ QUERIES = [
                    {sql_clean("p_type")} AS p_type, p_size, p_retailprice FROM part""",
     ),
     Query("dedup_rows", dedup_rows, "SELECT DISTINCT text, lang FROM documents"),
+    Query(
+        "dedup_wide_rows",
+        dedup_wide_rows,
+        "SELECT DISTINCT text, lang, n_chars FROM documents",
+    ),
     Query(
         "numeric_try_cast",
         numeric_try_cast,
