@@ -9,11 +9,13 @@ import argparse
 import logging
 
 from lakeweir.config import JdbcConfig, KafkaConfig
+from lakeweir.operators.joins import BROADCAST_BYTES
 from lakeweir.plans import enrichment
-from lakeweir.plans.lake import Lake, run_lake
+from lakeweir.plans.lake import GoldTable, Lake, run_lake
 from lakeweir.session import build_session
 from lakeweir.sources.jdbc import Split, read_jdbc
 from lakeweir.sources.topics import KafkaTopics
+from lakeweir.streaming.ledger import BatchLedger
 from lakeweir.streaming.run import ROCKSDB, TRIGGER
 
 INPUT_LEFT = 3  # exit code of a stream that its time limit stopped
@@ -37,6 +39,8 @@ def parser() -> argparse.ArgumentParser:
     lake.add_argument("landing")
     lake.add_argument("root")
     lake.add_argument("--retries", type=int, default=1)
+    lake.add_argument("--nan-as-null", action="store_true", help="averages skip NaN")
+    lake.add_argument("--number", choices=("float", "double"), default="float")
     lake.add_argument("--exclude", nargs="*", default=[], help="text columns not to clean")
 
     publish = jobs.add_parser("publish", help="database table to topic")
@@ -52,6 +56,11 @@ def parser() -> argparse.ArgumentParser:
     enrich.add_argument("--topic", default=enrichment.RESULTS)
     enrich.add_argument("--out-topic", default=enrichment.AVERAGES)
     enrich.add_argument("--max-per-trigger", type=int)
+    enrich.add_argument("--max-bytes", type=int, help="bytes of messages per micro-batch")
+    enrich.add_argument("--connections", type=int, help="most connections that write at once")
+    enrich.add_argument("--split", type=split_of, help="parallel scan of the bio table")
+    enrich.add_argument("--broadcast-limit", type=int, default=BROADCAST_BYTES)
+    enrich.add_argument("--ledger", help="folder that notes which sink has which batch")
     enrich.add_argument("--trigger", default=TRIGGER)
     enrich.add_argument("--timeout", type=float, help="seconds; none by default")
     enrich.add_argument("--restarts", type=int, default=0)
@@ -66,7 +75,12 @@ def main(argv: list[str] | None = None) -> int:
     if args.job == "lake":
         spark = build_session("lakeweir-lake")
         run_lake(
-            spark, args.landing, Lake(args.root), exclude=args.exclude, retries=args.retries
+            spark,
+            args.landing,
+            Lake(args.root),
+            gold=GoldTable(nan_as_null=args.nan_as_null, number=args.number),
+            exclude=args.exclude,
+            retries=args.retries,
         )
         return 0
 
@@ -78,17 +92,23 @@ def main(argv: list[str] | None = None) -> int:
         )
         return 0
 
+    sinks = {
+        "topic": enrichment.topic_sink(topics, args.out_topic),
+        "table": enrichment.table_sink(db, args.out_table, args.connections),
+    }
+    if args.ledger:
+        ledger = BatchLedger(args.ledger)
+        sinks = {name: ledger.once(name, sink) for name, sink in sinks.items()}
     run = enrichment.run_enrichment(
         spark,
         topics,
-        read_jdbc(spark, db, args.bio_table),
-        [
-            enrichment.topic_sink(topics, args.out_topic),
-            enrichment.table_sink(db, args.out_table),
-        ],
+        read_jdbc(spark, db, args.bio_table, args.split),
+        list(sinks.values()),
         args.checkpoint,
         args.topic,
         args.max_per_trigger,
+        broadcast_limit=args.broadcast_limit,
+        max_bytes=args.max_bytes,
         trigger=args.trigger,
         timeout=args.timeout,
         restarts=args.restarts,

@@ -59,6 +59,7 @@ def run_enrichment(
     max_per_trigger: int | None = None,
     bio_copy: str | None = None,
     broadcast_limit: int = BROADCAST_BYTES,
+    max_bytes: int | None = None,
     **run: object,
 ) -> StreamRun:
     """Messages joined with ``bio``, averaged, and sent to every sink.
@@ -68,7 +69,9 @@ def run_enrichment(
     checkpoint has averages of that copy in its state, so the copy lies beside the checkpoint
     (``bio_copy``) and is used again. To refresh it, remove both.
     """
-    records = topics.read_stream(spark, topic, max_per_trigger=max_per_trigger)
+    records = topics.read_stream(
+        spark, topic, max_per_trigger=max_per_trigger, max_bytes=max_bytes
+    )
     stream = build_enriched_stream(
         records,
         bio,

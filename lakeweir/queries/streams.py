@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakeweir.functions.records import from_records, to_records
 from lakeweir.operators.duplicates import latest_by_key
@@ -14,6 +17,7 @@ from lakeweir.session import scratch_path
 from lakeweir.sinks.files import write_batch
 from lakeweir.sources.topics import ParquetTopics
 from lakeweir.streaming.enriched import build_enriched_stream
+from lakeweir.streaming.ledger import BatchLedger
 from lakeweir.streaming.run import Sink, fan_out, run_stream
 
 TOPIC = "events"
@@ -95,6 +99,32 @@ def topic_stream_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path).drop("batch_id")
 
 
+def stream_rows_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run that ends after a sink took its batch and before that was noted; read back without the repeat."""
+    topics = published(spark, sf_dir)
+    ledger = BatchLedger(scratch_path(spark, "ledger"))
+    schema = table(spark, sf_dir, "events").schema
+    attempts = count()
+
+    def append(batch: DataFrame, batch_id: int) -> None:
+        attempt = next(attempts)
+        topics.write(to_records(batch), "copies", attempt)
+        if attempt == 1:
+            raise ConnectionError("lost after the messages were sent")
+
+    run_stream(
+        from_records(in_batches(spark, sf_dir, topics), schema),
+        fan_out(ledger.once("copies", append)),
+        scratch_path(spark, "checkpoint"),
+        None,
+        output_mode="append",
+        restarts=1,
+    )
+    fields = T.StructType([*schema.fields]).add("batch_id", "long").add("attempt", "string")
+    sent = from_records(topics.read(spark, "copies"), fields)
+    return ledger.taken_once(sent, "copies").drop("batch_id", "attempt")
+
+
 def stream_static_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     topics = published(spark, sf_dir)
     path = scratch_path(spark, "joined")
@@ -215,6 +245,7 @@ EVENTS_SQL = "SELECT event_id, ts, user_id, event_type, value, props FROM events
 QUERIES = [
     Query("topic_publish", topic_publish, EVENTS_SQL),
     Query("topic_stream_scan", topic_stream_scan, EVENTS_SQL),
+    Query("stream_rows_once", stream_rows_once, EVENTS_SQL),
     Query(
         "stream_static_join",
         stream_static_join,

@@ -25,6 +25,7 @@ PUBLISH_SETTINGS = {
     "kafka.linger.ms": "5",
 }
 Offsets = Mapping[int, int]
+MESSAGE_BYTES = 256  # what a message is taken to hold where brokers cannot be asked for bytes
 # What a topic's own folder holds: its name is in the path.
 STORED = T.StructType([f for f in TOPIC.fields if f.name != "topic"])
 
@@ -98,6 +99,14 @@ class KafkaTopics:
 
     conn: KafkaConfig
     fail_on_data_loss: bool = True
+    message_bytes: int = MESSAGE_BYTES
+
+    def intake(self, messages: int | None, max_bytes: int | None) -> int | None:
+        """The smaller of two bounds of a micro-batch, in messages."""
+        if not max_bytes:
+            return messages
+        within_bytes = max(1, max_bytes // self.message_bytes)
+        return min(messages or within_bytes, within_bytes)
 
     def read(
         self,
@@ -116,7 +125,10 @@ class KafkaTopics:
         pattern: str | None = None,
         max_per_trigger: int | None = None,
         min_partitions: int | None = None,
+        max_bytes: int | None = None,
     ) -> DataFrame:
+        """``max_per_trigger`` counts messages. ``max_bytes`` is taken at ``message_bytes`` a message."""
+        max_per_trigger = self.intake(max_per_trigger, max_bytes)
         options = kafka_subscribe_options(
             self.conn, topic, pattern, max_per_trigger, min_partitions, self.fail_on_data_loss
         )
@@ -183,13 +195,22 @@ class ParquetTopics:
         pattern: str | None = None,
         max_per_trigger: int | None = None,
         min_partitions: int | None = None,
+        max_bytes: int | None = None,
     ) -> DataFrame:
-        """``max_per_trigger`` counts files here. A pattern must match the whole topic name."""
+        """``max_per_trigger`` counts files here, ``max_bytes`` their stored bytes.
+
+        Only one of them can be given. A file beyond ``max_bytes`` is a batch of its own. A pattern must
+        match the whole topic name.
+        """
+        if max_per_trigger and max_bytes:
+            raise ValueError("give either a number of files or of bytes")
         if (topic is None) == (pattern is None):
             raise ValueError("give either a topic or a pattern")
         reader = spark.readStream.schema(STORED if topic else TOPIC)
         if max_per_trigger:
             reader = reader.option("maxFilesPerTrigger", max_per_trigger)
+        if max_bytes:
+            reader = reader.option("maxBytesPerTrigger", max_bytes)
         if topic:
             return self._named(reader.parquet(self._path(topic)), topic)
         stored = reader.parquet(self.root).select(*TOPIC.fieldNames())

@@ -8,6 +8,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.errors import AnalysisException, StreamingQueryException
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakeweir.functions.records import from_records, to_records
 from lakeweir.operators.duplicates import latest_by_key
@@ -16,8 +17,9 @@ from lakeweir.plans.topic_jobs import publish_table
 from lakeweir.schemas import EVENT_RESULTS, GROUP_KEYS
 from lakeweir.session import scratch_path
 from lakeweir.sinks.files import write_batch
-from lakeweir.sources.topics import ParquetTopics
+from lakeweir.sources.topics import KafkaTopics, ParquetTopics
 from lakeweir.streaming.enriched import build_enriched_stream
+from lakeweir.streaming.ledger import BatchLedger
 from lakeweir.streaming.run import ROCKSDB, UnfinishedStream, fan_out, run_stream
 from tests.athletes import BIO_HEADER, bios, events, stream_answer
 
@@ -211,3 +213,56 @@ def test_a_run_that_must_be_complete_raises_when_it_is_cut(spark, tmp_path):
         run_stream(stream, slow, str(tmp_path / "cut"), trigger=None, timeout=1, output_mode="append")
     run = run_stream(stream, slow, str(tmp_path / "whole"), trigger=None, output_mode="append")
     assert run.finished and run.last_batch == 2
+
+
+def test_intake_is_bounded_by_bytes(spark):
+    topics = ParquetTopics(scratch_path(spark, "t"))
+    for sequence, rows in enumerate((50, 60, 70, 20_000, 10)):
+        publish_table(spark.range(rows).coalesce(1), topics, "n", sequence=sequence)
+        time.sleep(1.1)  # files are taken by their time
+    seen = []
+    records = topics.read_stream(spark, "n", max_bytes=20_000)
+    run_stream(records, lambda b, i: seen.append(b.count()), scratch_path(spark, "cp"),
+               trigger=None, output_mode="append")
+    assert seen == [180, 20_000, 10]
+    with pytest.raises(ValueError, match="either"):
+        topics.read_stream(spark, "n", max_per_trigger=1, max_bytes=1)
+
+
+def test_bytes_become_messages_of_a_broker():
+    topics = KafkaTopics(None, message_bytes=100)
+    assert topics.intake(None, 1000) == 10 and topics.intake(3, 1000) == 3
+    assert topics.intake(50, 1000) == 10 and topics.intake(None, 1) == 1
+    assert topics.intake(7, None) == 7 and topics.intake(None, None) is None
+
+
+def test_a_ledger_keeps_batches_from_coming_twice(spark):
+    topics = ParquetTopics(scratch_path(spark, "t"))
+    for sequence in range(3):
+        publish_table(spark.range(10).coalesce(1), topics, "n", sequence=sequence)
+    ledger = BatchLedger(scratch_path(spark, "ledger"))
+    calls = {"first": [], "second": []}
+
+    def sink(name, lost):
+        def write(batch, batch_id):
+            calls[name].append(batch_id)
+            topics.write(to_records(batch), name, len(calls[name]))
+            if calls[name] == lost:
+                raise OSError("lost after writing")
+        return ledger.once(name, write)
+
+    assert ledger.entries(spark, "first").count() == 0
+    records = topics.read_stream(spark, "n", max_per_trigger=1)
+    values = records.select(F.col("offset").alias("id"))
+    run = run_stream(values, fan_out(sink("first", None), sink("second", [0, 1])),
+                     scratch_path(spark, "cp"), trigger=None, output_mode="append", restarts=1)
+    assert run.restarts == 1
+    assert calls == {"first": [0, 1, 2], "second": [0, 1, 1, 2]}
+    schema = "id bigint, batch_id bigint, attempt string"
+    for name in calls:
+        sent = from_records(topics.read(spark, name), T._parse_datatype_string(schema))
+        for limit in (0, 64 << 20):
+            once = ledger.taken_once(sent, name, limit)
+            assert once.count() == once.select("id").distinct().count() == 30
+        assert sorted(r["rows"] for r in ledger.entries(spark, name).collect()) == [10, 10, 10]
+    assert topics.read(spark, "second").count() == 40
