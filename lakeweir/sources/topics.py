@@ -188,6 +188,10 @@ class ParquetTopics:
         stored = spark.read.schema(STORED).parquet(self._path(topic))
         return self._named(stored, topic).filter(within(start, end))
 
+    def read_all(self, spark: SparkSession) -> DataFrame:
+        """Messages of all topics."""
+        return spark.read.schema(TOPIC).parquet(self.root).select(*TOPIC.fieldNames())
+
     def read_stream(
         self,
         spark: SparkSession,

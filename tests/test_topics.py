@@ -163,3 +163,11 @@ def test_bounded_read_takes_the_first_messages(spark, tmp_path):
     taken = [(r["partition"], r["offset"]) for r in bounded_read(spark, topics, "t", max_messages=9).collect()]
     every = sorted((r["partition"], r["offset"]) for r in bounded_read(spark, topics, "t").collect())
     assert sorted(taken) == every[:9]
+
+
+def test_offsets_of_stored_topics_read_no_messages(spark, topics):
+    for name, rows in (("a", 5), ("b", 8)):
+        publish_table(spark.range(rows).coalesce(1), topics, name)
+    offsets = topic_offsets(topics.read_all(spark))
+    assert sorted(map(tuple, offsets.collect())) == [("a", 0, 0, 5), ("b", 0, 0, 8)]
+    assert "ReadSchema: struct<partition:int,offset:bigint>" in plan_of(offsets)
