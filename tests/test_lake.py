@@ -3,9 +3,11 @@ from __future__ import annotations
 import csv
 import logging
 import os
+import time
 from datetime import date
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeweir.operators.metrics import joined_rows
@@ -21,7 +23,16 @@ from lakeweir.plans.lake import (
     silver_to_gold,
     with_retries,
 )
-from lakeweir.sources.files import read_csv, read_csv_once, read_parquet
+from lakeweir.sources.files import (
+    FAMILIES,
+    highest,
+    most_digits,
+    read_csv,
+    read_csv_once,
+    read_parquet,
+    text_class,
+    type_of,
+)
 from tests.athletes import BIO_HEADER, EVENT_HEADER, batch_answer, bios, events
 
 KEYS = ("sport", "medal", "sex", "country_noc")
@@ -216,3 +227,37 @@ def test_joined_rows_of_repeated_and_missing_keys(spark):
     right = spark.createDataFrame([(1,), (1,), (1,), (3,), (None,)], "b int")
     assert joined_rows(left, right, "a", "b") == 6
     assert joined_rows(left, right.filter("b = 3"), "a", "b") == 0
+
+
+def test_classing_texts_costs_no_more_than_a_few_reads(spark, tmp_path):
+    """Casts that fail raise errors inside Spark: on texts they took ten times as long as reading them."""
+    rows = spark.range(400_000).select(
+        F.concat(F.lit("text "), "id").alias("a"),
+        F.concat("id", F.lit("-LOW")).alias("b"),
+        (F.col("id") + 3_000_000_000).alias("c"),
+        F.lit("1998-02-06T00:00:00.000").alias("d"),
+    )
+    path = str(tmp_path / "t.csv")
+    rows.coalesce(1).write.option("header", True).csv(path)
+
+    def seconds(run):
+        taken = []
+        for _ in range(3):
+            begun = time.perf_counter()
+            run(len(taken))
+            taken.append(time.perf_counter() - begun)
+        return min(taken)
+
+    once = seconds(lambda n: read_csv_once(spark, path, str(tmp_path / f"once-{n}")))
+    twice = seconds(lambda n: read_csv(spark, path).write.parquet(str(tmp_path / f"twice-{n}")))
+    assert once < 4 * twice
+
+
+def test_classes_of_odd_whole_numbers(spark):
+    kinds = {"2147483648": "bigint", "-2147483648": "int", "0" * 20 + "12": "int", "9" * 19: "decimal(20,0)",
+             "9223372036854775807": "bigint", "9" * 38: "decimal(38,0)", "9" * 39: "double", "0" * 50: "int",
+             "0x1p3": "double", "0x1.2.3p1": "string", "-Infinity": "double", " 1": "double", "1e": "string", "12\x85": "string"}
+    texts = spark.createDataFrame([(text,) for text in kinds], "text string")
+    for text, bits in texts.select("text", text_class(F.col("text"))).collect():
+        classes = [highest(bits, family) for family in FAMILIES]
+        assert type_of(classes[0], most_digits(bits), *classes[1:]) == kinds[text], text
