@@ -22,6 +22,7 @@ from lakeweir.streaming.run import Sink, fan_out, run_stream
 
 TOPIC = "events"
 BATCHES = 3
+FILE_ROWS = 100_000  # messages a task takes at once, however few files the table has
 KEYS = ("event_type", "c_mktsegment", "c_nationkey")
 MEASURES = {"avg_balance": "c_acctbal"}
 
@@ -33,8 +34,9 @@ def state_partitions(spark: SparkSession) -> int:
 
 
 def message_files(events: DataFrame) -> int:
-    """One file of messages per file of the table, and enough for a few micro-batches."""
-    return max(BATCHES, len(events.inputFiles()))
+    """One file of messages per file of the table and per ``FILE_ROWS`` rows, and enough for a few
+    micro-batches. Rows are counted from the footers of the table's files."""
+    return max(BATCHES, len(events.inputFiles()), -(-events.count() // FILE_ROWS))
 
 
 def published(spark: SparkSession, sf_dir: str) -> ParquetTopics:

@@ -14,6 +14,7 @@ from lakeweir.functions.records import from_records, to_records
 from lakeweir.operators.duplicates import latest_by_key
 from lakeweir.operators.joins import enrich
 from lakeweir.plans.topic_jobs import publish_table
+from lakeweir.queries.streams import BATCHES, message_files
 from lakeweir.schemas import EVENT_RESULTS, GROUP_KEYS
 from lakeweir.session import scratch_path
 from lakeweir.sinks.files import write_batch
@@ -266,3 +267,11 @@ def test_a_ledger_keeps_batches_from_coming_twice(spark):
             assert once.count() == once.select("id").distinct().count() == 30
         assert sorted(r["rows"] for r in ledger.entries(spark, name).collect()) == [10, 10, 10]
     assert topics.read(spark, "second").count() == 40
+
+
+def test_message_files_grow_with_the_rows(spark, tmp_path):
+    """A large table in one file gave three files of messages, so three tasks did all the work."""
+    one = str(tmp_path / "events.parquet")
+    spark.range(1_000_001).coalesce(1).write.parquet(one)
+    assert message_files(spark.read.parquet(one)) == 11
+    assert message_files(spark.read.parquet(one).limit(5)) == BATCHES
