@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import json
 import re
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -56,6 +57,7 @@ class WordEncoder:
         self.end_id = end_id
         most = max(self.tokenizer.get_vocab_size(with_added_tokens=True) - 1, end_id or 0)
         self.dtype = np.dtype("<u2" if most < 1 << 16 else "<u4")
+        self.code = "H" if self.dtype.itemsize == 2 else "I"
         with open(path, encoding="utf-8") as file:
             parts = json.load(file)
         steps = (parts.get("normalizer") or {}).get("normalizers")
@@ -65,28 +67,37 @@ class WordEncoder:
             and splits[0].get("pattern") == {"Regex": PIECE_PATTERN}
             and [s.get("type") for s in splits] == ["Split", "ByteLevel"]
         )
-        self.added = [t["content"] for t in parts.get("added_tokens", [])]
+        added = [re.escape(t["content"]) for t in parts.get("added_tokens", [])]
+        self.added = re.compile("|".join(added) or "(?!)")
         self.letters = byte_letters()
         self.words: dict[bytes, bytes] = {}
         self.pieces: dict[str, bytes] = {}
 
     def packed(self, ids: list[int]) -> bytes:
-        return np.array(ids, self.dtype).tobytes()
+        return struct.pack(f"<{len(ids)}{self.code}", *ids)
 
     def word(self, raw: bytes) -> bytes:
         """Ids of one word."""
         text = raw.decode("utf-8", "replace")
-        if not PLAIN.fullmatch(text) or any(a in text for a in self.added):
+        if not PLAIN.fullmatch(text) or self.added.search(text):
             return self.packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
+        text = text.lower()
+        pieces = self.pieces
+        whole = pieces.get(text)  # a piece is not split any further
+        if whole is not None:
+            return whole
         out = []
-        for piece in PIECE.findall(text.lower()):
-            ids = self.pieces.get(piece)
+        for piece in PIECE.findall(text):
+            ids = pieces.get(piece)
             if ids is None:
-                if len(self.pieces) >= KNOWN_PIECES:
-                    self.pieces.clear()
-                written = "".join(self.letters[b] for b in piece.encode())
+                if len(pieces) >= KNOWN_PIECES:
+                    pieces.clear()
+                # Printable ASCII is written as it is.
+                written = piece if piece.isascii() else "".join(
+                    [self.letters[b] for b in piece.encode()]
+                )
                 ids = self.packed([t.id for t in self.tokenizer.model.tokenize(written)])
-                self.pieces[piece] = ids
+                pieces[piece] = ids
             out.append(ids)
         return b"".join(out)
 
