@@ -1,4 +1,4 @@
-"""Memory of Python workers, which live on from task to task."""
+"""Memory of Python processes: workers, which live on from task to task, and the driver."""
 
 from __future__ import annotations
 
@@ -8,6 +8,14 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 
 
+def release() -> None:
+    """Give freed memory back to the system."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def freeing(run: Callable) -> Callable:
     """An Arrow function that gives freed memory back to the system when its task ends.
 
@@ -18,9 +26,6 @@ def freeing(run: Callable) -> Callable:
         try:
             yield from run(batches)
         finally:
-            pa.default_memory_pool().release_unused()
-            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-            if trim:
-                trim(0)
+            release()
 
     return task

@@ -60,8 +60,11 @@ def encode_rows(path: str, end_id: int) -> Callable:
     return freeing(run)
 
 
-def piece_rows(length: int, dtype: str) -> Callable:
-    """From (id, place, n, ids): pieces that do not cross a multiple of ``length``."""
+def piece_rows(length: int) -> Callable:
+    """From (id, place, n, ids): pieces that do not cross a multiple of ``length``.
+
+    Each text has an id at least, so the bytes of an id can be told from the rows.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -70,9 +73,10 @@ def piece_rows(length: int, dtype: str) -> Callable:
             offsets = offsets[ids.offset : ids.offset + len(ids) + 1].astype(np.int64)
             data = np.frombuffer(ids.buffers()[2], np.uint8)
             for lo, hi in chunks(offsets):
-                flat = data[offsets[lo] : offsets[hi]].view(dtype).astype("<u4")
                 part = batch.slice(lo, hi - lo)
                 place, n = part.column(1).to_numpy(), part.column(2).to_numpy()
+                dtype = f"<u{(offsets[hi] - offsets[lo]) // n.sum()}"
+                flat = data[offsets[lo] : offsets[hi]].view(dtype).astype("<u4")
                 first = place // length
                 pieces = (place + n - 1) // length - first + 1
                 doc = np.repeat(np.arange(len(n)), pieces)
@@ -125,7 +129,7 @@ def pack(
         "id", (F.col("base") + F.col("before")).alias("place"), "n", "ids"
     )
     return placed.mapInArrow(
-        piece_rows(length, encoder(tokenizer, end_id).dtype.str),
+        piece_rows(length),
         f"id {kind}, start bigint, length bigint, doc_tokens bigint, "
         "sequence_id bigint, offset bigint, ids binary",
     )

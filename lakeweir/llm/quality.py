@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeweir.llm.memory import freeing
+from lakeweir.llm.memory import freeing, release
 from lakeweir.llm.samples import hash_sample
 from lakeweir.llm.words import NOT_SPACE, M1, Words, hash_words, mix, split
 
@@ -293,7 +293,11 @@ def train(
         np.concatenate([*sizes, none]),
         np.concatenate([*bins, none.astype(np.uint8)]).reshape(-1, MEASURES),
     )
-    return fit(lines, np.array([r["label"] for r in rows], np.int64))
+    try:
+        return fit(lines, np.array([r["label"] for r in rows], np.int64))
+    finally:
+        del rows, sizes, bins, lines
+        release()
 
 
 def text_scores(model: Crf, lines: Lines) -> tuple[np.ndarray, np.ndarray]:

@@ -6,6 +6,7 @@ import gc
 
 from pyspark.sql import DataFrame, SparkSession
 
+from lakeweir.llm.memory import release
 from lakeweir.session import scratch_path
 
 
@@ -37,4 +38,5 @@ class Workspace:
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
         # Spark's cleaner removes shuffle files of finished steps when their plans are collected.
         gc.collect()
+        release()
         jvm.System.gc()
